@@ -34,6 +34,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
             "file_id": "o_orderkey % 8",
             "event_idx": "o_orderkey",
             "run": "290000 + o_custkey % 64",
+            "config": "CAST(o_orderkey % 5 AS INT)",
             "x": "(o_totalprice % 7 - 3.5) / 100",
             "y": "(o_totalprice % 11 - 5.5) / 100",
             "z": "(o_totalprice % 200 - 100) / 10",
@@ -142,7 +143,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
             "theta_x_uncor": "(l_quantity - 25.5) / 90",
             "theta_y_uncor": "(l_tax - 0.04) * 4",
             "chi2": "l_extendedprice / 3000",
-            "nhit": "CAST(l_quantity / 5 AS INT)",
+            "nhit": "CAST(floor(l_quantity / 5) AS INT)",
             "local_trigger": "l_partkey * 8191 + l_suppkey",
             "hits_pattern": "((l_partkey % 65536) * 31) % 256",
         },
@@ -293,7 +294,17 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
             "bit": "n_nationkey * 3",
             "name": "n_name",
             "cluster": "CASE WHEN n_regionkey % 2 = 0 THEN 'CENT' ELSE 'MUON' END",
-            "region": "n_regionkey",
+            "config": "n_regionkey",
+        },
+    ),
+    "trigger_inputs": (
+        "nation",
+        None,
+        {
+            "idx": "n_nationkey * 2",
+            "name": "n_name",
+            "active": "n_nationkey % 4 <> 0",
+            "config": "n_regionkey",
         },
     ),
 }
