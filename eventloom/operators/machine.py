@@ -11,17 +11,21 @@ from eventloom.operators.lookups import valid_record
 from eventloom.operators.ordered import blocked
 
 # Tolerance of record times (s), lead-in before and margin after a run (s),
-# number of bunch slots, buckets per slot.
+# number of bunch slots, buckets per slot, slot offsets of the two beams and their
+# change since 2015.
 TOLERANCE = 0.9
 LEAD_IN = 30 * 24 * 3600.0
 MARGIN = 15 * 60.0
 SLOTS = 3564
 BUCKETS_PER_SLOT = 10
+BEAM_OFFSETS = (346, 3019)
+OFFSET_CHANGE = -2
 
 
-def slots(bunches: Column) -> Column:
-    """Slot numbers of bucket numbers."""
-    return F.transform(bunches, lambda b: F.floor(F.abs(b) / BUCKETS_PER_SLOT))
+def slot(bucket: Column, beam: int, since_2015: bool = True) -> Column:
+    """Slot number of a bucket number; the sign of a bucket only marks it as interacting."""
+    offset = BEAM_OFFSETS[beam] + (OFFSET_CHANGE if since_2015 else 0)
+    return (F.floor(F.abs(bucket) / BUCKETS_PER_SLOT) + offset) % SLOTS
 
 
 def interacting(first: DataFrame, second: DataFrame, keys: Sequence[str], block_width: float) -> DataFrame:
@@ -31,11 +35,47 @@ def interacting(first: DataFrame, second: DataFrame, keys: Sequence[str], block_
     have ``t`` and an array ``bunches`` of at most 3564 bucket numbers.
     """
     paired = valid_record(first, second, keys, F.col("t"), F.col("t"), block_width, TOLERANCE, match="_other")
-    other = slots(F.col("_other.bunches"))
-    meets = F.filter(
-        F.col("bunches"), lambda b: F.array_contains(other, F.floor(F.abs(b) / BUCKETS_PER_SLOT))
+    paired = paired.where(F.col("_other").isNotNull()).withColumn(
+        "_slots", F.transform("_other.bunches", lambda b: slot(b, 1))
     )
-    return paired.where(F.col("_other").isNotNull()).withColumn("interacting", meets).drop("_other")
+    meets = F.filter("bunches", lambda b: F.array_contains("_slots", slot(b, 0)))
+    return paired.withColumn("interacting", meets).drop("_other", "_slots")
+
+
+def mean_intensity(
+    intensities: DataFrame, configurations: DataFrame, masks: DataFrame | None, keys: Sequence[str], beam: int
+) -> DataFrame:
+    """Mean intensity per record of interacting and other bunches of a beam.
+
+    ``intensities``: one array ``values`` per record; ``configurations``: one row per
+    key with ``bunches`` (interacting ones negative); ``masks``: one row per key with
+    the slots ``masked_both`` and ``masked_single`` to leave out.  Negative values are
+    skipped and the sums start at 0.
+    """
+    joined = intensities.join(configurations, list(keys))
+    joined = joined.join(masks, list(keys), "left") if masks is not None else joined
+    pair = F.arrays_zip(F.col("bunches").alias("bunch"), F.col("values").alias("value"))
+
+    def total(negative: bool, masked: str) -> Column:
+        def counted(p: Column) -> Column:
+            side = p["bunch"] < 0 if negative else p["bunch"] >= 0
+            keep = side & (p["value"] >= 0)
+            if masks is not None:
+                keep = keep & ~F.coalesce(F.array_contains(masked, slot(p["bunch"], beam)), F.lit(False))
+            return F.coalesce(keep, F.lit(False))
+
+        return F.aggregate(F.filter(pair, counted), F.lit(0.0), lambda acc, p: acc + p["value"])
+
+    return joined.groupBy(*keys).agg(
+        (F.sum(total(True, "masked_both")) / F.count("*")).alias("colliding"),
+        (F.sum(total(False, "masked_single")) / F.count("*")).alias("noncolliding"),
+        F.count("*").alias("n_records"),
+    )
+
+
+def pilot_present(scheme: Column) -> Column:
+    """Whether a filling scheme's name mentions a pilot bunch."""
+    return F.lower(scheme).contains("wp")
 
 
 def trimmed(values: Column) -> Column:

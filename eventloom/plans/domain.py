@@ -81,7 +81,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
             "file_id": "l_orderkey % 8",
             "event_idx": "l_orderkey",
             "obj_id": _OBJ_ID,
-            "flags": "((l_partkey % 65536) * 40503) % 65536",
+            "flags": "((l_partkey % 1048576) * 2654435761) % 4294967296",
             "label": "CAST((l_partkey % 200 - 100) * 1000 AS BIGINT)",
             "inner_p": "CASE WHEN l_partkey % 10 > 0 THEN 0.2 + l_extendedprice / 20000 END",
             "its_ncls": "CAST(l_suppkey % 7 AS INT)",
@@ -247,9 +247,9 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         None,
         {
             "file_id": "user_id % 8",
-            "event_number": "user_id",
-            "ddl_id": "event_id % 3",
-            "code": "event_type",
+            "event_number": "CAST(floor(event_id / 200) AS BIGINT)",
+            "ddl_id": "user_id % 2",
+            "code": "CASE WHEN event_type IN ('click', 'view', 'error', 'signup') THEN 1 ELSE 2 END",
             "seq": "event_id",
         },
     ),

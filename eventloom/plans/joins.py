@@ -506,27 +506,22 @@ def name_to_index(spark, sf):
 
 
 BUNCHES_SQL = """bn AS (SELECT user_id % 40 AS fill, (user_id // 40) % 2 AS beam, event_id AS rec, date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) / 1e6 AS t,
-    list_transform(range(0, 8), lambda i: 1 + ((event_id * 37 + i * 1213 + user_id) % 40) * 10) AS bunches FROM events)"""
+    list_transform(range(0, 8), lambda i: 1 + ((event_id * 37 + i * 1213 + user_id) % 40) * 10 + ((user_id // 40) % 2) * 8910) AS bunches FROM events)"""
 
 
 def bunch_records(spark, sf):
     """Records of both beams, with the bucket numbers of their bunches."""
     buckets = F.transform(
         F.sequence(F.lit(0), F.lit(7)),
-        lambda i: 1 + ((C("event_id") * 37 + i * 1213 + C("user_id")) % 40) * 10,
+        lambda i: 1 + ((C("event_id") * 37 + i * 1213 + C("user_id")) % 40) * 10 + C("beam") * 8910,
     )
     us = table(spark, sf, "readings").select(C("rec").alias("event_id"), "t")
     return (
         base(spark, sf, "events")
         .select("event_id", "user_id")
         .join(us, "event_id")
-        .select(
-            (C("user_id") % 40).alias("fill"),
-            (F.floor(C("user_id") / 40) % 2).alias("beam"),
-            C("event_id").alias("rec"),
-            "t",
-            buckets.alias("bunches"),
-        )
+        .withColumn("beam", F.floor(C("user_id") / 40) % 2)
+        .select((C("user_id") % 40).alias("fill"), "beam", C("event_id").alias("rec"), "t", buckets.alias("bunches"))
     )
 
 
@@ -537,7 +532,7 @@ def bunch_records(spark, sf):
          WHERE a.beam = 0 GROUP BY ALL),
        f AS (SELECT fill, arg_min(rec, t) AS first FROM bn WHERE beam = 1 GROUP BY fill),
        p AS (SELECT v.fill, v.rec, coalesce(found, first) AS other FROM v LEFT JOIN f USING (fill)),
-       x AS (SELECT p.fill, p.rec, list_transform(a.bunches, lambda b: b // 10) AS s1, list_transform(b.bunches, lambda b: b // 10) AS s2
+       x AS (SELECT p.fill, p.rec, list_transform(a.bunches, lambda b: (b // 10 + 344) % 3564) AS s1, list_transform(b.bunches, lambda b: (b // 10 + 3017) % 3564) AS s2
          FROM p JOIN bn a ON a.rec = p.rec LEFT JOIN bn b ON b.rec = p.other)
        SELECT fill, rec, len(list_filter(s1, lambda s: list_contains(s2, s))) AS n_interacting FROM x WHERE s2 IS NOT NULL""",
 )
@@ -613,9 +608,9 @@ _RANGES = "290000 + p_partkey % 50 AS {p}lo, 290000 + p_partkey % 50 + p_size %
     f"""WITH n AS (SELECT p_partkey AS new_entry, p_type AS l0, p_brand AS l1, {_RANGES.format(p='new_')} FROM part WHERE p_partkey % 2 = 1),
        e AS (SELECT p_partkey AS entry, p_type AS l0, p_brand AS l1, {_RANGES.format(p='')}, p_partkey % 3 AS version, p_partkey % 5 AS sub_version
          FROM part WHERE p_partkey % 2 = 0),
-       o AS (SELECT new_entry, min(entry) AS overlaps, max(version * 100 + sub_version) AS best
+       o AS (SELECT new_entry, min(entry) AS clash, max(version * 100 + sub_version) AS best
          FROM n JOIN e USING (l0, l1) WHERE lo <= new_hi AND new_lo <= hi GROUP BY new_entry)
-       SELECT new_entry, overlaps, coalesce(best // 100, 0) AS next_version, coalesce(best % 100, -1) + 1 AS next_sub_version
+       SELECT new_entry, clash, coalesce(best // 100, 0) AS next_version, coalesce(best % 100, -1) + 1 AS next_sub_version
        FROM n LEFT JOIN o USING (new_entry)""",
 )
 def overlap_and_next_version(spark, sf):
@@ -634,11 +629,11 @@ def overlap_and_next_version(spark, sf):
     clash = (
         conditions.overlapping(new, existing, PATH, ["new_entry"])
         .groupBy("new_entry")
-        .agg(F.min("entry").alias("overlaps"))
+        .agg(F.min("entry").alias("clash"))
     )
     numbered_new = conditions.next_version(new, existing, PATH, ["new_entry"])
     return numbered_new.join(clash, "new_entry", "left").select(
-        "new_entry", "overlaps", "next_version", "next_sub_version"
+        "new_entry", "clash", "next_version", "next_sub_version"
     )
 
 
