@@ -113,30 +113,42 @@ def ratio(level2: Column, level0: Column) -> tuple[Column, Column]:
 
 
 def pile_up(
-    count_b: Column, count_ac: Column, turns: Column, bunches_b: Column, bunches_ac: Column, efficiency: float
-) -> tuple[Column, Column]:
-    """Mean interactions per crossing and error, from colliding and beam-gas classes.
+    counts: Column, trials: Column, background: Column, background_trials: Column,
+    efficiency: float = 1.0, efficiency_error: float = 0.0,
+) -> tuple[Column, Column]:
+    """Mean interactions per crossing and its error, corrected for beam-gas background.
 
-    The probability of a count is per turn and bunch; null unless it lies in [0, 1).
+    ``trials`` is bunches times orbits, or a beam counter.  Without background trials
+    there is no correction; null without trials or with a probability of 1 and above.
     """
-    n_b, n_ac = turns * bunches_b, turns * bunches_ac
-    p_b = F.try_divide(count_b.cast("double"), n_b)
-    p_ac = F.coalesce(F.try_divide(count_ac.cast("double"), n_ac), F.lit(0.0))
-    usable = (p_b >= 0) & (p_b < 1) & (p_ac >= 0) & (p_ac < 1)
-    p_b, p_ac = F.when(usable, p_b), F.when(usable, p_ac)
-    mu = (F.log(1 - p_ac) - F.log(1 - p_b)) / efficiency
-    error2 = F.try_divide(p_b, (1 - p_b) * n_b) + F.coalesce(F.try_divide(p_ac, (1 - p_ac) * n_ac), F.lit(0.0))
-    return mu, F.sqrt(F.abs(error2)) / efficiency
+    p = F.try_divide(counts.cast("double"), trials)
+    p_bg = F.coalesce(F.try_divide(background.cast("double"), background_trials), F.lit(0.0))
+    usable = (p < 1) & (p_bg < 1)
+    p, p_bg = F.when(usable, p), F.when(usable, p_bg)
+    mu = (F.log(1 - p_bg) - F.log(1 - p)) / efficiency
+    variance = p / ((1 - p) * trials) + F.coalesce(F.try_divide(p_bg, (1 - p_bg) * background_trials), F.lit(0.0))
+    return mu, F.sqrt(variance + mu * mu * (efficiency_error / efficiency) ** 2)
 
 
-def luminosity(counts: Column, duration: Column, bunches: Column, cross_section: Column, efficiency: Column) -> dict[str, Column]:
+def since_last(now: Column, before: Column) -> Column:
+    """Counts between two raw readings with at most one overflow."""
+    return F.when(now >= before, now - before).otherwise(now - before + RANGE)
+
+
+def curve_point(time: Column, duration: Column, start: Column) -> tuple[Column, Column]:
+    """(mid-point of an interval since the run's start, half its width)."""
+    return time - start + duration / 2, duration / 2
+
+
+def luminosity(counts: Column, duration: Column, bunches, cross_section) -> dict[str, Column]:
     """Luminosity of an interval from a reference class, corrected for pile-up.
 
-    mu = -ln(1 - counts / crossings); the rate mu * crossings per second is divided by
-    the visible cross-section.  Intervals under a microsecond give null.
+    mu = -ln(1 - counts / crossings); the interaction rate is divided by the visible
+    cross-section.  Intervals under a microsecond give null.
     """
     crossings = duration * ORBIT_FREQUENCY * bunches
     fraction = F.try_divide(counts.cast("double"), crossings)
-    mu = F.when((duration > 1e-6) & (fraction >= 0) & (fraction < 1), -F.log(1 - fraction))
-    value = mu * bunches * ORBIT_FREQUENCY / cross_section / efficiency
-    return {"mu": mu, "lumi": value, "error": F.try_divide(value, F.sqrt(counts.cast("double")))}
+    mu = F.when((duration >= 1e-6) & (fraction < 1), -F.log(1 - fraction))
+    value = mu * ORBIT_FREQUENCY * bunches / cross_section
+    error = F.when(counts > 0, value / F.sqrt(counts.cast("double"))).when(mu.isNotNull(), 0.0)
+    return {"mu": mu, "lumi": value, "error": error}
