@@ -257,10 +257,10 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "customer",
         None,
         {
-            "file_id": "c_custkey % 1",
-            "event_idx": "c_custkey % 1",
-            "idx": "c_custkey",
-            "mother": "CASE WHEN c_custkey = 0 THEN -1 ELSE CAST(floor((c_custkey - 1) / 3) AS BIGINT) END",
+            "file_id": "c_custkey % 2",
+            "event_idx": "c_custkey % 10",
+            "idx": "CAST(floor(c_custkey / 10) AS BIGINT)",
+            "mother": "CASE WHEN c_custkey < 30 THEN -1 ELSE CAST(floor((floor(c_custkey / 10) - 1) / 3) AS BIGINT) END",
             "pdg": (
                 "CASE c_custkey % 13 WHEN 0 THEN 211 WHEN 1 THEN -211 WHEN 2 THEN 22 WHEN 3 THEN 111"
                 " WHEN 4 THEN 3122 WHEN 5 THEN 2212 WHEN 6 THEN 130 WHEN 7 THEN 421 WHEN 8 THEN 11"
