@@ -12,11 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.operators import robust
+from eventloom.operators.asof import asof
+from eventloom.operators.ordered import numbered
+from eventloom.operators.ranges import range_join
 from eventloom.operators.solve import solved
 
 Axis = tuple[str, int, float, float]
 
-# Fixed values of the one-dimensional smoother: reach in kernel widths, largest exponent.
+# Least robust subset; largest exponent and least points of the smoother.
+SMALLEST_SUBSET = 3
 SMOOTH_LIMIT = 100.0
 SMOOTH_LEAST = 4
 
@@ -80,13 +84,20 @@ def local_statistics(
     points: DataFrame, grid: Sequence[Axis], kernels: Sequence[Column], value: str, tie: str, block_width: float,
     weight_cut: float = 1e-5, fraction: float = 0.6,
 ) -> DataFrame:
-    """Median, and robust mean and sigma (of the given fraction), of the points near each bin."""
+    """Median, and robust mean and sigma (of the given fraction), of the points near each bin.
+
+    All 0 where too few points are near.
+    """
     near = _near(points, grid, kernels, weight_cut)
     bins = bin_columns(grid)
-    middle = near.groupBy(*bins).agg(F.percentile(value, 0.5).alias("median"))
-    subset = F.floor(F.col("_n") * fraction)
+    fraction = min(fraction, 1.0)
+    middle = near.groupBy(*bins).agg(F.percentile(value, 0.5).alias("median"), F.count("*").alias("_near"))
+    subset = F.floor(F.col("_n") * fraction - 1)
     spread = robust.location_and_scale(near.select(*bins, value, tie), bins, value, [tie], block_width, h=subset)
-    return middle.join(spread, bins)
+    joined = middle.join(spread, bins, "left")
+    enough = F.col("_near") * fraction - 1 > SMALLEST_SUBSET
+    numbers = [F.when(enough, F.col(c)).otherwise(0.0).alias(c) for c in ("median", "mean", "sigma")]
+    return joined.select(*bins, *numbers)
 
 
 def evaluated(
@@ -94,7 +105,7 @@ def evaluated(
 ) -> DataFrame:
     """``fit`` value, ``fit_error`` and per axis the ``slope_<i>`` at each point; 0 without a fit.
 
-    Points outside the grid are moved to its edge.
+    Points outside the grid are moved to its edge.  The error is that of the bin centre.
     """
     df = points
     for i, (column, n, lo, hi) in enumerate(grid):
@@ -102,57 +113,77 @@ def evaluated(
         at = F.least(F.floor((x - lo) / _width(grid[i])), F.lit(n - 1)).cast("int")
         df = df.withColumns({f"_x{i}": x, f"bin_{i}": at})
     bins = bin_columns(grid)
-    df = df.join(fits.select(*bins, "coefficients", "variances", "residual2"), bins, "left")
+    df = df.join(fits.select(*bins, "coefficients", "variances"), bins, "left")
     c = lambda k: F.element_at("coefficients", k + 1)
-    e = lambda k: F.element_at("variances", k + 1)
-    value, variance, slopes = c(0), e(0), {}
+    value, slopes = c(0), {}
     for i, axis in enumerate(grid):
         unit = _width(axis) if bin_units else 1.0
         d = (F.col(f"_x{i}") - (axis[2] + (F.col(f"bin_{i}") + 0.5) * _width(axis))) / unit
         value = value + c(2 * i + 1) * d + c(2 * i + 2) * d * d
-        variance = variance + e(2 * i + 1) * d * d + e(2 * i + 2) * d * d * d * d
         slopes[f"slope_{i}"] = (c(2 * i + 1) + 2 * c(2 * i + 2) * d) / unit
-    out = {"fit": value, "fit_error": F.sqrt(variance * F.col("residual2")), **slopes}
+    out = {"fit": value, "fit_error": F.sqrt(F.element_at("variances", 1)), **slopes}
     out = {n: F.coalesce(v, F.lit(0.0)) for n, v in out.items()}
-    helpers = [*bins, *[f"_x{i}" for i in range(len(grid))], "coefficients", "variances", "residual2"]
+    helpers = [*bins, *[f"_x{i}" for i in range(len(grid))], "coefficients", "variances"]
     return df.withColumns(out).drop(*helpers)
 
 
 def smoothed(
     requests: DataFrame, series: DataFrame, keys: Sequence[str], width: float, sigmas: float, degree: int,
-    logarithm: bool = False,
+    block_width: float, logarithm: bool = False,
 ) -> DataFrame:
     """Kernel-weighted polynomial at the time ``t`` of each request: ``smooth``.
 
-    Points (``t``, ``y``) within ``sigmas`` widths count with weight exp(-2 x^2 / w^2).  The
-    degree is at most the number of points less 2; 0 with 4 points or fewer.  Points are
-    found through time buckets as wide as the window, reduced to sums right away.
+    Points (``t``, ``y``, ``id``) from the last one before the window of ``sigmas`` widths to the
+    last one inside count with weight exp(-2 x^2 / w^2); with fewer than five the two
+    points on either side of the time are taken.  The degree is lowered to the number of
+    steps less 2; 0 with four points or fewer.  Points are numbered along time, so a
+    request asks for a range of numbers, and its points are reduced to sums right away.
     """
     keys = list(keys)
+    names = list(requests.columns)
+    ranked = numbered(series, keys, F.floor(F.col("t") / block_width), ["t", "id"], name="_rank")
+    ranked = ranked.select(*keys, F.col("t").alias("_t"), F.col("y").alias("_y"), (F.col("_rank") - 1).alias("_place"))
+    sizes = ranked.groupBy(*keys).agg(F.count("*").alias("_size"))
+    df = requests.join(sizes, keys, "left")
     reach = sigmas * width
-    left = requests.withColumns({"_at": F.col("t"), "_bucket": F.explode(_buckets(F.col("t"), reach))})
-    y = F.log("y") if logarithm else F.col("y")
-    right = series.select(*keys, F.col("t").alias("_t"), y.alias("_value"), F.floor(F.col("t") / reach).alias("_bucket"))
-    near = left.join(right, [*keys, "_bucket"]).withColumn("_u", (F.col("_t") - F.col("_at")) / width)
-    near = near.where(F.abs("_u") <= sigmas)
-    u = F.col("_u")
+    for name, at in (("_i0", F.col("t") - reach), ("_i1", F.col("t") + reach), ("_im", F.col("t"))):
+        df = asof(df, ranked, keys, at, F.col("_t"), block_width, right_order=["_place"], match="_m")
+        df = df.withColumn(name, F.coalesce(F.col("_m._place"), F.lit(-1).cast("bigint"))).drop("_m")
+    half = SMOOTH_LEAST // 2
+    few = F.col("_i1") - F.col("_i0") < SMOOTH_LEAST
+    first = F.when(few, F.col("_im") - half).otherwise(F.col("_i0"))
+    final = F.when(few, F.col("_im") + half).otherwise(F.col("_i1"))
+    df = df.withColumns({"_lo": first, "_hi": final})
+    # moved back into the series at either end
+    df = df.withColumns(
+        {
+            "_hi": F.when(F.col("_lo") < 0, F.col("_hi") - F.col("_lo")).otherwise(F.col("_hi")),
+            "_lo": F.greatest(F.col("_lo"), F.lit(0).cast("bigint")),
+        }
+    )
+    over = F.col("_hi") >= F.col("_size")
+    df = df.withColumns(
+        {
+            "_lo": F.greatest(
+                F.when(over, F.col("_lo") - (F.col("_hi") - F.col("_size"))).otherwise(F.col("_lo")),
+                F.lit(0).cast("bigint"),
+            ),
+            "_hi": F.when(over, F.col("_size") - 1).otherwise(F.col("_hi")),
+        }
+    )
+    steps = F.greatest(F.col("_hi") - F.col("_lo") - 2, F.lit(0).cast("bigint"))
+    asked = df.select(*names, "_lo", "_hi", F.least(F.lit(degree), steps).cast("int").alias("_degree"))
+    near = range_join(ranked, asked, "_place", "_lo", "_hi", on=keys, width=16)
+    if logarithm:
+        near = near.where("_y > 0").withColumn("_y", F.log("_y"))
+    u = (F.col("_t") - F.col("t")) / width
     weight = F.exp(-2 * F.least(u * u, F.lit(SMOOTH_LIMIT)))
     found = None
-    names = list(requests.columns)
-    sized = near.groupBy(*names).agg(F.count("*").alias("_n"))
-    near = near.join(sized, names)
-    for k in range(1, degree + 1):
-        # few points only allow a lower degree
-        takes = F.least(F.col("_n") - 2, F.lit(degree)) == k
-        part = near.where(takes & (F.col("_n") > SMOOTH_LEAST))
-        fit = solved(part, names, [F.pow(u, F.lit(p)) for p in range(k + 1)], F.col("_value"), weight)
-        one = fit.select(*names, F.element_at("coefficients", 1).alias("smooth"))
+    for k in range(degree + 1):
+        part = near.where(F.col("_degree") == k)
+        fit = solved(part, names, [F.pow(u, F.lit(p)) for p in range(k + 1)], F.col("_y"), weight)
+        one = fit.where(F.col("n_points") > SMOOTH_LEAST).select(*names, F.element_at("coefficients", 1).alias("smooth"))
         found = one if found is None else found.unionByName(one)
     joined = requests.join(found, names, "left")
     value = F.exp("smooth") if logarithm else F.col("smooth")
     return joined.withColumn("smooth", F.coalesce(value, F.lit(0.0)))
-
-
-def _buckets(t: Column, reach: float) -> Column:
-    own = F.floor(t / reach)
-    return F.array(own - 1, own, own + 1)
