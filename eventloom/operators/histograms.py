@@ -264,8 +264,11 @@ def gaussian_fit_smoothed(bins: DataFrame, keys: Sequence[str], n: int, lo: floa
 
     def fit(df: DataFrame, weight, points: Column) -> DataFrame:
         used = df.withColumn("q", F.transform(points, lambda p: F.struct(p["x"], F.log(p["v"]).alias("y"), weight(p).alias("w"))))
-        sums = {f"s{k}": total(F.transform("q", lambda p, k=k: p["w"] * F.pow(p["x"], F.lit(k)))) for k in range(5)}
-        sums |= {f"t{k}": total(F.transform("q", lambda p, k=k: p["w"] * p["y"] * F.pow(p["x"], F.lit(k)))) for k in range(3)}
+
+        def moment(k: int, of_y: bool) -> Column:
+            return total(F.transform("q", lambda p: p["w"] * F.pow(p["x"], F.lit(k)) * (p["y"] if of_y else F.lit(1.0))))
+
+        sums = {f"s{k}": moment(k, False) for k in range(5)} | {f"t{k}": moment(k, True) for k in range(3)}
         sums["tt"] = total(F.transform("q", lambda p: p["w"] * p["y"] * p["y"]))
         used = used.withColumns(sums)
         s = {f"s{k}": F.col(f"s{k}") for k in range(5)}
