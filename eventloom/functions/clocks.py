@@ -14,6 +14,7 @@ ORBITS_PER_PERIOD = 1 << 24
 CROSSINGS_PER_ORBIT = 3564
 ORBIT_MICROSECONDS = 89.1
 CROSSINGS_PER_MICROSECOND = 40.079
+NANOSECONDS_PER_CROSSING = 25.0
 ORBIT_FREQUENCY = 11245.0
 EARLY_ORBITS = -10000
 
@@ -27,10 +28,10 @@ def time_key(period: Column, orbit: Column, crossing: Column) -> Column:
     return F.struct(period.alias("period"), orbit.alias("orbit"), crossing.alias("crossing"))
 
 
-def crossing_from_microseconds(microseconds: Column) -> Column:
-    """Bunch crossing within the orbit that a time within the run falls on."""
-    crossings = F.floor(microseconds * CROSSINGS_PER_MICROSECOND)
-    return (crossings % CROSSINGS_PER_ORBIT).cast("int")
+def crossing_from_time(seconds: Column, microseconds: Column) -> Column:
+    """Number of bunch crossings in a time, to the nearest."""
+    nanoseconds = (seconds * 1e6 + microseconds) * 1000.0
+    return F.floor(nanoseconds / NANOSECONDS_PER_CROSSING + 0.5).cast("bigint")
 
 
 def event_time(

@@ -23,6 +23,19 @@ MASSES = {
     "omega": 1.67245,
 }
 
+# Particle codes of the masses, without sign.
+CODES = {
+    11: "electron",
+    13: "muon",
+    211: "pion",
+    321: "kaon",
+    2212: "proton",
+    310: "k0s",
+    3122: "lambda",
+    3312: "xi",
+    3334: "omega",
+}
+
 # Daughter masses, parent mass and decay momentum of each hypothesis.
 # code: (positive leg, negative leg, parent, momentum)
 PAIR_HYPOTHESES = {
@@ -44,6 +57,15 @@ CASCADE_PAIR_MASS = 1.11568
 CASCADE_PAIR_MOMENTUM = 0.101
 
 
+def mass_of(code: Column) -> Column:
+    """Mass of a particle code or its negative, null if not tabulated."""
+    size = F.abs(code)
+    out = None
+    for number, name in CODES.items():
+        out = F.when(size == number, MASSES[name]) if out is None else out.when(size == number, MASSES[name])
+    return out
+
+
 def add(*vectors: Vector) -> Vector:
     return tuple(sum(parts[1:], parts[0]) for parts in zip(*vectors))
 

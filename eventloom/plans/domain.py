@@ -339,13 +339,20 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def expressions(name: str) -> tuple[str, list[str]]:
+    """Base table and select expressions of a derived table."""
+    source, _, columns = TABLES[name]
+    return source, [f"{_fill(e, SPARK)} AS {c}" for c, e in columns.items()]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table; only the base columns its reader uses are scanned."""
-    source, condition, columns = TABLES[name]
+    source, columns = expressions(name)
     df = base(spark, sf_dir, source)
+    condition = TABLES[name][1]
     if condition:
         df = df.where(condition)
-    return df.selectExpr(*[f"{_fill(e, SPARK)} AS {c}" for c, e in columns.items()])
+    return df.selectExpr(*columns)
 
 
 def _fill(expression: str, dialect: dict[str, str]) -> str:
