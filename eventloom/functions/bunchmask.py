@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,10 +47,12 @@ def unmasked(text: Column) -> Column:
     def decode(texts: pd.Series) -> pd.Series:
         def one(t):
             try:
-                return [i for i, letter in enumerate(expand(t)) if letter == "L"]
+                letters = np.frombuffer(expand(t).encode(), dtype="S1")
+                return np.flatnonzero(letters == b"L").astype(np.int32)
             except ValueError:
                 return None
 
         return texts.map(one, na_action="ignore")
 
-    return decode(text)
+    # marked so that a filter on the result does not decode a second time
+    return decode.asNondeterministic()(text)

@@ -155,7 +155,7 @@ def merge_split_vertices(
     df = df.withColumn("_reach", cut / F.col("_least") * F.sqrt(2 * F.col("_widest")))
     df = islands(
         df, keys, F.floor(F.col("z") / block_width), ["z", "obj_id"], {"z": F.col("z")},
-        lambda: F.col("z") - F.col("_prev_z") > F.col("_reach"), name="_stretch",
+        lambda: F.col("z") - F.col("_prev_z") > F.col("_reach"), uses=["z", "_reach"], name="_stretch",
     )
     row = F.struct((-F.col("n_indices")).alias("_rank"), F.col("obj_id").alias("_id"), *others, "bunch")
     stretches = df.groupBy(*keys, "_stretch").agg(F.sort_array(F.collect_list(row)).alias("v"))

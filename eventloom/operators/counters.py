@@ -5,13 +5,13 @@ Counters are raw 32-bit readings; a record has one value per level.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.clocks import ORBIT_FREQUENCY, ORBIT_MICROSECONDS
-from eventloom.operators.ordered import blocked
+from eventloom.operators.ordered import stepped
 
 # Counter range, smallest drop taken for an overflow, allowed excess of a
 # level over the one before it (a larger one for the pair at index 1), bunches.
@@ -27,26 +27,21 @@ def overflowed(now: Column, before: Column) -> Column:
 
 
 def corrected(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, levels: Sequence[str]
-) -> DataFrame:
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, levels: Sequence[str],
+    carry: Sequence[str] = (),
+) -> DataFrame:
     """Adds the count of every level continued over its overflows.
 
-    ``<level>_total`` is the reading plus 2^32 for each overflow so far, and
-    ``<level>_before`` / ``prev_<order>`` what the previous record had.
+    ``<level>_total`` is the reading plus 2^32 for each overflow so far; ``<level>_before`` and
+    ``prev_<column>`` (of ``order`` and ``carry``) are the previous record's.
     """
-    lag = {f"_p_{c}": F.col(c) for c in levels} | {f"prev_{c}": F.col(c) for c in order}
-    df = blocked(df, keys, block, order, lag=lag)
-    steps = {
-        f"_n_{c}": F.coalesce(overflowed(F.col(c), F.col(f"_p_{c}")), F.lit(False)).cast("bigint") for c in levels
-    }
-    df = df.withColumns(steps)
-    df = blocked(df, keys, block, order, running={f"_o_{c}": F.col(f"_n_{c}") for c in levels})
+    prev = {f"_p_{c}": F.col(c) for c in levels} | {f"prev_{c}": F.col(c) for c in (*order, *carry)}
+    steps = {f"_o_{c}": overflowed(F.col(c), F.col(f"_p_{c}")) for c in levels}
+    df = stepped(df, keys, block, order, prev, steps, uses=levels)
+    now = {c: F.coalesce(overflowed(F.col(c), F.col(f"_p_{c}")), F.lit(False)).cast("bigint") for c in levels}
     totals = {f"{c}_total": F.col(c) + F.col(f"_o_{c}") * RANGE for c in levels}
-    befores = {
-        f"{c}_before": F.col(f"_p_{c}") + (F.col(f"_o_{c}") - F.col(f"_n_{c}")) * RANGE for c in levels
-    }
-    helpers = [f"_{k}_{c}" for k in "pno" for c in levels]
-    return df.withColumns(totals | befores).drop(*helpers)
+    befores = {f"{c}_before": F.col(f"_p_{c}") + (F.col(f"_o_{c}") - now[c]) * RANGE for c in levels}
+    return df.withColumns(totals | befores).drop(*[f"_{k}_{c}" for k in "po" for c in levels])
 
 
 def verdict(levels: Sequence[str], time: Sequence[str]) -> Column:
@@ -85,14 +80,16 @@ def whole_run_delta(df: DataFrame, keys: Sequence[str], order: Sequence[str], le
     return df.groupBy(*keys).agg(*deltas, F.count("*").alias("n_records"))
 
 
-def intervals(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, values: Sequence[str]
-) -> DataFrame:
-    """One row per pair of neighbouring records: each value's growth ``d_<value>``."""
-    df = blocked(df, keys, block, order, lead={f"_next_{c}": F.col(c) for c in values})
-    df = df.where(F.col(f"_next_{values[0]}").isNotNull())
-    return df.withColumns({f"d_{c}": F.col(f"_next_{c}") - F.col(c) for c in values}).drop(
-        *[f"_next_{c}" for c in values]
+def intervals(records: DataFrame, keys: Sequence[str], time: str, levels: Mapping[str, str]) -> DataFrame:
+    """One row per pair of neighbouring records, from corrected ones.
+
+    ``start`` and ``d_time`` say when and how long; ``d_<name>`` is the growth of each of the
+    named levels.
+    """
+    growth = [(F.col(f"{c}_total") - F.col(f"{c}_before")).alias(f"d_{n}") for n, c in levels.items()]
+    start = F.col(f"prev_{time}")
+    return records.where(start.isNotNull()).select(
+        *keys, F.col("prev_rec").alias("rec"), start.alias("start"), (F.col(time) - start).alias("d_time"), *growth
     )
 
 

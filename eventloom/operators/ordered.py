@@ -90,6 +90,71 @@ def numbered(
     return blocked(df, keys, block, order, running={name: F.lit(1).cast("bigint")})
 
 
+def stepped(
+    df: DataFrame,
+    keys: Sequence[str],
+    block: Column,
+    order: Sequence[str],
+    prev: Mapping[str, Column],
+    steps: Mapping[str, Column],
+    uses: Sequence[str],
+) -> DataFrame:
+    """Previous row's values, and how often a comparison with them held so far.
+
+    ``prev`` names values of the previous row in the key (null for the first one).  Each of
+    ``steps`` is a condition over the row (columns ``uses``) and those names; its column counts
+    the rows up to here for which it is true.  Both come out of one pass: a block passes
+    on its last row, its first row, and the steps between them; whether its first row is
+    a step is decided between the blocks.
+    """
+    keys, order = list(keys), list(order)
+    df = df.withColumn("_block", block)
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
+    position = F.struct(*order)
+    first = F.row_number().over(inside) == 1
+    rows = df.withColumns({n: F.lag(c).over(inside) for n, c in prev.items()} | {"_first": first})
+
+    def taken(condition: Column) -> Column:
+        return F.coalesce(condition, F.lit(False)).cast("bigint")
+
+    rows = rows.withColumns(
+        {f"_step_{n}": F.when(F.col("_first"), F.lit(0).cast("bigint")).otherwise(taken(c)) for n, c in steps.items()}
+    )
+    # the values of a row as its successor will see them
+    passed_on = F.struct(*[c.alias(n) for n, c in prev.items()])
+    edges = rows.groupBy(*keys, "_block").agg(
+        F.max_by(passed_on, position).alias("_tail"),
+        F.min_by(F.struct(*uses), position).alias("_head"),
+        *[F.sum(f"_step_{n}").alias(f"_sum_{n}") for n in steps],
+    )
+    across = Window.partitionBy(*keys).orderBy("_block")
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    met = edges.withColumn("_tail", F.lag("_tail").over(across)).select(
+        *keys,
+        "_block",
+        *[F.col(f"_head.{c}").alias(c) for c in uses if c not in keys],
+        *[F.col(f"_tail.{n}").alias(n) for n in prev],
+        *[f"_sum_{n}" for n in steps],
+    )
+    met = met.withColumns({f"_enter_{n}": taken(c) for n, c in steps.items()})
+    inherited = met.select(
+        *keys,
+        "_block",
+        *[F.col(n).alias(f"_in_{n}") for n in prev],
+        *[
+            (F.coalesce(F.sum(F.col(f"_sum_{n}") + F.col(f"_enter_{n}")).over(before), F.lit(0)) + F.col(f"_enter_{n}")).alias(f"_base_{n}")
+            for n in steps
+        ],
+    )
+    joined = rows.join(inherited, [*keys, "_block"], "left")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = {n: F.when(F.col("_first"), F.col(f"_in_{n}")).otherwise(F.col(n)) for n in prev}
+    out |= {n: F.col(f"_base_{n}") + F.sum(f"_step_{n}").over(upto) for n in steps}
+    helpers = ["_block", "_first", *[f"_in_{n}" for n in prev]]
+    helpers += [f"_{k}_{n}" for n in steps for k in ("step", "base")]
+    return joined.withColumns(out).drop(*helpers)
+
+
 def islands(
     df: DataFrame,
     keys: Sequence[str],
@@ -97,17 +162,15 @@ def islands(
     order: Sequence[str],
     values: Mapping[str, Column],
     starts,
+    uses: Sequence[str],
     name: str = "island",
 ) -> DataFrame:
     """Number runs of consecutive rows.
 
-    ``values`` are made available as the previous row's ``_prev_<name>``; the
-    callable ``starts()`` returns the Column telling that a new run begins here.
-    A key's first row always begins run 1.
+    ``values`` are available as the previous row's ``_prev_<name>``; the callable ``starts()``
+    returns the Column telling that a new run begins here, from those and the columns
+    ``uses``.  A key's first row always begins run 1.
     """
-    lagged = {f"_prev_{n}": c for n, c in values.items()}
-    lagged["_prev_row"] = F.lit(True)
-    df = blocked(df, keys, block, order, lag=lagged)
-    flag = F.col("_prev_row").isNull() | F.coalesce(starts(), F.lit(False))
-    df = df.withColumn("_starts", flag.cast("bigint")).drop(*lagged)
-    return blocked(df, keys, block, order, running={name: F.col("_starts")}).drop("_starts")
+    prev = {f"_prev_{n}": c for n, c in values.items()} | {"_prev_row": F.lit(True)}
+    begins = F.col("_prev_row").isNull() | F.coalesce(starts(), F.lit(False))
+    return stepped(df, keys, block, order, prev, {name: begins}, uses).drop(*prev)

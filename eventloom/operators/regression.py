@@ -144,11 +144,21 @@ def smoothed(
     ranked = numbered(series, keys, F.floor(F.col("t") / block_width), ["t", "id"], name="_rank")
     ranked = ranked.select(*keys, F.col("t").alias("_t"), F.col("y").alias("_y"), (F.col("_rank") - 1).alias("_place"))
     sizes = ranked.groupBy(*keys).agg(F.count("*").alias("_size"))
-    df = requests.join(sizes, keys, "left")
     reach = sigmas * width
-    for name, at in (("_i0", F.col("t") - reach), ("_i1", F.col("t") + reach), ("_im", F.col("t"))):
-        df = asof(df, ranked, keys, at, F.col("_t"), block_width, right_order=["_place"], match="_m")
-        df = df.withColumn(name, F.coalesce(F.col("_m._place"), F.lit(-1).cast("bigint"))).drop("_m")
+    # one stream of three questions per request: the places before the window, in its middle and at its end
+    asked = requests.select(
+        "*",
+        F.inline(
+            F.array(*[F.struct(F.lit(n).alias("_which"), at.alias("_ask")) for n, at in
+                      (("_i0", F.col("t") - reach), ("_im", F.col("t")), ("_i1", F.col("t") + reach))])
+        ),
+    )
+    answers = asof(asked, ranked, keys, F.col("_ask"), F.col("_t"), block_width, right_order=["_place"], match="_m")
+    place = F.coalesce(F.col("_m._place"), F.lit(-1).cast("bigint"))
+    df = answers.groupBy(*names).agg(
+        *[F.max(F.when(F.col("_which") == n, place)).alias(n) for n in ("_i0", "_im", "_i1")]
+    )
+    df = df.join(sizes, keys, "left")
     half = SMOOTH_LEAST // 2
     few = F.col("_i1") - F.col("_i0") < SMOOTH_LEAST
     first = F.when(few, F.col("_im") - half).otherwise(F.col("_i0"))

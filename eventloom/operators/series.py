@@ -100,5 +100,6 @@ def gap_clusters(
         [z, *tie],
         {"z": F.col(z), "e2": F.col(error2)},
         starts,
+        uses=[z, error2],
         name="cluster",
     )

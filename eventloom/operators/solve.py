@@ -56,6 +56,8 @@ def solved(
             variances.append(np.diag(inverse).tolist())
         return pd.DataFrame({"coefficients": coefficients, "variances": variances})
 
+    # marked so that a filter on the result does not solve a second time
+    solve = solve.asNondeterministic()
     found = sums.withColumn("_s", solve(matrix, right)).select(
         *keys, "n_points", "_vv", right.alias("_right"), "_s.coefficients", "_s.variances"
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from eventloom.operators.asof import asof
 from eventloom.operators.ordered import blocked, numbered
 from eventloom.operators.solve import solved
+from eventloom.session import cut_lineage
 
 # Fixed value: a knot is dispensable if the curve without it passes this close (chi2 per 8).
 KNOT_CUT = 5.0
@@ -64,19 +65,21 @@ def local_fits(series: DataFrame, keys: Sequence[str], per_knot: int, block_widt
     ranked = numbered(series, keys, F.floor(F.col("t") / block_width), ["t", "id"])
     chunk = F.floor((F.col("rank") - 1) / per_knot)
     inside = (F.col("rank") - 1) % per_knot
-    half = F.lit(per_knot // 2)
-    neighbour = F.when(inside < half, chunk - 1).otherwise(chunk + 1)
-    spread = ranked.withColumn("chunk", F.explode(F.array(chunk, neighbour)))
-    own = F.col("chunk") == chunk
-    centres = spread.where(own).groupBy(*keys, "chunk").agg(F.avg("t").alias("x0"))
-    # neighbours that do not exist are dropped by the join
-    local = spread.join(centres, [*keys, "chunk"]).withColumn("_d", F.col("t") - F.col("x0"))
-    reach = local.groupBy(*keys, "chunk").agg(F.max(F.abs("_d")).alias("_w"))
-    scaled = local.join(reach, [*keys, "chunk"]).withColumn("_u", F.try_divide(F.col("_d"), F.col("_w")))
-    u = F.coalesce(F.col("_u"), F.lit(0.0))
-    basis = [F.lit(1.0), u, u * u, u * u * u]
-    fits = solved(scaled, [*keys, "chunk", "x0", "_w"], basis, F.col("y"), F.lit(1.0))
-    enough = fits.where(F.col("n_points") > POINTS_LEAST)
+    neighbour = F.when(inside < per_knot // 2, chunk - 1).otherwise(chunk + 1)
+    home = F.struct(chunk.alias("chunk"), F.lit(True).alias("own"))
+    guest = F.struct(neighbour.alias("chunk"), F.lit(False).alias("own"))
+    spread = ranked.select(*keys, "t", "y", F.inline(F.array(home, guest)))
+    # centre and half width of what a chunk's fit covers; chunks beyond either end have no own points
+    spans = (
+        spread.groupBy(*keys, "chunk")
+        .agg(F.min("t").alias("_from"), F.max("t").alias("_to"), F.bool_or("own").alias("_real"))
+        .where("_real")
+        .select(*keys, "chunk", ((F.col("_from") + F.col("_to")) / 2).alias("x0"), ((F.col("_to") - F.col("_from")) / 2).alias("_w"))
+    )
+    scaled = spread.join(spans, [*keys, "chunk"])
+    u = F.coalesce(F.try_divide(F.col("t") - F.col("x0"), F.col("_w")), F.lit(0.0))
+    fits = solved(scaled, [*keys, "chunk", "x0", "_w"], [F.lit(1.0), u, u * u, u * u * u], F.col("y"), F.lit(1.0))
+    enough = fits.where((F.col("n_points") > POINTS_LEAST) & F.col("coefficients").isNotNull())
     return enough.select(
         *keys,
         "chunk",
@@ -108,7 +111,8 @@ def without_spare_knots(knots: DataFrame, keys: Sequence[str], block_width: floa
         off = polynomial(d, parts) - F.col("value")
         chi2 = F.try_divide(off * off, F.col("value_var"))
         spare = (F.col("_place") % 2 == 0) & F.col("_l_x0").isNotNull() & F.col("_r_x0").isNotNull() & (chi2 / 8 <= KNOT_CUT)
-        knots = df.where(~F.coalesce(spare, F.lit(False))).select(*knots.columns)
+        # a knot stands for many points, so storing the knots between rounds is cheap
+        knots = cut_lineage(df.where(~F.coalesce(spare, F.lit(False))).select(*knots.columns))
     return knots
 
 
@@ -129,5 +133,5 @@ def curve(knots: DataFrame, keys: Sequence[str], block_width: float) -> DataFram
 
 def fitted(series: DataFrame, keys: Sequence[str], per_knot: int, block_width: float, rounds: int = 2) -> DataFrame:
     """A smooth curve per key through noisy points (t, y, id)."""
-    knots = local_fits(series, keys, per_knot, block_width)
+    knots = cut_lineage(local_fits(series, keys, per_knot, block_width))
     return curve(without_spare_knots(knots, keys, block_width, rounds), keys, block_width)

@@ -412,6 +412,7 @@ def run_length_error_log(spark, sf):
         ["seq"],
         {n: C(n) for n in names},
         starts,
+        uses=names,
     )
     return runs.groupBy("file_id", "island").agg(*[F.first(n).alias(n) for n in names], F.count("*").alias("n"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import padrows
 from eventloom.operators import counters, machine, series, spacing
+from eventloom.operators.ordered import blocked
 from eventloom.plans.domain import base, table
 from eventloom.plans.joins import BUNCHES_SQL, bunch_records
 from eventloom.plans.registry import query, r6
@@ -31,7 +32,7 @@ CORRECTED_SQL = f"""l AS (SELECT *, {_LAGS} FROM counters WINDOW w AS (PARTITION
 
 
 def corrected(spark, sf):
-    return counters.corrected(table(spark, sf, "counters"), ["run"], [*TIME, "rec"], C(BLOCK), LEVELS)
+    return counters.corrected(table(spark, sf, "counters"), ["run"], [*TIME, "rec"], C(BLOCK), LEVELS, ["orbit_abs"])
 
 
 @query(
@@ -83,11 +84,7 @@ INTERVALS_SQL = f"""{CORRECTED_SQL},
 
 
 def _intervals(spark, sf):
-    df = corrected(spark, sf).select(
-        "run", "rec", "period", "orbit_abs", C("c2_total").alias("l0"), C("c5_total").alias("l2")
-    )
-    values = ["orbit_abs", "l0", "l2"]
-    return counters.intervals(df, ["run"], ["orbit_abs", "rec"], C(BLOCK), values)
+    return counters.intervals(corrected(spark, sf), ["run"], "orbit_abs", {"l0": "c2", "l2": "c5"})
 
 
 @query(
@@ -97,7 +94,7 @@ def _intervals(spark, sf):
 )
 def elapsed_orbits(spark, sf):
     return _intervals(spark, sf).select(
-        "run", "rec", C("d_orbit_abs").alias("d_orbit"), r6(counters.seconds(C("d_orbit_abs"))).alias("seconds")
+        "run", "rec", C("d_time").alias("d_orbit"), r6(counters.seconds(C("d_time"))).alias("seconds")
     )
 
 
@@ -108,8 +105,8 @@ def elapsed_orbits(spark, sf):
     ("counters",),
 )
 def rate_and_error(spark, sf):
-    df = _intervals(spark, sf).where("d_orbit_abs > 0 AND d_l0 >= 0")
-    value, error = counters.rate(C("d_l0"), counters.seconds(C("d_orbit_abs")))
+    df = _intervals(spark, sf).where("d_time > 0 AND d_l0 >= 0")
+    value, error = counters.rate(C("d_l0"), counters.seconds(C("d_time")))
     return df.select(
         "run",
         "rec",
@@ -158,8 +155,8 @@ def whole_run_rate(spark, sf):
 def rate_curve(spark, sf):
     df = _intervals(spark, sf)
     first = table(spark, sf, "counters").groupBy("run").agg(F.min("orbit_abs").alias("first_orbit"))
-    dt = counters.seconds(C("d_orbit_abs"))
-    t0 = counters.seconds(C("orbit_abs") - C("first_orbit"))
+    dt = counters.seconds(C("d_time"))
+    t0 = counters.seconds(C("start") - C("first_orbit"))
     time, half = counters.curve_point(t0, dt, F.lit(0.0))
     value, _ = counters.rate(C("d_l0"), dt)
     share, _ = counters.ratio(C("d_l2"), C("d_l0"))
@@ -168,7 +165,7 @@ def rate_curve(spark, sf):
         "rec",
         r6(time).alias("time"),
         r6(half).alias("half_width"),
-        F.when((C("d_orbit_abs") > 0) & (C("d_l0") >= 0), r6(value)).otherwise(-1.0).alias("rate"),
+        F.when((C("d_time") > 0) & (C("d_l0") >= 0), r6(value)).otherwise(-1.0).alias("rate"),
         F.when(C("d_l0") > 0, r6(share)).otherwise(-1.0).alias("ratio"),
     )
 
@@ -185,8 +182,8 @@ def rate_curve(spark, sf):
     ("counters",),
 )
 def pile_up(spark, sf):
-    df = _intervals(spark, sf).where("d_orbit_abs > 0 AND d_l0 > 0 AND d_l2 >= 0")
-    trials, other = C("d_orbit_abs") * F.lit(900.0), C("d_orbit_abs") * F.lit(700.0)
+    df = _intervals(spark, sf).where("d_time > 0 AND d_l0 > 0 AND d_l2 >= 0")
+    trials, other = C("d_time") * F.lit(900.0), C("d_time") * F.lit(700.0)
     mu, error = counters.pile_up(C("d_l0"), trials, C("d_l2") / 10, other, 0.8, 0.05)
     plain, _ = counters.pile_up(C("d_l0"), trials, F.lit(0), F.lit(0.0), 0.8)
     return df.select("run", "rec", r6(mu).alias("mu"), r6(error).alias("error"), r6(plain).alias("mu_plain"))
@@ -207,7 +204,7 @@ def pile_up(spark, sf):
 )
 def luminosity(spark, sf):
     rows = table(spark, sf, "counters").select("run", "rec", "us", "period", "c3")
-    linked = counters.blocked(
+    linked = blocked(
         rows, ["run"], C(BLOCK), ["us", "rec"], lead={"next_c": C("c3"), "next_us": C("us")}
     ).where("next_us IS NOT NULL")
     lasting = rows.groupBy("run").agg((F.max("us") - F.min("us")).alias("span")).where("span >= 1000000").select("run")

@@ -13,6 +13,9 @@ SETTINGS = {
     # split a hot join key even when the rows need another exchange afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # the JVM does not compile methods beyond 8000 bytes; stages that long run better
+    # operator by operator, in many small generated functions
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
