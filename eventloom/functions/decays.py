@@ -5,6 +5,8 @@ A momentum or a position is a tuple of three Columns.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,37 +115,49 @@ def pair_mass(positive: Vector, negative: Vector, mass_positive, mass_negative)
     return F.sqrt(F.greatest(square, F.lit(0.0)))
 
 
-def _quality(first: Vector, second: Vector, e_total: Column, m_first, m_second, parent, momentum) -> Column:
-    """How far the decay is from the two-body kinematics of ``parent`` (0 = exact)."""
+def two_body(first: Vector, second: Vector) -> dict[str, Column]:
+    """What the hypothesis tests need of two momenta; worth a column each, as all tests share it."""
     total = add(first, second)
-    p = norm(total)
-    beta = p / e_total
-    a, b = _along(first, total), _along(second, total)
+    return {
+        "p": norm(total),
+        "along_first": _along(first, total),
+        "along_second": _along(second, total),
+        "first2": dot(first, first),
+        "second2": dot(second, second),
+    }
+
+
+def _quality(s: Mapping[str, Column], e_total: Column, m_first, m_second, parent, momentum) -> Column:
+    """How far the decay is from the two-body kinematics of ``parent`` (0 = exact)."""
+    a, b = s["along_first"], s["along_second"]
+    beta = s["p"] / e_total
     asymmetry = F.try_divide(a - b, a + b) - (m_first**2 - m_second**2) / parent**2
-    transverse2 = dot(first, first) - a * a
+    transverse2 = s["first2"] - a * a
     return 0.25 * beta * beta * parent**2 * asymmetry * asymmetry + transverse2 - momentum**2
 
 
-def pair_hypothesis(positive: Vector, negative: Vector, code: int) -> tuple[Column, Column]:
-    """(invariant mass, kinematic quality) of a pair under a hypothesis."""
+def pair_hypothesis(s: Mapping[str, Column], code: int) -> tuple[Column, Column]:
+    """(invariant mass, kinematic quality) of a pair (positive, negative leg) under a hypothesis."""
     plus, minus, parent, momentum = PAIR_HYPOTHESES.get(code, PAIR_HYPOTHESES[PAIR_DEFAULT])
     m_plus, m_minus, m_parent = MASSES[plus], MASSES[minus], MASSES[parent]
-    e = energy(positive, m_plus) + energy(negative, m_minus)
-    total = add(positive, negative)
-    mass = F.sqrt(F.greatest(e * e - dot(total, total), F.lit(0.0)))
-    return mass, _quality(positive, negative, e, m_plus, m_minus, m_parent, momentum)
+    e = F.sqrt(m_plus**2 + s["first2"]) + F.sqrt(m_minus**2 + s["second2"])
+    mass = F.sqrt(F.greatest(e * e - s["p"] * s["p"], F.lit(0.0)))
+    return mass, _quality(s, e, m_plus, m_minus, m_parent, momentum)
+
 
+def cascade_hypothesis(
+    inner: Mapping[str, Column], outer: Mapping[str, Column], code: int
+) -> tuple[Column, Column, Column]:
+    """(mass, quality, quality of the inner pair) of a cascade under a hypothesis.
 
-def cascade_hypothesis(positive: Vector, negative: Vector, bachelor: Vector, code: int) -> tuple[Column, Column, Column]:
-    """(mass, quality, quality of the inner pair) of a cascade under a hypothesis."""
+    ``inner`` is :func:`two_body` of the pair's legs, ``outer`` that of (pair, bachelor).
+    """
     m_plus, m_minus, m_bachelor, parent, momentum = CASCADE_HYPOTHESES[code]
-    pair = add(positive, negative)
-    e_pair = energy(pair, CASCADE_PAIR_MASS)
-    inner = _quality(positive, negative, e_pair, m_plus, m_minus, CASCADE_PAIR_MASS, CASCADE_PAIR_MOMENTUM)
-    e = e_pair + energy(bachelor, m_bachelor)
-    p = norm(add(pair, bachelor))
-    mass = F.sqrt(F.greatest((e - p) * (e + p), F.lit(0.0)))
-    return mass, _quality(pair, bachelor, e, CASCADE_PAIR_MASS, m_bachelor, parent, momentum), inner
+    e_pair = F.sqrt(CASCADE_PAIR_MASS**2 + outer["first2"])
+    pair_quality = _quality(inner, e_pair, m_plus, m_minus, CASCADE_PAIR_MASS, CASCADE_PAIR_MOMENTUM)
+    e = e_pair + F.sqrt(m_bachelor**2 + outer["second2"])
+    mass = F.sqrt(F.greatest((e - outer["p"]) * (e + outer["p"]), F.lit(0.0)))
+    return mass, _quality(outer, e, CASCADE_PAIR_MASS, m_bachelor, parent, momentum), pair_quality
 
 
 def impact_2d(at: Vector, p: Vector, point: Vector) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.functions import status, tracks, triggers
-from eventloom.operators import eventwise, histograms, machine, robust, tables
+from eventloom.operators import counters, eventwise, histograms, machine, robust, tables
 from eventloom.operators.ordered import islands
 from eventloom.plans.domain import base, table
 from eventloom.plans.filters import CENTRALITY_SQL, centrality
@@ -498,8 +498,6 @@ def active_detectors(spark, sf):
     ("counters",),
 )
 def whole_run_delta(spark, sf):
-    from eventloom.operators import counters
-
     found = counters.whole_run_delta(table(spark, sf, "counters"), ["run"], ["us", "rec"], ["c5", "us"])
     return found.select("run", C("d_c5").alias("delta"), C("d_us").alias("elapsed"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventloom.operators import conditions, embedding, lookups, tables
+from eventloom.operators import conditions, embedding, lookups, machine, quality, tables
 from eventloom.operators.asof import asof, nearest_record
 from eventloom.operators.ordered import numbered
 from eventloom.plans.derived import decays
@@ -476,8 +476,6 @@ def unreferenced_objects(spark, sf):
        FROM h LEFT JOIN r a ON a.name = h.name LEFT JOIN r b ON b.name = h.base_name""",
 )
 def reference_histogram(spark, sf):
-    from eventloom.operators import quality
-
     part = base(spark, sf, "part")
     name = F.concat_ws("_", "p_brand", "p_type")
     hist = part.select(C("p_partkey").alias("hist"), name.alias("name"))
@@ -537,8 +535,6 @@ def bunch_records(spark, sf):
        SELECT fill, rec, len(list_filter(s1, lambda s: list_contains(s2, s))) AS n_interacting FROM x WHERE s2 IS NOT NULL""",
 )
 def interacting_bunches(spark, sf):
-    from eventloom.operators import machine
-
     rows = bunch_records(spark, sf)
     first, second = rows.where("beam = 0").drop("beam"), rows.where("beam = 1").drop("beam")
     flagged = machine.interacting(first, second, ["fill"], 3600.0)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import calibration, clocks, decays, muons, tracks, vertices
 from eventloom.operators import tables
+from eventloom.operators.ordered import blocked
 from eventloom.plans.derived import decays as decay_table
 from eventloom.plans.derived import vector
 from eventloom.plans.domain import base, table
@@ -359,11 +360,18 @@ def _cascade_sql(code: int) -> str:
     ("decays",),
 )
 def pair_hypotheses(spark, sf):
+    df, inner = _staged(decay_table(spark, sf), "i_", vector("pp"), vector("np"))
     tested = []
     for code in decays.PAIR_HYPOTHESES:
-        mass, quality = decays.pair_hypothesis(vector("pp"), vector("np"), code)
+        mass, quality = decays.pair_hypothesis(inner, code)
         tested.append(F.struct(F.lit(code).alias("code"), r6(mass).alias("mass"), r6(quality).alias("quality")))
-    return decay_table(spark, sf).select("event_idx", F.inline(F.array(*tested)))
+    return df.select("event_idx", F.inline(F.array(*tested)))
+
+
+def _staged(df, prefix, first, second):
+    """The shared two-body quantities as columns, computed once for all hypotheses."""
+    shared = decays.two_body(first, second)
+    return df.withColumns({f"{prefix}{n}": v for n, v in shared.items()}), {n: C(f"{prefix}{n}") for n in shared}
 
 
 @query(
@@ -372,12 +380,15 @@ def pair_hypotheses(spark, sf):
     ("decays",),
 )
 def cascade_hypotheses(spark, sf):
+    pos, neg = vector("pp"), vector("np")
+    df, inner = _staged(decay_table(spark, sf), "i_", pos, neg)
+    df, outer = _staged(df, "o_", decays.add(pos, neg), vector("bp"))
     tested = []
     for code in decays.CASCADE_HYPOTHESES:
-        values = decays.cascade_hypothesis(vector("pp"), vector("np"), vector("bp"), code)
+        values = decays.cascade_hypothesis(inner, outer, code)
         names = ("mass", "quality", "pair_quality")
         tested.append(F.struct(F.lit(code).alias("code"), *[r6(v).alias(n) for v, n in zip(values, names)]))
-    return decay_table(spark, sf).select("event_idx", F.inline(F.array(*tested)))
+    return df.select("event_idx", F.inline(F.array(*tested)))
 
 
 @query(
@@ -629,8 +640,6 @@ def beam_energy_scale(spark, sf):
        SELECT user_id, event_id, r6(stamp - old_stamp) AS delta_t, r6(value - old_value) AS delta_vm FROM l""",
 )
 def resource_log_deltas(spark, sf):
-    from eventloom.operators.ordered import blocked
-
     df = table(spark, sf, "readings").drop("sensor").join(
         base(spark, sf, "events").select(C("event_id").alias("rec"), "user_id"), "rec"
     )

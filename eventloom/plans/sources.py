@@ -70,8 +70,8 @@ def nested_events(spark, sf):
     return nested.nest(_headers(spark, sf), objects)
 
 
-def written_events(spark, sf, extra_suffix: str | None = None):
-    """Folder with the event records as Parquet files, and perhaps files of another suffix."""
+def written_events(spark, sf):
+    """Folder with the event records as Parquet files."""
     path = work_path(spark, "events")
     nested_events(spark, sf).write.parquet(path)
     return path
@@ -253,7 +253,7 @@ def multi_table_sink(spark, sf):
 
 @query("a10_table_profile", _PROFILE)
 def table_profile(spark, sf):
-    return sinks.profile(nested.flatten(nested_events(spark, sf)))
+    return sinks.profile(nested.flatten(nested.read_events(spark, written_events(spark, sf))))
 
 
 @query(
