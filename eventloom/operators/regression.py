@@ -16,6 +16,7 @@ from eventloom.operators.asof import asof
 from eventloom.operators.ordered import numbered
 from eventloom.operators.ranges import range_join
 from eventloom.operators.solve import solved
+from eventloom.session import cut_lineage
 
 Axis = tuple[str, int, float, float]
 
@@ -182,17 +183,26 @@ def smoothed(
         }
     )
     steps = F.greatest(F.col("_hi") - F.col("_lo") - 2, F.lit(0).cast("bigint"))
-    asked = df.select(*names, "_lo", "_hi", F.least(F.lit(degree), steps).cast("int").alias("_degree"))
+    # stored, as every degree below looks these ranges up again
+    asked = cut_lineage(df.select(*names, "_lo", "_hi", F.least(F.lit(degree), steps).cast("int").alias("_degree")))
     near = range_join(ranked, asked, "_place", "_lo", "_hi", on=keys, width=16)
     if logarithm:
         near = near.where("_y > 0").withColumn("_y", F.log("_y"))
     u = (F.col("_t") - F.col("t")) / width
-    weight = F.exp(-2 * F.least(u * u, F.lit(SMOOTH_LIMIT)))
+    near = near.withColumn("_u", u).withColumn("_w", F.exp(-2 * F.least(F.col("_u") * F.col("_u"), F.lit(SMOOTH_LIMIT))))
+    # measured from the weighted mean, or one near point would drown all the others
+    middle = near.groupBy(*names).agg((F.sum(F.col("_w") * F.col("_u")) / F.sum("_w")).alias("_mid"))
+    near = near.join(middle, names).withColumn("_v", F.col("_u") - F.col("_mid"))
     found = None
     for k in range(degree + 1):
         part = near.where(F.col("_degree") == k)
-        fit = solved(part, names, [F.pow(u, F.lit(p)) for p in range(k + 1)], F.col("_y"), weight)
-        one = fit.where(F.col("n_points") > SMOOTH_LEAST).select(*names, F.element_at("coefficients", 1).alias("smooth"))
+        basis = [F.pow("_v", F.lit(p)) for p in range(k + 1)]
+        fit = solved(part, [*names, "_mid"], basis, F.col("_y"), F.col("_w"))
+        at_request = sum(
+            (F.element_at("coefficients", p + 1) * F.pow(-F.col("_mid"), F.lit(p)) for p in range(1, k + 1)),
+            F.element_at("coefficients", 1),
+        )
+        one = fit.where(F.col("n_points") > SMOOTH_LEAST).select(*names, at_request.alias("smooth"))
         found = one if found is None else found.unionByName(one)
     joined = requests.join(found, names, "left")
     value = F.exp("smooth") if logarithm else F.col("smooth")

@@ -182,8 +182,10 @@ def piecewise_cubic(spark, sf):
        d AS (SELECT sensor, t, rec, greatest(CASE WHEN hi >= n THEN lo - (hi - n) ELSE lo END, 0) AS lo, CASE WHEN hi >= n THEN n - 1 ELSE hi END AS hi FROM c),
        w AS (SELECT d.sensor, d.rec, least(1, greatest(hi - lo - 2, 0)) AS deg, (s.t - d.t) / 2000 AS u, y, exp(-2 * least(pow((s.t - d.t) / 2000, 2), 100)) AS w
          FROM d JOIN s ON s.sensor = d.sensor AND s.i BETWEEN lo AND hi),
-       m AS (SELECT sensor, rec, any_value(deg) AS deg, count(*) AS n, sum(w) AS s0, sum(w * u) AS s1, sum(w * u * u) AS s2, sum(w * y) AS t0, sum(w * u * y) AS t1 FROM w GROUP BY sensor, rec)
-       SELECT sensor, rec, r6(CASE WHEN n <= 4 THEN 0 WHEN deg = 1 THEN (t0 * s2 - t1 * s1) / (s0 * s2 - s1 * s1) ELSE t0 / s0 END) AS smooth FROM m""",
+       v AS (SELECT *, sum(w * u) OVER k / sum(w) OVER k AS um, sum(w * y) OVER k / sum(w) OVER k AS ym FROM w WINDOW k AS (PARTITION BY sensor, rec)),
+       m AS (SELECT sensor, rec, any_value(deg) AS deg, count(*) AS n, any_value(um) AS um, any_value(ym) AS ym,
+         sum(w * (u - um) * (y - ym)) / sum(w * (u - um) * (u - um)) AS slope FROM v GROUP BY sensor, rec)
+       SELECT sensor, rec, r6(CASE WHEN n <= 4 THEN 0 WHEN deg = 1 THEN ym - slope * um ELSE ym END) AS smooth FROM m""",
     ("readings",),
 )
 def kernel_smoothing(spark, sf):
