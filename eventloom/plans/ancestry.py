@@ -99,7 +99,10 @@ def generator_of_particle(spark, sf):
     listed = base(spark, sf, "region").select(
         F.lit(1).alias("one"), C("r_regionkey").alias("pos"), C("r_name").alias("name"), (1 + C("r_regionkey")).alias("n_produced")
     )
-    generators = events.select(*KEYS, F.lit(1).alias("one")).join(listed, "one").drop("one")
+    # every event has the same handful of generators: one row with a list, spread out per event
+    one_row = listed.groupBy("one").agg(F.collect_list(F.struct("pos", "name", "n_produced")).alias("g"))
+    spread = events.select(*KEYS, F.lit(1).alias("one")).join(F.broadcast(one_row), "one")
+    generators = spread.select(*KEYS, F.inline("g"))
     found = ancestry.generators_of(particles(spark, sf), generators, events, KEYS)
     return found.select("event_idx", "idx", "generator", "name")
 
