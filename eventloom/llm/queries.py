@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import packing
+from eventloom.llm import lines, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+LINES_SQL = f"""
+WITH parts AS (
+  SELECT coalesce(doc_id, -9223372036854775808) AS id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents
+), lines AS (
+  SELECT id, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM parts
+), keyed AS (
+  SELECT *, translate(trim(line, {_SPACES}), '{_UPPER}', '{_LOWER}') AS k FROM lines
+), repeated AS (
+  SELECT k, min(id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT id) > 1
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE id > first) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE first IS NULL OR id <= first), ''))
+    AS kept_sha256
+FROM keyed LEFT JOIN repeated USING (k) GROUP BY doc_id
+"""
+
+
+@query("op1_line_dedup", LINES_SQL)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op7_mixture_packing")
 def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
