@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import lines, packing
+from eventloom.llm import lines, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,36 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def remainder(column: Column, n: int) -> Column:
+    """crc32 of the id as text, modulo n; null without an id."""
+    return F.crc32(column.cast("long").cast("string").cast("binary")) % n
+
+
+@query("op4_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    weights = quality.fit(docs, labels, label="quality", learn=remainder(labels["doc_id"], 5) != 0)
+    return quality.score(docs, weights).select(
+        "doc_id",
+        F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op10_toxicity_neighbours")
+def toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    index = toxicity.fit(docs, labels, label="toxic", learn=remainder(labels["doc_id"], 3) != 1)
+    return toxicity.score(docs, index).select(
+        "doc_id",
+        F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 @query("op7_mixture_packing")
 def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))

@@ -22,6 +22,14 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Kinds of bytes: 0 between words; a word is a run of one kind.
+WORDS = (~_SPACE).astype(np.uint8)
+#: Letters (all bytes beyond ASCII count as such), digits and other signs are words of their own.
+RUNS = WORDS * np.uint8(3)
+RUNS[48:58] = 2
+RUNS[128:] = 1
+RUNS[65:91] = 1
+RUNS[97:123] = 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,6 +42,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _VALUE = mix(np.arange(1, 257, dtype=_U))[_LOWER]
+#: Byte values that keep upper and lower case apart.
+CASED = mix(np.arange(1, 257, dtype=_U))
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -75,21 +85,25 @@ def slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def hashes(
+    data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = WORDS, values: np.ndarray = _VALUE
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, in order, and for each text the number of words before it (one more than texts)."""
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     if not len(data):
         return np.zeros(0, _U), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
-    first, last = inside.copy(), inside.copy()
-    first[1:] &= ~inside[:-1]
-    last[:-1] &= ~inside[1:]
+    kind = kinds[data]
+    first = kind > 0
+    last = first.copy()
+    same = kind[1:] == kind[:-1]
+    first[1:] &= ~same
+    last[:-1] &= ~same
     edges = offsets[(offsets > 0) & (offsets < len(data))]
-    first[edges] = inside[edges]
-    last[edges - 1] = inside[edges - 1]
+    first[edges] = kind[edges] > 0
+    last[edges - 1] = kind[edges - 1] > 0
     first, last = np.flatnonzero(first), np.flatnonzero(last)
-    sums = np.cumsum(_VALUE[data] * _power(_BASE, len(data)), dtype=_U)
+    sums = np.cumsum(values[data] * _power(_BASE, len(data)), dtype=_U)
     before = np.where(first > 0, sums[first - 1], _U(0))
     words = mix((sums[last] - before) * _power(_INVERSE, len(data))[first])
     return words, np.searchsorted(first, offsets).astype(np.int64)
@@ -115,11 +129,13 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(ngrams(words, size))
 
 
-def word_slices(values: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def word_slices(
+    texts: pa.Array, kinds: np.ndarray = WORDS, values: np.ndarray = _VALUE
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For a column of texts: first row of a slice, its word hashes, and the words before each of its rows."""
-    data, offsets = utf8(values)
+    data, offsets = utf8(texts)
     for a, b in slices(offsets):
-        yield a, *hashes(data, offsets[a : b + 1])
+        yield a, *hashes(data, offsets[a : b + 1], kinds, values)
 
 
 def as_long(values: np.ndarray) -> np.ndarray:
