@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words (runs of letters, lower-cased) and their beginnings of four and five letters. The terms
-that go with the label (``phi`` of LEAST_PHI or more, beyond chance) are chosen on a bounded sample of
+Terms are words (runs of letters, lower-cased), their beginnings of four to seven letters, and that at least
+two, three or four different words of a text share such a beginning. The terms that go with the label (``phi`` of LEAST_PHI or more, beyond chance) are chosen on a bounded sample of
 labelled rows; their document frequencies are counted over all documents. Examples are kept in blocks.
 For each term and block the index holds the largest weight, so that the bound of a block is one small
 product; blocks are scored in the order of their bounds until none can hold a nearer example.
@@ -46,9 +46,19 @@ SCORES = "doc_id long, score double, evidence array<struct<doc_id: long, label:
 _words = re.compile(r"[^\W\d_]+").findall
 
 
-def word_terms(word: str) -> list[str]:
-    """A word and its beginnings, which end in a tilde."""
-    return [word] + [word[:n] + "~" for n in (4, 5) if len(word) > n]
+def beginnings(word: str) -> list[str]:
+    return [word[:n] + "~" for n in (4, 5, 6, 7) if len(word) > n]
+
+
+def levels(beginning: str, words: int) -> list[str]:
+    """The terms of a beginning that so many different words share."""
+    return [beginning] + [beginning + str(n) for n in (2, 3, 4) if words >= n]
+
+
+def all_terms(text: str) -> set[str]:
+    words = set(_words(text.lower()))
+    shared = Counter(b for w in words for b in beginnings(w))
+    return words.union(*(levels(b, n) for b, n in shared.items()))
 
 
 def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +66,7 @@ def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            counts[label].update({t for w in set(_words(text.lower())) for t in word_terms(w)} | {""})
+            counts[label].update(all_terms(text) | {""})
         terms = sorted(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_pydict(
             {
@@ -72,20 +82,29 @@ class Vocabulary:
 
     def __init__(self, terms: list[str]):
         self.place = {t: i for i, t in enumerate(terms)}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.begin = {t[: t.index("~") + 1] for t in terms if "~" in t}
+        self.known: dict[str, tuple[int | None, tuple[str, ...]]] = {}
+
+    def _look(self, word: str) -> tuple[int | None, tuple[str, ...]]:
+        return self.place.get(word), tuple(b for b in beginnings(word) if b in self.begin)
 
     def __call__(self, text: str) -> dict[int, int]:
-        """Term numbers and how often the text has them."""
+        """Term numbers and how often the text has them; a beginning counts once."""
         found: dict[int, int] = {}
-        known, place = self.known, self.place
+        shared: dict[str, int] = {}
+        known = self.known
         if len(known) > _REMEMBERED:
             known.clear()
         for word, n in Counter(_words(text.lower())).items():
             terms = known.get(word)
             if terms is None:
-                terms = known[word] = tuple(place[t] for t in word_terms(word) if t in place)
-            for t in terms:
-                found[t] = found.get(t, 0) + n
+                terms = known[word] = self._look(word)
+            if terms[0] is not None:
+                found[terms[0]] = n
+            for b in terms[1]:
+                shared[b] = shared.get(b, 0) + 1
+        for b, n in shared.items():
+            found.update((self.place[t], 1) for t in levels(b, n) if t in self.place)
         return found
 
 
