@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import lines, packing, quality, toxicity
+from eventloom.llm import decontamination, lines, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +86,11 @@ def toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_mixture_packing")
 def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
