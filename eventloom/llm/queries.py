@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontamination, jaccard, lines, packing, quality, toxicity
+from eventloom.llm import decontamination, jaccard, lines, neighbours, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +86,11 @@ def toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_sorted_projection_neighbours")
+def sorted_projection_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
