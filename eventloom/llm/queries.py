@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontamination, jaccard, lines, neighbours, packing, quality, toxicity
+from eventloom.llm import decontamination, jaccard, lines, neighbours, packing, quality, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,3 +114,12 @@ def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "offset",
         "source",
     )
+
+
+@query("op8_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_spans(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
