@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontamination, jaccard, lines, neighbours, packing, quality, substrings, toxicity
+from eventloom.llm import decontamination, jaccard, lines, neighbours, packing, pages, quality, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,3 +123,9 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
     )
+
+
+@query("op9_site_style_tree")
+def site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
