@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontamination, jaccard, lines, neighbours, packing, pages, quality, substrings, toxicity
+from eventloom.llm import decontamination, jaccard, lines, neighbours, packing, pages, quality, substrings, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,3 +129,21 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op5_warc_derivatives")
+def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return found.select(
+        "page_id",
+        "record_id",
+        "type",
+        "refers_to",
+        "concurrent_to",
+        "target_uri",
+        "content_type",
+        F.length("block").cast("long").alias("content_length"),
+        "block_digest",
+        "source_block_digest",
+        "source_payload_digest",
+    )
