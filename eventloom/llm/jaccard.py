@@ -265,3 +265,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         given_id(component).alias("component_id"),
         (F.col("doc_id") == component).alias("representative"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents that come first in their component, unchanged, with all their columns.
+
+    Rows of a repeated ``doc_id`` stay together, if one of them comes first.
+    """
+    first = jaccard_components(docs).where("representative").select(F.col("doc_id").alias("_first")).distinct()
+    return docs.join(first, docs["doc_id"].cast("long").eqNullSafe(first["_first"]), "left_semi")
