@@ -48,7 +48,8 @@ def first_ancestor(particles: DataFrame, keys: Sequence[str], terminal: Column,
 
     Pointer doubling: each round a pointer jumps to its target's pointer, so a chain of
     length n takes log2(n) equi-joins.  Rows that have arrived are set aside.  Only
-    the pointers travel; a root is always terminal.
+    the pointers travel; a root is always terminal.  Where a mother is not in the table the
+    line ends and the ancestor is null.  A line that runs in a circle is an error.
     """
     keys = list(keys)
     stop = terminal | (F.col("mother") < 0)
@@ -63,16 +64,22 @@ def first_ancestor(particles: DataFrame, keys: Sequence[str], terminal: Column,
     arrived = pointers.where("_there")
     moving = pointers.where(~F.col("_there"))
     targets = pointers
+    rounds = pointers.count().bit_length() + 1
     while not moving.isEmpty():
+        if not rounds:
+            raise ValueError("a mother line runs in a circle")
+        rounds -= 1
         jump = targets.select(*keys, F.col("idx").alias("_to"), F.col("_to").alias("_next"), F.col("_there").alias("_end"))
         moved = cut_lineage(
-            moving.join(jump, [*keys, "_to"]).select(*keys, "idx", F.col("_next").alias("_to"), F.col("_end").alias("_there"))
+            moving.join(jump, [*keys, "_to"], "left").select(
+                *keys, "idx", F.col("_next").alias("_to"), F.coalesce("_end", F.lit(True)).alias("_there")
+            )
         )
         arrived = arrived.unionByName(moved.where("_there"))
         moving = moved.where(~F.col("_there"))
         targets = arrived.unionByName(moving)
     found = arrived.select(*keys, "idx", F.col("_to").alias(out))
-    return particles.join(found, [*keys, "idx"])
+    return particles.join(found, [*keys, "idx"], "left")
 
 
 def roots(particles: DataFrame, keys: Sequence[str]) -> DataFrame:

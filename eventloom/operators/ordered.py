@@ -8,17 +8,25 @@ block passes on (edge rows, sums); a window over these few block rows per key
 turns that into what each block inherits; the rows themselves are only ever
 sorted inside (key, block).
 
-Keys must not be null.
+A null key is a key like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def joined_on(rows: DataFrame, passed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on equal keys, null being equal to null."""
+    other = passed.withColumnsRenamed({k: f"_on_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(other[f"_on_{k}"]) for k in keys])
+    return rows.join(other, same, "left").drop(*[f"_on_{k}" for k in keys])
+
+
 def blocked(
     df: DataFrame,
     keys: Sequence[str],
@@ -62,7 +70,7 @@ def blocked(
     passed = (
         df.groupBy(*keys, "_block").agg(*edges).select(*keys, "_block", *inherit)
     )
-    rows = df.join(passed, [*keys, "_block"], "left")
+    rows = joined_on(df, passed, [*keys, "_block"])
 
     inside = Window.partitionBy(*keys, "_block").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -146,7 +154,7 @@ def stepped(
             for n in steps
         ],
     )
-    joined = rows.join(inherited, [*keys, "_block"], "left")
+    joined = joined_on(rows, inherited, [*keys, "_block"])
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = {n: F.when(F.col("_first"), F.col(f"_in_{n}")).otherwise(F.col(n)) for n in prev}
     out |= {n: F.col(f"_base_{n}") + F.sum(f"_step_{n}").over(upto) for n in steps}

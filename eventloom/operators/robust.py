@@ -31,7 +31,7 @@ def location_and_scale(
 ) -> DataFrame:
     """``mean`` and ``sigma`` of the h neighbouring values with the least variance, per key.
 
-    ``h`` defaults to (n+2)/2; of equal variances the lowest values win and the window
+    ``h`` defaults to (n+2)/2, which also stands in for an ``h`` below two; of equal variances the lowest values win and the window
     at the very top is not tried.  With h >= n plain mean and standard deviation are
     returned, with fewer than two values nothing.  ``external`` is the external-error
     factor f: the squared mean then enters with 2f - f^2.
@@ -47,9 +47,9 @@ def location_and_scale(
         F.avg("_x").alias("_avg"),
         F.stddev_samp("_x").alias("_std"),
     )
-    stats = stats.where("_n >= 2").withColumn(
-        "_h", (F.floor((F.col("_n") + 2) / 2) if h is None else h).cast("bigint")
-    )
+    half = F.floor((F.col("_n") + 2) / 2)
+    wanted = half if h is None else F.when(h < 2, half).otherwise(h)
+    stats = stats.where("_n >= 2").withColumn("_h", wanted.cast("bigint"))
     # measured from the lowest value, so that the sums of squares stay small
     rows = plain.join(stats.select(*keys, "_n", "_h", "_low"), keys).withColumn("_d", F.col("_x") - F.col("_low"))
     ranked = blocked(

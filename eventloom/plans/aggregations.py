@@ -222,14 +222,14 @@ def _column(i: int) -> str:
        s AS (SELECT its_ncls, sum(w) AS s0, sum(w * x) AS s1, sum(w * x * x) AS s2, sum(w * x * x * x) AS s3, sum(w * x * x * x * x) AS s4,
          sum(w * y) AS t0, sum(w * y * x) AS t1, sum(w * y * x * x) AS t2 FROM p GROUP BY its_ncls HAVING count(*) > 3),
        c AS (SELECT its_ncls, {_column(0)} / {_DET.format(*_M)} AS a, {_column(1)} / {_DET.format(*_M)} AS b, {_column(2)} / {_DET.format(*_M)} AS c FROM s)
-       SELECT its_ncls, r6(exp(a + b * (b / (-2 * c)) + c * (b / (-2 * c)) * (b / (-2 * c)))) AS height,
-         r6(b / (-2 * c) + 100) AS mean, r6(1 / sqrt(abs(2 * c))) AS sigma FROM c""",
+       SELECT its_ncls, CAST(1 AS DOUBLE) AS status, r6(any_value(exp(a + b * (b / (-2 * c)) + c * (b / (-2 * c)) * (b / (-2 * c))))) AS height,
+         r6(any_value(b / (-2 * c) + 100)) AS mean, r6(any_value(1 / sqrt(abs(2 * c)))) AS sigma FROM h LEFT JOIN c USING (its_ncls) GROUP BY its_ncls""",
     ("tracks_extra",),
 )
 def gaussian_fit(spark, sf):
     found = histograms.gaussian_fit(_signal_bins(spark, sf), ["its_ncls"], *_RANGE)
-    return found.where("status > 0").select(
-        "its_ncls", *[r6(C(n)).alias(n) for n in ("height", "mean", "sigma")]
+    return found.select(
+        "its_ncls", F.when(C("status") > 0, 1.0).otherwise(C("status")).alias("status"), *[r6(C(n)).alias(n) for n in ("height", "mean", "sigma")]
     )
 
 

@@ -128,7 +128,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
     ),
     "muons": (
         "lineitem",
-        "l_linenumber <= 3",
+        None,
         {
             "file_id": "l_orderkey % 8",
             "event_idx": "l_orderkey",

@@ -16,10 +16,16 @@ def _events(spark, sf, *columns):
     return table(spark, sf, "collisions").select("event_idx", "config", *columns)
 
 
+def with_names(events, defined):
+    """Events with their configuration's names; a configuration without any has an empty list."""
+    none = F.array().cast(defined.schema["defined"].dataType)
+    return events.join(defined, "config", "left").withColumn("defined", F.coalesce("defined", none))
+
+
 def with_classes(spark, sf, *columns):
     """Collisions with the classes defined for them and those that fired."""
     defined = triggers.name_lists(table(spark, sf, "trigger_classes"), ["config"], "bit")
-    df = _events(spark, sf, "mask", "mask_next", *columns).join(defined, "config")
+    df = with_names(_events(spark, sf, "mask", "mask_next", *columns), defined)
     fired = triggers.fired_classes(C("mask"), C("mask_next"), C("defined"))
     return df.withColumn("fired", fired).withColumn("names", triggers.active_names(C("defined")))
 
@@ -27,8 +33,8 @@ def with_classes(spark, sf, *columns):
 FIRED = (
     "CASE WHEN bit < 50 THEN (mask >> least(bit, 49)) & 1 ELSE (mask_next >> greatest(bit - 50, 0)) & 1 END = 1"
 )
-EVENT_CLASSES = f"""ec AS (SELECT event_idx, c.config, name, cluster, bit, {FIRED} AS fired
-  FROM collisions c JOIN trigger_classes t ON c.config = t.config)"""
+EVENT_CLASSES = f"""ec AS (SELECT event_idx, c.config, name, cluster, bit, bit IS NOT NULL AND {FIRED} AS fired
+  FROM collisions c LEFT JOIN trigger_classes t ON c.config = t.config)"""
 
 
 @query(
@@ -179,7 +185,7 @@ INPUT_FIRED = """CASE WHEN idx < 24 THEN (inputs_l0 >> idx) & 1 WHEN idx < 48 TH
 
 def _with_inputs(spark, sf):
     defined = triggers.name_lists(table(spark, sf, "trigger_inputs"), ["config"], "idx")
-    df = _events(spark, sf, "inputs_l0", "inputs_l1", "inputs_l2").join(defined, "config")
+    df = with_names(_events(spark, sf, "inputs_l0", "inputs_l1", "inputs_l2"), defined)
     fired = triggers.fired_inputs(C("inputs_l0"), C("inputs_l1"), C("inputs_l2"), C("defined"))
     return df.withColumn("fired", fired)
 
@@ -188,7 +194,7 @@ def _with_inputs(spark, sf):
     "c12_fired_inputs",
     f"""SELECT event_idx, coalesce(string_agg(CASE WHEN {INPUT_FIRED} THEN name END, ' ' ORDER BY idx), '') AS names,
          coalesce(bool_or({INPUT_FIRED} AND name = 'NATION_13'), false) AS one_fired
-       FROM collisions c JOIN trigger_inputs t ON c.config = t.config GROUP BY event_idx""",
+       FROM collisions c LEFT JOIN trigger_inputs t ON c.config = t.config GROUP BY event_idx""",
     ("collisions", "trigger_inputs"),
 )
 def fired_inputs(spark, sf):

@@ -285,9 +285,9 @@ def reference_class(spark, sf):
 
 # --- as-of joins on the counter records -----------------------------------------
 
-# probes are the purchases, records the clicks and views of the same run
-PROBES = "pb AS (SELECT run, rec AS probe, orbit_abs + 500 AS probe_orbit FROM crossings WHERE kind = 'purchase')"
-RECORDS = """rc AS (SELECT run, rec, orbit_abs, orbit_abs // 40 + rec AS total FROM crossings WHERE kind IN ('click', 'view')),
+# probes are the purchases and signups, records all others of the same run
+PROBES = "pb AS (SELECT run, rec AS probe, orbit_abs + 500 AS probe_orbit FROM crossings WHERE kind IN ('purchase', 'signup'))"
+RECORDS = """rc AS (SELECT run, rec, orbit_abs, orbit_abs // 40 + rec AS total FROM crossings WHERE kind NOT IN ('purchase', 'signup')),
   lk AS (SELECT *, lead(orbit_abs) OVER w AS next_orbit, lead(total) OVER w AS next_total, lead(rec) OVER w AS next_rec,
     first_value(total) OVER w AS base FROM rc WINDOW w AS (PARTITION BY run ORDER BY orbit_abs, rec))"""
 NEAREST = f"""WITH {PROBES}, {RECORDS},
@@ -298,9 +298,9 @@ NEAREST = f"""WITH {PROBES}, {RECORDS},
 
 def _nearest(spark, sf):
     rows = table(spark, sf, "crossings").select("run", "rec", "kind", "orbit_abs")
-    probes = rows.where("kind = 'purchase'").select("run", C("rec").alias("probe"), (C("orbit_abs") + 500).alias("probe_orbit"))
+    probes = rows.where("kind IN ('purchase', 'signup')").select("run", C("rec").alias("probe"), (C("orbit_abs") + 500).alias("probe_orbit"))
     total = (F.floor(C("orbit_abs") / 40) + C("rec")).alias("total")
-    records = rows.where("kind IN ('click', 'view')").select("run", "rec", "orbit_abs", total)
+    records = rows.where("kind NOT IN ('purchase', 'signup')").select("run", "rec", "orbit_abs", total)
     return records, nearest_record(probes, records, ["run"], C("probe_orbit"), C("orbit_abs"), PERIOD, ["rec"])
 
 
@@ -312,9 +312,9 @@ def nearest(spark, sf):
 @query(
     "d14_record_valid_for",
     """WITH l AS (SELECT run % 16 AS beam, rec, t FROM (SELECT *, us / 1e6 AS t FROM counters) q),
-       v AS (SELECT a.beam, a.rec, max(b.rec) AS found FROM l a LEFT JOIN l b ON a.beam = b.beam AND b.rec % 4 = 0 AND b.t < a.t - 0.9
-         WHERE a.rec % 4 = 1 GROUP BY ALL),
-       f AS (SELECT beam, min(rec) AS first FROM l WHERE rec % 4 = 0 GROUP BY beam)
+       v AS (SELECT a.beam, a.rec, max(b.rec) AS found FROM l a LEFT JOIN l b ON a.beam = b.beam AND b.rec % 2 = 0 AND b.t < a.t - 0.9
+         WHERE a.rec % 2 = 1 GROUP BY ALL),
+       f AS (SELECT beam, min(rec) AS first FROM l WHERE rec % 2 = 0 GROUP BY beam)
        SELECT v.beam, rec, coalesce(found, first) AS found FROM v LEFT JOIN f USING (beam)""",
     ("counters",),
 )
@@ -322,8 +322,8 @@ def record_valid_for(spark, sf):
     rows = table(spark, sf, "counters").select(
         (C("run") % 16).alias("beam"), "rec", (C("us") / F.lit(1e6)).alias("t")
     )
-    left = rows.where("rec % 4 = 1")
-    right = rows.where("rec % 4 = 0")
+    left = rows.where("rec % 2 = 1")
+    right = rows.where("rec % 2 = 0")
     found = lookups.valid_record(left, right, ["beam"], C("t"), C("t"), 3600.0, 0.9)
     return found.select("beam", "rec", C("match.rec").alias("found"))
 
@@ -332,14 +332,14 @@ def record_valid_for(spark, sf):
     "d14_latest_reading",
     """WITH l AS (SELECT run % 16 AS beam, rec, us, c5 FROM counters)
        SELECT a.beam, a.rec, max(b.rec) AS found, arg_max(b.c5, b.rec) AS reading FROM l a LEFT JOIN l b
-         ON a.beam = b.beam AND b.rec % 4 = 0 AND b.us <= a.us
-       WHERE a.rec % 4 = 1 GROUP BY ALL""",
+         ON a.beam = b.beam AND b.rec % 2 = 0 AND b.us <= a.us
+       WHERE a.rec % 2 = 1 GROUP BY ALL""",
     ("counters",),
 )
 def latest_reading(spark, sf):
     rows = table(spark, sf, "counters").select((C("run") % 16).alias("beam"), "rec", "us", "c5")
     found = lookups.latest_reading(
-        rows.where("rec % 4 = 1"), rows.where("rec % 4 = 0"), ["beam"], C("us"), C("us"), 3.6e9
+        rows.where("rec % 2 = 1"), rows.where("rec % 2 = 0"), ["beam"], C("us"), C("us"), 3.6e9
     )
     return found.select("beam", "rec", C("match.rec").alias("found"), C("match.c5").alias("reading"))
 
@@ -381,15 +381,15 @@ def bracketing_deltas(spark, sf):
 @query(
     "d17_tolerance_join",
     """WITH l AS (SELECT run % 16 AS beam, rec, us FROM counters),
-       m AS (SELECT a.beam, a.rec, min(b.rec) AS error_rec FROM l a LEFT JOIN l b ON a.beam = b.beam AND b.rec % 4 = 0
-           AND b.us BETWEEN a.us - 900000000 AND a.us + 900000000 WHERE a.rec % 4 = 1 GROUP BY ALL)
+       m AS (SELECT a.beam, a.rec, min(b.rec) AS error_rec FROM l a LEFT JOIN l b ON a.beam = b.beam AND b.rec % 2 = 0
+           AND b.us BETWEEN a.us - 900000000 AND a.us + 900000000 WHERE a.rec % 2 = 1 GROUP BY ALL)
        SELECT beam, rec, coalesce(error_rec, -1) AS error_rec FROM m""",
     ("counters",),
 )
 def tolerance_join(spark, sf):
     rows = table(spark, sf, "counters").select((C("run") % 16).alias("beam"), "rec", "us")
     found = lookups.within_tolerance(
-        rows.where("rec % 4 = 1"), rows.where("rec % 4 = 0"), ["beam"], C("us"), C("us"), 3.6e9, 900_000_000
+        rows.where("rec % 2 = 1"), rows.where("rec % 2 = 0"), ["beam"], C("us"), C("us"), 3.6e9, 900_000_000
     )
     return found.select("beam", "rec", F.coalesce("match.rec", F.lit(-1).cast("bigint")).alias("error_rec"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import bunchmask, clocks, decays, energyloss, pid
 from eventloom.operators import ancestry, tables
+from eventloom.operators.ordered import numbered
 from eventloom.plans.derived import decays as decay_table
 from eventloom.plans.domain import base, table
 from eventloom.plans.registry import query, r6
@@ -19,14 +20,18 @@ C = F.col
 
 @query(
     "g01_cells_by_number",
-    "SELECT event_idx, list(cell_number ORDER BY cell_number, obj_id) AS cell_numbers FROM cells GROUP BY event_idx",
+    """SELECT file_id, event_idx, obj_id, cell_number,
+         row_number() OVER (PARTITION BY file_id, event_idx ORDER BY cell_number, obj_id) AS place FROM cells""",
     ("cells",),
 )
 def cells_by_number(spark, sf):
-    """Cells of each nested record in the order of their number."""
-    ordered = F.sort_array(F.transform("cells", lambda c: F.struct(c["cell_number"].alias("n"), c["obj_id"])))
-    records = nested_events(spark, sf).where(F.size("cells") > 0)
-    return records.select("event_idx", F.transform(ordered, lambda c: c["n"]).alias("cell_numbers"))
+    """Place of each cell of a nested event in the order of the cell numbers.
+
+    An event has any number of cells, spread over any number of records, so the sorted cells are rows.
+    """
+    cells = nested_events(spark, sf).select(*tables.EVENT, F.explode("cells").alias("c"))
+    cells = cells.select(*tables.EVENT, "c.obj_id", "c.cell_number")
+    return numbered(cells, tables.EVENT, F.floor(C("cell_number") / 4096), ["cell_number", "obj_id"], "place")
 
 
 @query(

@@ -220,13 +220,13 @@ def luminosity(spark, sf):
     return points.join(mean, "run").select("run", "rec", *[r6(C(n)).alias(n) for n in ("mu", "lumi", "error", "run_mu")])
 
 
-# deliveries: a third of the records of four beams, one record every few minutes
+# deliveries: the records of four beams
 _GAP = 1800
 
 
 @query(
     "f10_delivered_luminosity",
-    f"""WITH RECURSIVE d AS (SELECT run % 4 AS fill, rec, CAST(floor(us / 1e6) AS BIGINT) AS sec, us / 1e6 * 0.5 + rec % 7 AS integral FROM counters WHERE rec % 3 = 0 AND abs(us / 1e6 * 0.5 + rec % 7) >= 1e-9),
+    f"""WITH RECURSIVE d AS (SELECT run % 4 AS fill, rec, CAST(floor(us / 1e6) AS BIGINT) AS sec, us / 1e6 * 0.5 + rec % 7 AS integral FROM counters WHERE abs(us / 1e6 * 0.5 + rec % 7) >= 1e-9),
        k AS (SELECT fill, min(sec) AS sec FROM d GROUP BY fill
          UNION ALL SELECT k.fill, (SELECT min(d.sec) FROM d WHERE d.fill = k.fill AND d.sec >= k.sec + {_GAP}) FROM k WHERE k.sec IS NOT NULL),
        a AS (SELECT d.fill, d.sec, min(rec) AS rec, arg_min(integral, rec) AS integral FROM d JOIN k ON d.fill = k.fill AND d.sec = k.sec GROUP BY d.fill, d.sec),
@@ -235,7 +235,7 @@ _GAP = 1800
     ("counters",),
 )
 def delivered_luminosity(spark, sf):
-    rows = table(spark, sf, "counters").where("rec % 3 = 0").select(
+    rows = table(spark, sf, "counters").select(
         (C("run") % 4).alias("fill"),
         "rec",
         (C("us") / F.lit(1e6)).alias("t"),
@@ -369,12 +369,12 @@ def resampled_sensor(spark, sf):
 
 
 # crossings one minute wide, so that several fall within the reach
-_COARSE = "cx AS (SELECT run % 4 AS grp, rec, us // 60000000 AS crossing, rec % 3 AS kind FROM counters)"
+_COARSE = "cx AS (SELECT run % 4 AS grp, rec, us // 60000000 AS crossing, rec % 2 AS kind FROM counters)"
 
 
 def _coarse(spark, sf):
     return table(spark, sf, "counters").select(
-        (C("run") % 4).alias("grp"), "rec", F.floor(C("us") / 60000000).alias("crossing"), (C("rec") % 3).alias("kind")
+        (C("run") % 4).alias("grp"), "rec", F.floor(C("us") / 60000000).alias("crossing"), (C("rec") % 2).alias("kind")
     )
 
 

@@ -29,7 +29,7 @@ def read_counters(spark: SparkSession, path: str) -> DataFrame:
     record a time stamp (orbit, period, seconds, microseconds, perhaps a time group) and
     one line of counters per class.  Lines starting with ``#`` do not count.  A line's meaning
     follows from its place, so a file is one record; a run's file has a few thousand
-    lines.  A malformed line fails the job.
+    lines.  A malformed line or a cut-off record fails the job; a file without records has no rows.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     lines = F.filter(F.split("value", "\n"), lambda s: ~s.startswith("#") & (F.trim(s) != ""))
@@ -44,13 +44,15 @@ def read_counters(spark: SparkSession, path: str) -> DataFrame:
     )
     df = df.withColumn("n_classes", _checked(F.size("classes") == F.col("n_classes"), F.col("n_classes"), "number of classes"))
     per_record = F.col("n_classes") + 1
+    whole = F.size("body") % per_record == 0
+    df = df.withColumn("n_records", _checked(whole, F.floor(F.size("body") / per_record).cast("int"), "last record"))
     records = df.select(
         "version",
         "run",
         "classes",
         F.posexplode(
             F.transform(
-                F.sequence(F.lit(0), F.floor(F.size("body") / per_record).cast("int") - 1),
+                F.slice(F.sequence(F.lit(0), F.col("n_records")), F.lit(1), F.col("n_records")),
                 lambda i: F.slice(F.col("body"), i * per_record + 1, per_record),
             )
         ).alias("rec", "record"),
