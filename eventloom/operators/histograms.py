@@ -61,12 +61,11 @@ def histogram(
 def auto_histogram(df: DataFrame, x: Column, n: int = 100) -> DataFrame:
     """Histogram over the range of the data, with ``lo`` and ``hi``.
 
-    The range is a one-row aggregate joined to the rows, no value passes the driver.
+    The range is a one-row aggregate, read as a scalar subquery.
     """
     values = df.select(x.alias("_x")).where("_x IS NOT NULL")
     span = values.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
-    one = F.lit(1).alias("_one")
-    joined = values.select("_x", one).join(F.broadcast(span.select("lo", "hi", one)), "_one")  # one row
+    joined = values.select("_x", span.select("lo").scalar().alias("lo"), span.select("hi").scalar().alias("hi"))
     width = F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("lo") + 1)
     binned = joined.select("lo", width.alias("hi"), "_x").withColumn("bin", bin_of(F.col("_x"), n, F.col("lo"), F.col("hi")))
     counts = binned.groupBy("lo", "hi", "bin").agg(F.count("*").alias("content"))

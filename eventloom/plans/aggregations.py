@@ -335,7 +335,7 @@ def _corrections(spark, sf):
        FROM fl GROUP BY vec_id""",
 )
 def event_plane(spark, sf):
-    df = equalised(spark, sf).withColumn("one", F.lit(1)).join(F.broadcast(_corrections(spark, sf)), "one")  # one row
+    df = equalised(spark, sf).withColumn("corrections", _corrections(spark, sf).select("corrections").scalar())
 
     def corr(ring: int):
         return F.get("corrections", F.lit(ring))

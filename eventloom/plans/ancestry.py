@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.operators import ancestry, embedding
+from eventloom.operators.ordered import numbered
 from eventloom.plans.domain import base, table
 from eventloom.plans.joins import LABELS_SQL, labels
 from eventloom.plans.registry import query
@@ -88,21 +89,19 @@ def from_material(spark, sf):
 @query(
     "n05_generator_of_particle",
     f"""WITH RECURSIVE {EVENTS_SQL}, {ROOTS_SQL},
-       ge AS (SELECT event_idx, n_primary, r_regionkey AS pos, r_name AS name, 1 + r_regionkey AS np,
-         sum(1 + r_regionkey) OVER (PARTITION BY event_idx ORDER BY r_regionkey DESC) AS taken FROM ev, region),
+       gn AS (SELECT n_regionkey AS config, n_name AS name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS pos FROM nation),
+       ge AS (SELECT event_idx, n_primary, pos, name, 1 + pos AS np,
+         sum(1 + pos) OVER (PARTITION BY event_idx ORDER BY pos DESC) AS taken FROM ev JOIN gn ON config = event_idx % 5),
        rg AS (SELECT event_idx, pos, name, CASE WHEN pos = 0 THEN 0 ELSE greatest(n_primary - taken, 0) END AS lo, n_primary - taken + np - 1 AS hi FROM ge)
        SELECT root.event_idx, idx, pos AS generator, name FROM root LEFT JOIN rg ON rg.event_idx = root.event_idx AND root BETWEEN lo AND hi""",
     T,
 )
 def generator_of_particle(spark, sf):
     events = mc_events(spark, sf)
-    listed = base(spark, sf, "region").select(
-        F.lit(1).alias("one"), C("r_regionkey").alias("pos"), C("r_name").alias("name"), (1 + C("r_regionkey")).alias("n_produced")
-    )
-    # every event has the same handful of generators: one row with a list, spread out per event
-    one_row = listed.groupBy("one").agg(F.collect_list(F.struct("pos", "name", "n_produced")).alias("g"))
-    spread = events.select(*KEYS, F.lit(1).alias("one")).join(F.broadcast(one_row), "one")
-    generators = spread.select(*KEYS, F.inline("g"))
+    listed = base(spark, sf, "nation").select(C("n_regionkey").alias("config"), C("n_name").alias("name"), "n_nationkey")
+    listed = numbered(listed, ["config"], F.lit(0), ["n_nationkey"])
+    listed = listed.select("config", "name", (C("rank") - 1).alias("pos"), C("rank").alias("n_produced"))
+    generators = events.select(*KEYS, (C("event_idx") % 5).alias("config")).join(listed, "config").drop("config")
     found = ancestry.generators_of(particles(spark, sf), generators, events, KEYS)
     return found.select("event_idx", "idx", "generator", "name")
 

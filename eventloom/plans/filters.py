@@ -263,11 +263,12 @@ def trigger_functions(spark, sf):
     )
     functions = triggers.function_active(functions, inputs, ["config"])
     hit = C("is_active") & triggers.conjunction(triggers.tokens(C("logic")), C("fired"))
-    events = _with_inputs(spark, sf).select("config", "fired")
+    # events of a configuration that fired the same inputs count together
+    events = _with_inputs(spark, sf).groupBy("config", "fired").agg(F.count("*").alias("n"))
     return (
         events.join(functions, "config")
         .groupBy("config", "function", "is_active")
-        .agg(F.count_if(hit).alias("n_events"))
+        .agg(F.sum(F.when(hit, C("n")).otherwise(0)).alias("n_events"))
     )
 
 

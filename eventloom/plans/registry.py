@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.plans import domain
+from eventloom.session import applied
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +23,12 @@ def query(name: str, sql: str | None = None, tables: tuple[str, ...] = ()):
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(applied(spark), sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = domain.rounding(domain.with_tables(sql, tables))
         return fn

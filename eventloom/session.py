@@ -28,13 +28,25 @@ def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def applied(spark: SparkSession) -> SparkSession:
+    """Set those settings that a running session may still change."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a unit test) gets a folder of its own.
+    Only a local session without that setting (a unit test) gets a folder of its own: on a cluster
+    the executors would not see it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all of {master} shares")
         folder = tempfile.mkdtemp(prefix="eventloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -109,3 +109,37 @@ def test_robust_location_of_few_values(spark):
     assert [r[0] for r in rows(found, "k", "mean")] == [2, 3, 4]
     usual = robust.location_and_scale(df, ["k"], "x", ["i"], 1.0)
     assert rows(found, "k", "mean", "sigma") == rows(usual, "k", "mean", "sigma")
+
+
+def test_cluster_without_shared_folder():
+    from types import SimpleNamespace
+
+    from eventloom.session import shared_folder
+
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda key, default: folder, set=lambda key, value: None)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("local-cluster[3,2,1000]"))
+    assert shared_folder(session("yarn", "/shared")) == "/shared"
+    assert shared_folder(session("local[4]"))
+
+
+def test_queries_apply_their_settings(spark):
+    import __spark_entry__ as entry
+
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
+    entry.queries()["f11_instantaneous_luminosity"](spark, entry.FLAGSHIP_DIR)
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_no_nested_loops_over_constants(spark):
+    import __spark_entry__ as entry
+
+    for name in ("e02_auto_range_histogram", "e15_event_plane", "n05_generator_of_particle"):
+        df = entry.queries()[name](spark, entry.FLAGSHIP_DIR)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
