@@ -8,7 +8,7 @@ from eventloom.operators import histograms
 from eventloom.plans.domain import expressions
 from eventloom.plans import aggregations, sources  # noqa: F401  (their SQL is checked here too)
 from eventloom.plans.registry import ORACLES, query, r6
-from eventloom.plans.sources import nested_events
+from eventloom.plans.sources import written_events
 from eventloom.plans.timeseries import CORRECTED_SQL
 from eventloom.session import work_path
 from eventloom.streaming import flows
@@ -18,9 +18,7 @@ C = F.col
 
 def _record_stream(spark, sf):
     """The event records as a stream of files."""
-    path = work_path(spark, "arriving")
-    nested_events(spark, sf).repartition(4).write.parquet(path)
-    return flows.event_stream(spark, path, files_per_trigger=2)
+    return flows.event_stream(spark, written_events(spark, sf))
 
 
 def _table_stream(spark, sf, name):
@@ -56,16 +54,16 @@ def live_rates(spark, sf):
     records = _table_stream(spark, sf, "counters").select(
         "run", "rec", (C("us") / F.lit(1e6)).alias("time"), C("c0").alias("count")
     )
-    flows.batches_to_folder(flows.live_rates(records), folder, "append")
-    return spark.read.parquet(folder).select("run", "rec", "total", r6(C("rate")).alias("rate"))
+    flows.carrying(records, folder, flows.RATE_STATE, flows.live_rates)
+    return spark.read.parquet(f"{folder}/rows").select("run", "rec", "total", r6(C("rate")).alias("rate"))
 
 
 @query("s04_live_error_log", ORACLES.get("e19_run_length_error_log"))
 def live_error_log(spark, sf):
     folder = work_path(spark, "errors")
     log = _table_stream(spark, sf, "error_log").withColumn("code", C("code").cast("int"))
-    flows.batches_to_folder(flows.live_error_log(log), folder, "update")
-    return flows.settled(spark.read.parquet(folder).drop("batch"), ["file_id", "island"], "n")
+    flows.carrying(log, folder, flows.ISLAND_STATE, flows.live_error_log)
+    return flows.settled(spark.read.parquet(f"{folder}/rows").drop("batch"), ["file_id", "island"], "n")
 
 
 ORACLES["s01_stream_flatten"] = ORACLES["a04_flatten_tracks"]

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from eventloom.operators.counters import OVERFLOW_DROP, RANGE
 from eventloom.operators.histograms import bin_of
+from eventloom.operators.ordered import stepped
 from eventloom.session import work_path
 from eventloom.sources.nested import RECORD_DDL, TABLES
 
@@ -82,67 +81,87 @@ def latest_batch(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(last, "batch").drop("batch")
 
 
-RATES = "run bigint, rec bigint, total bigint, rate double"
-RATE_STATE = "time double, count bigint, overflows bigint"
+def carrying(stream: DataFrame, folder: str, state: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]) -> None:
+    """Run a stream over all input there is, with a small table carried from batch to batch.
 
+    ``step`` takes a batch and the state before it and returns the rows of the batch and the
+    state after it; they go to ``folder/rows/batch=n`` and ``folder/state/batch=n``.  A batch
+    repeated after a failure starts from the same state and replaces both.
+    """
+    def store(df: DataFrame, batch: int) -> None:
+        spark = df.sparkSession
+        before = spark.read.schema(state).parquet(f"{folder}/state/batch={batch - 1}") if batch else spark.createDataFrame([], state)
+        rows, after = step(df, before)
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
+        after.write.mode("overwrite").parquet(f"{folder}/state/batch={batch}")
+
+    query = (
+        stream.writeStream.foreachBatch(store)
+        .option("checkpointLocation", work_path(stream.sparkSession, "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+RATE_STATE = "run bigint, rec bigint, time double, count bigint, overflows bigint"
+#: Seconds, and messages, of a key that are handled by one task.
+RATE_BLOCK, LOG_BLOCK = 3600, 65536
 
-def live_rates(stream: DataFrame) -> DataFrame:
-    """Corrected counter and rate of every record (run, rec, time in seconds, count).
 
-    The state of a run is its last record and its overflows so far.  Records of a run have
-    to arrive in order from batch to batch; within a batch they are sorted.
+def live_rates(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Corrected counter and rate of every record (run, rec, time in seconds, count) of a batch.
+
+    The state of a run is its last record and its overflows so far; it enters the batch as the
+    run's first row.  Records of a run have to arrive in order from batch to batch.
     """
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values(["time", "rec"])
-        time, count, overflows = state.get if state.exists else (None, None, 0)
-        counts, times = rows["count"].astype("int64"), rows["time"].astype("float64")
-        before, earlier = counts.shift(), times.shift()
-        before.iloc[0], earlier.iloc[0] = count, time
-        wrapped = (counts < before) & (before - counts > OVERFLOW_DROP)
-        seen = int(overflows) + wrapped.cumsum()
-        total = counts + seen * RANGE
-        previous = before + (seen - wrapped) * RANGE
-        elapsed = times - earlier
-        rate = ((total - previous) / elapsed).where(elapsed > 0)
-        state.update((float(times.iloc[-1]), int(counts.iloc[-1]), int(seen.iloc[-1])))
-        yield pd.DataFrame({"run": key[0], "rec": rows["rec"], "total": total, "rate": rate})
-
-    return stream.groupBy("run").applyInPandasWithState(
-        step, RATES, RATE_STATE, "append", GroupStateTimeout.NoTimeout
+    rows = batch.select("run", "rec", "time", "count", F.lit(1).alias("_new")).unionByName(
+        state.select("run", "rec", "time", "count", F.lit(0).alias("_new"))
+    )
+    wrapped = (F.col("count") < F.col("_count")) & (F.col("_count") - F.col("count") > OVERFLOW_DROP)
+    found = stepped(
+        rows, ["run"], F.floor(F.col("time") / RATE_BLOCK), ["time", "_new", "rec"],
+        {"_count": F.col("count"), "_time": F.col("time")}, {"_seen": wrapped}, ["count"],
+    )
+    before = state.select("run", F.col("overflows").alias("_before"))
+    overflows = F.col("_seen") + F.coalesce("_before", F.lit(0))
+    found = found.join(before, "run", "left").withColumn("overflows", overflows)
+    here = F.when(wrapped, 1).otherwise(0)
+    total = F.col("count") + F.col("overflows") * RANGE
+    previous = F.col("_count") + (F.col("overflows") - here) * RANGE
+    elapsed = F.col("time") - F.col("_time")
+    rate = F.when(elapsed > 0, (total - previous) / elapsed)
+    after = found.groupBy("run").agg(
+        F.max_by(F.struct("rec", "time", "count", "overflows"), F.struct("time", "_new", "rec")).alias("_last")
     )
+    out = found.where("_new = 1").select("run", "rec", total.alias("total"), rate.alias("rate"))
+    return out, after.select("run", "_last.*")
 
 
-ISLANDS = "file_id bigint, island bigint, event_number bigint, ddl_id bigint, code int, n bigint"
-ISLAND_STATE = "island bigint, event_number bigint, ddl_id bigint, code int, n bigint"
+ISLAND_STATE = "file_id bigint, seq bigint, event_number bigint, ddl_id bigint, code int, island bigint, n bigint"
 SAME = ["event_number", "ddl_id", "code"]
 
 
-def live_error_log(stream: DataFrame) -> DataFrame:
-    """Runs of equal messages (file_id, seq, event_number, ddl_id, code) with their counts so far.
+def live_error_log(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Runs of equal messages (file_id, seq, event_number, ddl_id, code) of a batch, with their counts so far.
 
-    For update output: the run still open at the end of a batch comes again with a
-    higher count if it goes on.  The state is that run.
+    The state of a file is the run still open, which comes again with a higher count if it goes on.
     """
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values("seq")[SAME]
-        island, count = 0, 0
-        changed = (rows != rows.shift()).any(axis=1)
-        if state.exists:
-            island, *last, count = state.get
-            changed.iloc[0] = list(rows.iloc[0]) != last
-        numbers = island + changed.cumsum()
-        found = rows.assign(island=numbers, n=1).groupby("island", as_index=False).agg(
-            {**{c: "first" for c in SAME}, "n": "sum"}
-        )
-        if not changed.iloc[0]:
-            found.loc[0, "n"] += count
-        end = found.iloc[-1]
-        state.update(tuple(int(end[c]) for c in ("island", *SAME, "n")))
-        yield found.assign(file_id=key[0])[["file_id", "island", *SAME, "n"]]
-
-    return stream.groupBy("file_id").applyInPandasWithState(
-        step, ISLANDS, ISLAND_STATE, "update", GroupStateTimeout.NoTimeout
+    columns = ["file_id", "seq", *SAME]
+    rows = batch.select(*columns, F.lit(1).cast("bigint").alias("n"), F.lit(1).alias("_new")).unionByName(
+        state.select(*columns, "n", F.lit(0).alias("_new"))
+    )
+    prev = {f"_prev_{c}": F.col(c) for c in SAME} | {"_prev_row": F.lit(True)}
+    other = F.col("_prev_row").isNotNull() & ~F.struct(*SAME).eqNullSafe(F.struct(*[F.col(f"_prev_{c}").alias(c) for c in SAME]))
+    found = stepped(rows, ["file_id"], F.floor(F.col("seq") / LOG_BLOCK), ["seq", "_new"], prev, {"_step": other}, SAME)
+    before = state.select("file_id", F.col("island").alias("_before"))
+    island = (F.col("_step") + F.coalesce("_before", F.lit(1))).alias("island")
+    found = found.join(before, "file_id", "left").select(*columns, "n", "_new", island)
+    runs = found.groupBy("file_id", "island").agg(
+        *[F.any_value(c).alias(c) for c in SAME], F.sum("n").alias("n"), F.max("seq").alias("seq"), F.max("_new").alias("_new")
     )
+    last = runs.groupBy("file_id").agg(F.max_by(F.struct("seq", *SAME, "island", "n"), "island").alias("_last"))
+    return runs.where("_new = 1").select("file_id", "island", *SAME, "n"), last.select("file_id", "_last.*")
 
 
 def settled(updates: DataFrame, keys: Sequence[str], grows: str) -> DataFrame:
