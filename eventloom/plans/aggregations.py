@@ -233,7 +233,41 @@ def gaussian_fit(spark, sf):
     )
 
 
-@query("e12_gaussian_fit_smoothed")
+def _moments_sql(weight: str) -> str:
+    return ", ".join(
+        [f"sum({weight} * pow(x, {k})) AS s{k}" for k in range(5)] + [f"sum({weight} * pow(x, {k}) * y) AS t{k}" for k in range(3)]
+    )
+
+
+def _parabola_sql(name: str, source: str) -> str:
+    a, b, c = (f"{_column(i)} / {_DET.format(*_M)}" for i in range(3))
+    return f"{name} AS (SELECT *, {a} AS a, {b} AS b, {c} AS c FROM {source})"
+
+
+_SMOOTHED_SQL = f"""h AS ({_SIGNAL_BINS}),
+  g AS (SELECT its_ncls, sum(content) AS total, max(content) AS top, sum(content * (bin - 99.5::DOUBLE)) / sum(content) AS m,
+    sum(content * (bin - 99.5::DOUBLE) * (bin - 99.5::DOUBLE)) / sum(content) AS sq FROM h GROUP BY its_ncls HAVING sum(content) > 0),
+  ex AS (SELECT *, total / sqrt(2 * pi() * sqrt(abs(sq - m * m))) AS expected FROM g),
+  wd AS (SELECT *, CAST(round(6 / sqrt(expected)) AS INT) AS d FROM ex),
+  ar AS (SELECT i.its_ncls, i.bin, any_value(i.content) AS own, count(j.bin) + 1 AS k, coalesce(sum(j.content), 0) AS near
+    FROM h i JOIN wd USING (its_ncls) LEFT JOIN h j ON j.its_ncls = i.its_ncls AND j.bin BETWEEN greatest(i.bin - d, 1) AND least(i.bin + d, 197) GROUP BY ALL),
+  pt AS (SELECT its_ncls, bin - 99.5::DOUBLE AS x, k::DOUBLE AS k, ln((own + near) / k::DOUBLE) AS y FROM ar WHERE (own + near) / k::DOUBLE > 1),
+  m1 AS (SELECT its_ncls, count(*) AS points, {_moments_sql("k")} FROM pt GROUP BY its_ncls), {_parabola_sql("f1", "m1")},
+  pr AS (SELECT pt.*, exp(a + b * x + c * x * x) AS guess, points AS points0 FROM pt JOIN f1 USING (its_ncls)),
+  m2 AS (SELECT its_ncls, any_value(points0) AS points0, count(*) AS points, {_moments_sql("guess * k")}, sum(guess * k * y * y) AS tt
+    FROM pr WHERE guess > 1 GROUP BY its_ncls), {_parabola_sql("f2", "m2")},
+  ok AS (SELECT *, top >= 4 AND total >= 12 AND expected >= 1 AND points0 > 3 AND points > 3 AND abs(b - 200 * c) >= 2.220446049250313e-16 AND abs(c) >= 2.220446049250313e-16 AS good
+    FROM f2 JOIN wd USING (its_ncls))"""
+
+
+@query(
+    "e12_gaussian_fit_smoothed",
+    f"""WITH {_SMOOTHED_SQL}
+       SELECT its_ncls, CASE WHEN good THEN r6((tt - a * t0 - b * t1 - c * t2) / points) ELSE -1 END AS status,
+         CASE WHEN good THEN r6(exp(a + b * (b / (-2 * c)) + c * (b / (-2 * c)) * (b / (-2 * c)))) END AS height,
+         CASE WHEN good THEN r6(b / (-2 * c) + 100) END AS mean, CASE WHEN good THEN r6(1 / sqrt(abs(2 * c))) END AS sigma FROM ok""",
+    ("tracks_extra",),
+)
 def gaussian_fit_smoothed(spark, sf):
     found = histograms.gaussian_fit_smoothed(_signal_bins(spark, sf), ["its_ncls"], *_RANGE)
     return found.select("its_ncls", *[r6(C(n)).alias(n) for n in ("status", "height", "mean", "sigma")])

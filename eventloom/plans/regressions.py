@@ -70,7 +70,36 @@ def local_fit(spark, sf):
     )
 
 
-@query("m01_local_fit_two_axes")
+def _eliminated(size: int) -> str:
+    """Tables e1, e2, ... that eliminate one unknown after the other from e0 (m<row><column>, right side last)."""
+    steps = []
+    for k in range(size - 1):
+        rows = ", ".join(
+            f"m{i}{j} - m{i}{k} * m{k}{j} / m{k}{k} AS m{i}{j}" for i in range(k + 1, size) for j in range(k + 1, size + 1)
+        )
+        steps.append(f"e{k + 1} AS (SELECT bin_0, bin_1, n, {rows} FROM e{k})")
+    return ", ".join(steps)
+
+
+# slopes and squares of both axes first, the constant last: it is what elimination leaves
+_BASIS = ("d0", "d0 * d0", "d1", "d1 * d1", "1")
+_NORMAL = ", ".join(
+    f"sum(w * ({a}) * ({b})) AS m{i}{j}" for i, a in enumerate(_BASIS) for j, b in enumerate((*_BASIS, "y"))
+)
+TWO_AXES_SQL = f"""pt AS (SELECT inner_p AS x0, tpc_ncls AS x1, tpc_signal AS y, 1 + its_ncls / 10.0::DOUBLE AS e, 0.15 + tpc_ncls / 2000.0::DOUBLE AS k
+    FROM tracks_extra WHERE inner_p IS NOT NULL),
+  nb AS (SELECT b0.b AS bin_0, b1.b AS bin_1, y, e, (x0 - (0.2 + (b0.b + 0.5) * 0.45)) AS r0, (x1 - (b1.b + 0.5) * 16) AS r1, k
+    FROM pt, range(12) b0(b), range(10) b1(b)
+    WHERE pow((x0 - (0.2 + (b0.b + 0.5) * 0.45)) / k, 2) + pow((x1 - (b1.b + 0.5) * 16) / (100 * k), 2) <= -2 * ln({WEIGHT_CUT})),
+  ww AS (SELECT bin_0, bin_1, y, r0 / 0.45 AS d0, r1 / 16 AS d1, exp(-(pow(r0 / k, 2) + pow(r1 / (100 * k), 2))) / (e * e) AS w FROM nb),
+  e0 AS (SELECT bin_0, bin_1, count(*) AS n, {_NORMAL} FROM ww GROUP BY bin_0, bin_1 HAVING count(*) > 6), {_eliminated(5)}"""
+
+
+@query(
+    "m01_local_fit_two_axes",
+    f"WITH {TWO_AXES_SQL} SELECT CAST(bin_0 AS INT) AS bin_0, CAST(bin_1 AS INT) AS bin_1, n AS n_points, r6(m45 / m44) AS constant FROM e4",
+    ("tracks_extra",),
+)
 def local_fit_two_axes(spark, sf):
     df = points(spark, sf)
     kernels = [C("kernel"), C("kernel") * 100]
@@ -103,7 +132,15 @@ def local_statistics(spark, sf):
     return _statistics(spark, sf).select(C("bin_0").alias("bin"), *[r6(C(c)).alias(c) for c in ("median", "mean", "sigma")])
 
 
-@query("m02_local_fit_without_outliers")
+_KEPT_FITS = FITS_SQL.removeprefix(POINTS_SQL).replace("FROM nb", "FROM nx")
+
+
+@query(
+    "m02_local_fit_without_outliers",
+    f"""WITH {STATISTICS_SQL}, nx AS (SELECT nb.* FROM nb JOIN rs USING (bin) WHERE abs(y - median) <= 1.5 * sigma){_KEPT_FITS}
+       SELECT CAST(bin AS INT) AS bin, n AS n_points, r6(a) AS constant FROM ft""",
+    ("tracks_extra",),
+)
 def local_fit_without_outliers(spark, sf):
     fits = regression.local_fit(
         points(spark, sf), GRID, [C("kernel")], "tpc_signal", "error", WEIGHT_CUT,
