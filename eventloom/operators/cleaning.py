@@ -145,14 +145,20 @@ def merge_split_vertices(
     its size is below ``cut``, unless both have different known bunch numbers.  Vertices
     farther apart in z than the cut allows for any size cannot meet, so an event first
     falls apart into stretches along z, and only stretches of several vertices are decided
-    in Python, in Arrow batches.  Needs obj_id, x, y, z, cov_xx, cov_xy, cov_yy, cov_zz,
+    in Python, in Arrow batches.  A covariance that cannot be inverted, or a negative square,
+    makes the distance -1, which is below any cut, so an event with such a covariance is one
+    stretch.  Needs obj_id, x, y, z, cov_xx, cov_xy, cov_yy, cov_zz,
     n_indices (at least 1) and bunch.
     """
     keys = list(keys)
     others = [c for c in vertices.columns if c not in (*keys, "bunch")]
-    widest = vertices.groupBy(*keys).agg(F.max("cov_zz").alias("_widest"), F.min("n_indices").alias("_least"))
+    size = F.least(F.col("cov_xx") * F.col("cov_yy") - F.col("cov_xy") * F.col("cov_xy"), "cov_zz")
+    widest = vertices.groupBy(*keys).agg(
+        F.max("cov_zz").alias("_widest"), F.min("n_indices").alias("_least"), F.min(size).alias("_size")
+    )
     df = vertices.join(widest, keys)
-    df = df.withColumn("_reach", cut / F.col("_least") * F.sqrt(2 * F.col("_widest")))
+    reach = cut / F.col("_least") * F.sqrt(2 * F.col("_widest"))
+    df = df.withColumn("_reach", F.when(F.col("_size") > 0, reach).otherwise(float("inf"))).drop("_size")
     df = islands(
         df, keys, F.floor(F.col("z") / block_width), ["z", "obj_id"], {"z": F.col("z")},
         lambda: F.col("z") - F.col("_prev_z") > F.col("_reach"), uses=["z", "_reach"], name="_stretch",
@@ -188,10 +194,11 @@ def _claims(found: np.ndarray, bunch: list[int], cut: float) -> list[tuple[int,
             continue
         d = position[i] - position[rest]
         xx, xy, yy, zz = (cov[i] + cov[rest]).T
+        det = xx * yy - xy**2
         with np.errstate(divide="ignore", invalid="ignore"):
-            plane = (yy * d[:, 0] ** 2 + xx * d[:, 1] ** 2 - 2 * xy * d[:, 0] * d[:, 1]) / (xx * yy - xy**2)
+            plane = (yy * d[:, 0] ** 2 + xx * d[:, 1] ** 2 - 2 * xy * d[:, 0] * d[:, 1]) / det
             square = plane + d[:, 2] ** 2 / zz
-        distance = np.where(square > 0, np.sqrt(np.abs(square)), -1.0) * size[rest]
+        distance = np.where((det != 0) & (zz != 0) & (square > 0), np.sqrt(np.abs(square)), -1.0) * size[rest]
         for k in np.argsort(distance, kind="stable")[: int((distance < cut).sum())]:
             j = rest[k]
             if bunch[i] == UNKNOWN_BUNCH:

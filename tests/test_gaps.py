@@ -179,3 +179,13 @@ def test_error_log_carries_over_batches(spark, tmp_path):
     assert rows(got, "file_id", "island", "event_number", "code", "n") == [
         (0, 1, 5, 1, 4), (0, 2, 6, 1, 1), (1, 1, 5, 1, 1), (1, 2, 9, 2, 1),
     ]
+
+
+def test_vertices_without_a_usable_covariance(spark):
+    from eventloom.operators import cleaning
+
+    names = "file_id long, event_idx long, obj_id long, x double, y double, z double, cov_xx double, cov_xy double, cov_yy double, cov_zz double, n_indices int, bunch int"
+    far = [(0, 1, 1, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 9, 0), (0, 1, 2, 0.0, 0.0, 50.0, 0.0, 0.0, 0.0, 0.0, 3, 0)]
+    fine = [(0, 2, 1, 0.0, 0.0, 0.0, 1e-4, 0.0, 1e-4, 1e-4, 9, 0), (0, 2, 2, 0.0, 0.0, 50.0, 1e-4, 0.0, 1e-4, 1e-4, 3, 0)]
+    found = cleaning.merge_split_vertices(spark.createDataFrame(far + fine, names), ["file_id", "event_idx"])
+    assert rows(found, "event_idx", "obj_id", "discarded") == [(1, 1, False), (1, 2, True), (2, 1, False), (2, 2, False)]
