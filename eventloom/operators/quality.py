@@ -100,6 +100,21 @@ def kolmogorov_test(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def filled_together(df: DataFrame, specs: dict[str, tuple[Column, Column, int, float, float]]) -> DataFrame:
+    """Several histograms (``name, bin, content``) from one scan.
+
+    ``specs`` gives each name its condition, value, number of bins and half-open range.  Every row says at
+    once which bin of which histogram it fills; empty bins are left out.
+    """
+    fills = []
+    for name, (wanted, x, n, lo, hi) in specs.items():
+        at = F.least(F.floor((x - lo) / (hi - lo) * n), F.lit(n - 1)).cast("bigint")
+        inside = F.coalesce(wanted & (x >= lo) & (x < hi), F.lit(False))
+        fills.append(F.struct(F.lit(name).alias("name"), F.when(inside, at).alias("bin")))
+    rows = df.select(F.inline(F.filter(F.array(*fills), lambda f: f["bin"].isNotNull())))
+    return rows.groupBy("name", "bin").agg(F.count("*").alias("content"))
+
+
 def chi2_distance(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Chi-square between two unweighted histograms, and its degrees of freedom."""
     totals = pairs.groupBy(*keys).agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
+from eventloom.functions import status, tracks
+from eventloom.functions.triggers import any_bit
 from eventloom.operators import histograms, quality
+from eventloom.operators.tables import OBJECT
 from eventloom.plans.domain import base, table
 from eventloom.plans.filters import EVENT_CLASSES, with_classes
 from eventloom.plans.registry import query, r6
@@ -152,3 +157,64 @@ def status_bits(spark, sf):
         quality.is_set(C("status"), 1, 2).alias("error_in_one"),
         (C("status") != 0).alias("any_set"),
     )
+
+
+# name -> (condition in SQL, value in SQL, bins, low, high); j has the track, its details and p, eta, phi
+_PIPE = "(flags & 64) <> 0 AND abs(d) < 3 AND abs(dz) < 3"
+_CENTRAL = _PIPE + " AND abs(eta) < 0.9"
+_GLOBAL_SQL = {
+    "its_cluster_fraction": ("(flags & 4) <> 0", "its_ncls / 6.0::DOUBLE", 100, 0, 2),
+    "tpc_cluster_fraction": ("(flags & 64) <> 0", "tpc_ncls / 159.0::DOUBLE", 100, 0, 2),
+    "azimuth": (_PIPE, "phi", 100, 0, "2 * pi()"),
+    "eta": (_PIPE, "eta", 100, -2, 2),
+    "tpc_momentum": (_CENTRAL, "p", 50, 0.2, 5),
+    "tpc_its_momentum": (_CENTRAL + " AND (flags & 4) <> 0", "p", 50, 0.2, 5),
+    "tpc_tof_momentum": (_CENTRAL + " AND tof_signal > 0", "p", 50, 0.2, 5),
+    "impact_a_positive": ("z > 0 AND tgl > 0 AND signed1pt > 0", "d * 10", 50, -25, 25),
+    "impact_a_negative": ("z > 0 AND tgl > 0 AND NOT signed1pt > 0", "d * 10", 50, -25, 25),
+    "impact_c_positive": ("z < 0 AND tgl < 0 AND signed1pt > 0", "d * 10", 50, -25, 25),
+    "impact_c_negative": ("z < 0 AND tgl < 0 AND NOT signed1pt > 0", "d * 10", 50, -25, 25),
+    "tpc_signal": ("p > 0.4 AND p < 0.5", "tpc_signal", 50, 0, 100),
+}
+_GLOBAL_FILLS = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, CAST(least(floor((({x}) - {lo}) / (({hi}) - ({lo})::DOUBLE) * {n}), {n - 1}) AS BIGINT) AS bin FROM j WHERE {wanted} AND ({x}) >= {lo} AND ({x}) < {hi}"
+    for name, (wanted, x, n, lo, hi) in _GLOBAL_SQL.items()
+)
+
+
+@query(
+    "p07_global_track_quality",
+    f"""WITH k AS (SELECT *, asin(snp) + alpha AS raw FROM tracks JOIN tracks_extra USING (file_id, event_idx, obj_id)),
+       j AS (SELECT *, CASE WHEN signed1pt <> 0 THEN sqrt(1 + tgl * tgl) / abs(signed1pt) END AS p, -ln(tan((pi() / 2 - atan(tgl)) / 2)) AS eta,
+         CASE WHEN raw < 0 THEN raw + 2 * pi() WHEN raw >= 2 * pi() THEN raw - 2 * pi() ELSE raw END AS phi FROM k)
+       SELECT name, bin, count(*) AS content FROM ({_GLOBAL_FILLS}) f GROUP BY name, bin""",
+    ("tracks", "tracks_extra"),
+)
+def global_track_quality(spark, sf):
+    """The track histograms of the global quality set, filled in one pass."""
+    main = table(spark, sf, "tracks").select(*OBJECT, "alpha", "z", "snp", "tgl", "signed1pt")
+    extra = table(spark, sf, "tracks_extra").select(
+        *OBJECT, "flags", "its_ncls", "tpc_ncls", "tof_signal", "tpc_signal", "d", "dz"
+    )
+    p, eta = tracks.momentum(C("tgl"), C("signed1pt")), tracks.eta(C("tgl"))
+    joined = main.join(extra, OBJECT).withColumns({"p": p, "eta": eta, "phi": tracks.phi(C("snp"), C("alpha"))})
+    its, tpc = any_bit(C("flags"), status.ITS_REFIT), any_bit(C("flags"), status.TPC_REFIT)
+    pipe = tpc & (F.abs("d") < 3) & (F.abs("dz") < 3)
+    central = pipe & (F.abs("eta") < 0.9)
+    side_a, side_c = (C("z") > 0) & (C("tgl") > 0), (C("z") < 0) & (C("tgl") < 0)
+    positive, impact = C("signed1pt") > 0, C("d") * 10
+    specs = {
+        "its_cluster_fraction": (its, C("its_ncls") / 6.0, 100, 0.0, 2.0),
+        "tpc_cluster_fraction": (tpc, C("tpc_ncls") / 159.0, 100, 0.0, 2.0),
+        "azimuth": (pipe, C("phi"), 100, 0.0, 2 * math.pi),
+        "eta": (pipe, C("eta"), 100, -2.0, 2.0),
+        "tpc_momentum": (central, C("p"), 50, 0.2, 5.0),
+        "tpc_its_momentum": (central & its, C("p"), 50, 0.2, 5.0),
+        "tpc_tof_momentum": (central & (C("tof_signal") > 0), C("p"), 50, 0.2, 5.0),
+        "impact_a_positive": (side_a & positive, impact, 50, -25.0, 25.0),
+        "impact_a_negative": (side_a & ~positive, impact, 50, -25.0, 25.0),
+        "impact_c_positive": (side_c & positive, impact, 50, -25.0, 25.0),
+        "impact_c_negative": (side_c & ~positive, impact, 50, -25.0, 25.0),
+        "tpc_signal": ((C("p") > 0.4) & (C("p") < 0.5), C("tpc_signal"), 50, 0.0, 100.0),
+    }
+    return quality.filled_together(joined, specs)
