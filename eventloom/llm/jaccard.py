@@ -6,9 +6,9 @@ sets agree on: common shingles last, the rest by hash. An index list holds the c
 their prefix.
 
 * Skipping within lists: a list is cut into blocks by the sets' sizes; a block meets itself and the next one,
-  since sets of a size further apart cannot be similar. A pair that meets in too few lists to
-  reach the overlap it needs is dropped without being compared.
-* Skipping by answers: of every list the classes are first compared with one pivot. Sets that are similar to
+  since sets of a size further apart cannot be similar. Sets that are similar share so many lists that
+  they meet before either has too few lists left; later positions are skipped.
+* Skipping by answers: of every list the classes are first compared with one pivot, the most typical. Sets that are similar to
   it have their answer, the component, from the pivot; among them nothing is compared again. For the
   others, known overlaps with a common pivot bound the overlap of two sets from above. Only pairs
   of different components that pass this are counted and compared.
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm import words
@@ -39,7 +39,7 @@ _CHUNK = 4_000_000
 SALT = 1000
 
 _U = np.uint64
-SETS = "doc_id long, n long, class long, cold array<long>, hot array<long>"
+SETS = "doc_id long, n long, class long, closed boolean, cold array<long>, hot array<long>"
 
 
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +74,7 @@ def _prefixes(common: np.ndarray):
         for batch in batches:
             ids = batch.column("doc_id")
             for a, hashed, before in words.word_slices(batch.column("text")):
-                n, name, cold, hot = [], [], [], []
+                n, name, closed, cold, hot = [], [], [], [], []
                 for k in range(len(before) - 1):
                     own = words.shingle_set(hashed[before[k] : before[k + 1]], SIZE)
                     n.append(len(own))
@@ -87,6 +87,7 @@ def _prefixes(common: np.ndarray):
                     else:
                         often = np.zeros(len(own), bool)
                     first = own[~often][:length]
+                    closed.append(bool((~often).sum() <= length))
                     cold.append(words.as_long(first))
                     hot.append(words.as_long(own[often][: length - len(first)]))
                 yield pa.RecordBatch.from_arrays(
@@ -94,10 +95,11 @@ def _prefixes(common: np.ndarray):
                         ids.slice(a, len(n)),
                         pa.array(n, pa.int64()),
                         pa.array(name, pa.int64()),
+                        pa.array(closed, pa.bool_()),
                         pa.array(cold, pa.list_(pa.int64())),
                         pa.array(hot, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "class", "cold", "hot"],
+                    ["doc_id", "n", "class", "closed", "cold", "hot"],
                 )
 
     return run
@@ -174,7 +176,8 @@ def _compared(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFram
     hubs = sizes.select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("hub").alias("class"))
     asked = others.unionByName(hubs).join(classes.select("class", "doc_id"), "class")
     asked = written(asked.withColumnRenamed("doc_id", "_doc"), "asked")
-    sets = docs.join(asked, docs["doc_id"] == asked["_doc"]).select("hub", "salt", "class", "text")
+    # the same plan at every size: texts go to those who ask
+    sets = docs.join(asked.hint("merge"), docs["doc_id"] == asked["_doc"]).select("hub", "salt", "class", "text")
     sets = sets.mapInArrow(_sets, "hub long, salt int, class long, own binary")
     # rows of a repeated id and text come twice
     own = (F.col("hub") != F.col("class")).alias("other")
@@ -200,18 +203,22 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sets = written(rows.mapInArrow(_prefixes(common), SETS), "sets")
     filled = sets.where("n > 0")
     classes = filled.groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("cold").alias("cold"), F.first("hot").alias("hot")
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("closed").alias("closed"), F.first("cold").alias("cold"), F.first("hot").alias("hot")
     )
     classes = written(classes, "classes")
     cold = classes.select(F.explode("cold").alias("h"), "class").repartition("h").sortWithinPartitions("h")
     lists = cold.mapInArrow(_shared, "h long, class long").unionByName(
         classes.select(F.explode("hot").alias("h"), "class")
     )
-    narrow = classes.select("class", "doc_id", "n")
-    lists = written(lists.join(narrow.select("class", "n"), "class"), "lists")
-
-    # every class of a list against the list's pivot
-    pivots = lists.groupBy("h").agg(F.min_by(F.struct("class", "n"), F.xxhash64("class")).alias("pivot"))
+    narrow = classes.select("class", "doc_id", "n", "closed")
+    lists = written(lists.join(narrow.drop("doc_id"), "class"), "lists")
+
+    # every class of a list against the list's pivot: the one with most of its prefix in lists, so what
+    # copies were made from rather than a copy
+    held = lists.groupBy("class").agg(F.count("*").alias("held"))
+    lists = written(lists.join(held, "class"), "held")
+    order = F.struct(F.col("held") / (F.col("n") - _beyond(F.col("n"))), F.xxhash64("class"))
+    pivots = lists.groupBy("h").agg(F.max_by(F.struct("class", "n"), order).alias("pivot"))
     stars = lists.join(pivots, "h").where("class <> pivot.class")
     stars = stars.groupBy(F.col("pivot.class").alias("hub"), "class").agg(
         F.count("*").alias("met"), F.first("n").alias("n"), F.first("pivot.n").alias("m")
@@ -222,32 +229,55 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     known = written(_compared(rows, stars.select("hub", "class"), narrow), "overlaps")
     size = narrow.select(F.col("class").alias("_c"), F.col("n").alias("_n"))
     known = known.join(size, known["class"] == size["_c"]).withColumnRenamed("_n", "n").drop("_c")
+    size = size.join(narrow.select(F.col("class").alias("_c"), F.col("closed").alias("hub_closed")), "_c")
     known = written(known.join(size, known["hub"] == size["_c"]).withColumnRenamed("_n", "m").drop("_c"), "known")
     similar = F.col("overlap") >= _needed(F.col("n"), F.col("m"))
     links = known.where(similar).select(F.col("hub").alias("a"), F.col("class").alias("b"))
     roots = components(links)
 
     # what is left: pairs of different components that no known overlap rules out
-    best = known.groupBy("class").agg(F.max(F.struct("overlap", "hub")).alias("best"))
-    best = best.select("class", F.col("best.hub").alias("hub"), F.col("best.overlap").alias("o"))
+    best = known.groupBy("class").agg(F.max(F.struct("overlap", "hub", "hub_closed")).alias("best"))
+    best = best.select("class", "best.hub", "best.hub_closed", F.col("best.overlap").alias("o"))
     placed = lists.join(roots.withColumnRenamed("node", "class"), "class", "left").join(best, "class", "left")
-    placed = placed.select("h", "class", "n", F.coalesce("root", "class").alias("root"), F.coalesce("hub", "class").alias("hub"), F.coalesce("o", "n").alias("o"))
+    # shingles of the prefix that no other set has, if all sets concerned have their rare shingles in the prefix
+    rare = F.col("n") - _beyond(F.col("n")) - F.col("held")
+    placed = placed.select(
+        "h",
+        "class",
+        "n",
+        "held",
+        F.coalesce("root", "class").alias("root"),
+        F.coalesce("hub", "class").alias("hub"),
+        F.coalesce("o", "n").alias("o"),
+        F.when(F.col("closed"), rare).otherwise(0).alias("rare"),
+        (F.col("closed") & F.coalesce("hub_closed", "closed")).alias("closed"),
+    )
     block = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / PERCENT)) + 1e-9).cast("int")
     placed = written(placed.withColumn("block", block), "placed")
-    mixed = placed.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h")
-    placed = placed.join(mixed, "h")
-    left = placed.select(F.explode(F.array("block", F.col("block") + 1)).alias("block"), *(F.col(c).alias(c + "1") for c in ("h", "class", "n", "root", "hub", "o")))
-    bound = F.least("o", "o1") + F.least(F.col("n") - F.col("o"), F.col("n1") - F.col("o1"))
+    mixed = placed.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"))
+    placed = placed.join(mixed.where("x <> y").select("h", "size"), "h")
+    # a set's place in its lists, the shortest first: at most as many as its prefix has shingles
+    of_set = Window.partitionBy("class")
+    placed = placed.withColumns(
+        {"held": F.count("*").over(of_set), "at": F.row_number().over(of_set.orderBy("size", "h"))}
+    )
+    left = placed.select(F.explode(F.array("block", F.col("block") + 1)).alias("block"), *(F.col(c).alias(c + "1") for c in ("h", "class", "n", "held", "at", "root", "hub", "o", "rare", "closed")))
+    # a set's overlap with another is inside the common pivot or outside it, and what no other has is in neither
+    alone = F.when(F.col("closed") & F.col("closed1"), F.col("rare")).otherwise(0)
+    alone1 = F.when(F.col("closed") & F.col("closed1"), F.col("rare1")).otherwise(0)
+    outside = F.least(F.col("n") - F.col("o") - alone, F.col("n1") - F.col("o1") - alone1)
+    bound = F.least("o", "o1") + F.greatest(outside, F.lit(0))
+    meet = _needed(F.col("n"), F.col("n1")) - F.greatest(_beyond(F.col("n")), _beyond(F.col("n1")))
     pairs = left.join(placed, (left["h1"] == placed["h"]) & (left["block"] == placed["block"])).where(
         (F.col("root1") != F.col("root"))
         & ((F.col("n1") < F.col("n")) | ((F.col("n1") == F.col("n")) & (F.col("class1") < F.col("class"))))
         & (F.col("n1") * 100 >= F.col("n") * PERCENT)
+        # two sets that share so many lists meet in one before either has too few lists left
+        & (F.col("at") <= F.col("held") + 1 - meet)
+        & (F.col("at1") <= F.col("held1") + 1 - meet)
         & ((F.col("hub1") != F.col("hub")) | (bound >= _needed(F.col("n"), F.col("n1"))))
     )
-    pairs = pairs.groupBy(F.col("class1").alias("hub"), "class").agg(
-        F.count("*").alias("met"), F.first("n").alias("n"), F.first("n1").alias("m")
-    )
-    pairs = pairs.where(F.col("met") >= need).select("hub", "class", "n", "m")
+    pairs = pairs.select(F.col("class1").alias("hub"), "class", "n", F.col("n1").alias("m")).distinct()
     pairs = written(pairs.join(known.select("hub", "class"), ["hub", "class"], "left_anti"), "pairs")
     more = _compared(rows, pairs.select("hub", "class"), narrow).join(pairs, ["hub", "class"])
     links = written(links.unionByName(more.where(similar).select(F.col("hub").alias("a"), F.col("class").alias("b"))), "all-links")
