@@ -31,6 +31,9 @@ RADIUS = 31
 BLOCK_ITEMS = 1000
 BLOCK_CHARS = 4_000_000
 
+#: Windows fingerprinted at a time.
+_WINDOWS = 1024
+
 _U = np.uint64
 _BLOCKS, _FLIPS = 8, 3
 _MASKS = np.array([sum(1 << b for b in c) for n in range(_FLIPS + 1) for c in combinations(range(16), n)], np.uint16)
@@ -140,7 +143,7 @@ class Items:
         out: dict[int, tuple[float, int, int, int]] = {}
         total = len(hashed)
         for size in [SIZE, *self.short]:
-            if total < size == SIZE or total < size:
+            if total < size:
                 continue
             found = words.ngrams(hashed, size)
             found = found if size == SIZE else words.mix(found + _U(size))
@@ -169,18 +172,23 @@ class Items:
             np.add.at(mark, places + 1, -1)
             begin = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
             begin = begin[begin <= total - m]
-        for low in range(0, len(begin), 4096):
-            part = begin[low : low + 4096]
-            inside = np.zeros(part[-1] - part[0] + each, bool)
-            for_each = part - part[0]
-            sums = np.zeros((len(inside) + 1, 128), np.int32)
-            np.cumsum(signs(found[part[0] : part[0] + len(inside)]), axis=0, out=sums[1:])
-            prints = packed(sums[for_each + each] - sums[for_each])
-            for window, item, apart in self._within(prints, m):
-                start = int(part[window])
-                s = self.similarity(found[start : start + each], item)
-                if s >= SIMILAR and (item not in out or (-s, start) < (-out[item][0], out[item][1])):
-                    out[item] = (s, start, min(m, total), apart)
+        # stretches of neighbouring windows, so that what lies between far passages is not fingerprinted
+        edges = [0, *(np.flatnonzero(np.diff(begin) > 1) + 1).tolist(), len(begin)]
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            for first in range(low, high, _WINDOWS):
+                self._stretch(found, begin[first : min(first + _WINDOWS, high)], each, m, total, out)
+
+    def _stretch(self, found: np.ndarray, begin: np.ndarray, each: int, m: int, total: int, out: dict) -> None:
+        """Consecutive windows of ``each`` shingles."""
+        inside = found[begin[0] : begin[-1] + each]
+        sums = np.zeros((len(inside) + 1, 128), np.int32)
+        np.cumsum(signs(inside), axis=0, out=sums[1:])
+        at = begin - begin[0]
+        for window, item, apart in self._within(packed(sums[at + each] - sums[at]), m):
+            start = int(begin[window])
+            s = self.similarity(found[start : start + each], item)
+            if s >= SIMILAR and (item not in out or (-s, start) < (-out[item][0], out[item][1])):
+                out[item] = (s, start, min(m, total), apart)
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Items]:

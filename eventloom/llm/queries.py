@@ -86,12 +86,54 @@ def toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op2_sorted_projection_neighbours")
+VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT coalesce(vec_id, -9223372036854775808) AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), u AS (
+  SELECT id, label, e, sqrt(list_dot_product(e, e)) AS size FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.id AS x, b.id AS y FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.id <> b.id
+  WHERE list_dot_product(a.e, b.e) >= 0.93 * a.size * b.size
+), reach AS (
+  SELECT id, id AS r FROM v UNION SELECT reach.id, y FROM reach JOIN links ON x = r
+), n AS (
+  SELECT x AS id, count(*) AS n FROM links GROUP BY x
+), c AS (
+  SELECT id, min(r) AS component_id FROM reach GROUP BY id
+)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept FROM c LEFT JOIN n USING (id)
+"""
+
+
+@query("op2_sorted_projection_neighbours", VECTORS_SQL)
 def sorted_projection_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@query("op3_ngram_jaccard_join")
+JACCARD_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT coalesce(doc_id, -9223372036854775808) AS id, list_filter(
+    string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS shingle FROM w
+), n AS (
+  SELECT id, count(shingle) AS n FROM w LEFT JOIN s USING (id) GROUP BY id
+), shared AS (
+  SELECT a.id AS x, b.id AS y, count(*) AS o FROM s a JOIN s b ON a.shingle = b.shingle AND a.id <> b.id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN n a ON a.id = x JOIN n b ON b.id = y WHERE 100 * o >= 80 * (a.n + b.n - o)
+), reach AS (
+  SELECT id, id AS r FROM n UNION SELECT reach.id, y FROM reach JOIN links ON x = r
+)
+SELECT id AS doc_id, n AS n_shingles, min(r) AS component_id FROM reach JOIN n USING (id) GROUP BY ALL
+"""
+
+
+@query("op3_ngram_jaccard_join", JACCARD_SQL)
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
