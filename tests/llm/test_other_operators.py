@@ -260,6 +260,13 @@ def test_main_text():
     assert "first!" in pages.plain_text(PAGE) and "var a" not in pages.plain_text(PAGE)
 
 
+def test_classes_about_the_page_and_heads_of_articles():
+    page = '<div class="page has-sidebar no-ads"><article class=with-comments><header class="entry-header"><h1>A</h1></header>'
+    page += '<p>b</p><div class=commentList><p>c</p></div></article><div id="sideBar-menu">d</div></div>'
+    assert pages.main_text(page) == "A\nb"
+    assert pages.main_text('<div class="header">x</div><h2 class="site-header">y</h2><p>z</p>') == "y\nz"
+
+
 def test_site_style_tree(spark):
     def page(i):
         body = "".join(f"<p>{prose(10 * i + k, 9)}</p>" for k in range(4))
