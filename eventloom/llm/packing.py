@@ -34,7 +34,7 @@ MAX_QUEUES = 1024
 #: Words that a Python worker remembers at most, in each of two generations.
 REMEMBERED = 250_000
 
-TOKENS = "doc_id long, queue string, part int, start long, n long, ids binary"
+TOKENS = "doc_id long, source string, queue string, part int, start long, n long, ids binary"
 PIECES = (
     "doc_id long, source string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
@@ -138,13 +138,14 @@ def _tokenise(path: str | None):
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("doc_id"),
+                        rows.column("source"),
                         rows.column("queue"),
                         pa.array([part] * len(ids), pa.int32()),
                         pa.array(starts, pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.array(ids, pa.binary()),
                     ],
-                    ["doc_id", "queue", "part", "start", "n", "ids"],
+                    ["doc_id", "source", "queue", "part", "start", "n", "ids"],
                 )
 
     return run
@@ -246,11 +247,11 @@ def _cut(totals: dict[str, int], targets: dict[str, float] | None, window: int,
             for at in range(0, batch.num_rows, 200):
                 rows = batch.slice(at, 200).to_pydict()
                 out: dict[str, list] = {name: [] for name in pa_pieces.names}
-                for doc, queue, start, n, ids in zip(
-                    rows["doc_id"], rows["queue"], rows["start"], rows["n"], rows["ids"], strict=True
+                for doc, source, queue, start, n, ids in zip(
+                    rows["doc_id"], rows["source"], rows["queue"], rows["start"], rows["n"], rows["ids"], strict=True
                 ):
                     for first, size, number, offset in schedule.pieces(queue, start, n):
-                        values = (doc, None if queue == "-" else queue[1:], first, size)
+                        values = (doc, source, first, size)
                         values += (ids[4 * first : 4 * (first + size)], n, number, offset)
                         for name, value in zip(out, values, strict=True):
                             out[name].append(value)
@@ -273,10 +274,15 @@ pa_pieces = pa.schema(
 )
 
 
+def queue_of(source: str | None) -> str:
+    """The queue of a source that has one to itself."""
+    return "-" if source is None else "+" + source
+
+
 def pack(
     docs: DataFrame,
     *,
-    targets: dict[str, float] | None = None,
+    targets: dict[str | None, float] | None = None,
     length: int = LENGTH,
     window: int = WINDOW,
     tokenizer: str | None = None,
@@ -286,28 +292,39 @@ def pack(
     A document's tokens are its text's ids and END. The result has ``doc_id, source, start, length, ids``
     (little-endian unsigned 32-bit), ``doc_tokens, sequence_id, offset``. Sequences have ``length``
     tokens; the last ones have powers of two, and nothing is padded. The order within a queue is that
-    in which the documents are read. ``targets`` maps sources to rates; sources without one come last.
+    in which the documents are read. ``targets`` maps sources (None: the null ``source``) to rates; sources without
+    one, or with a rate of 0, come last. A target that no document's source has, and a rate that is negative or not
+    finite, is an error.
 
     Null or empty text: the piece of END alone. Null ``source``: a queue of its own. Null or repeated
-    ``doc_id``: every row is a document by itself. More than MAX_QUEUES sources share that many queues by
-    hash (``source`` is then the queue's number). No documents: no rows. Other columns are ignored.
+    ``doc_id``: every row is a document by itself. Every source with a target has a queue of its own; where there are
+    more than MAX_QUEUES sources, those without a target share that many queues by hash. No documents: no rows.
+    Other columns are ignored.
     """
     spark = docs.sparkSession
     prepare(spark)
+    rates = {queue_of(name): float(rate) for name, rate in (targets or {}).items()}
+    if wrong := [name for name, rate in rates.items() if not 0 <= rate < float("inf")]:
+        raise ValueError(f"Rates must be finite and not negative: {sorted(wrong)}")
     source = docs["source"].cast("string")
+    queue = F.coalesce(F.concat(F.lit("+"), source), F.lit("-"))
     if docs.select(source).distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        source = F.pmod(F.xxhash64(source), F.lit(MAX_QUEUES)).cast("string")
+        shared = F.concat(F.lit("#"), F.pmod(F.xxhash64(source), F.lit(MAX_QUEUES)).cast("string"))
+        queue = F.when(source.isNull() | queue.isin(list(rates)), queue).otherwise(shared)
     rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
-        F.coalesce(F.concat(F.lit("+"), source), F.lit("-")).alias("queue"),
+        source.alias("source"),
+        queue.alias("queue"),
         F.coalesce(docs["text"], F.lit("")).alias("text"),
     )
     tokens = written(rows.mapInArrow(_tokenise(tokenizer), TOKENS), "tokens")
     sums = tokens.groupBy("queue", "part").agg(F.sum("n").alias("size"))
     totals = {r["queue"]: r["size"] for r in sums.groupBy("queue").agg(F.sum("size").alias("size")).collect()}
+    if totals and (unknown := rates.keys() - totals.keys()):
+        raise ValueError(f"Targets without documents: {sorted(unknown)}")
     earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("queue", "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"))
     placed = tokens.join(bases, ["queue", "part"]).select(
-        "doc_id", "queue", (F.col("base") + F.col("start")).alias("start"), "n", "ids"
+        "doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("start"), "n", "ids"
     )
-    return placed.mapInArrow(_cut(totals, targets, window, length), PIECES)
+    return placed.mapInArrow(_cut(totals, rates, window, length), PIECES)

@@ -240,6 +240,43 @@ def test_schedule_follows_targets():
     assert sum(x[2] for x in cut) == 40_000 and len({x[1] for x in cut}) == len(cut)
 
 
+def packed_places(pieces, length):
+    """Of each token of the packed stream, its source, in order."""
+    out = []
+    for r in sorted(pieces.collect(), key=lambda r: (r.sequence_id, r.offset)):
+        out += [r.source] * r.length
+    return out
+
+
+def test_packing_follows_targets_in_every_window(spark):
+    rows = [(i, prose(i, 50), "", ("web", "book", None)[i % 3], 0) for i in range(300)]
+    docs = frame(spark, rows)
+    for targets, first in (({"web": 3, "book": 1}, {"web": 192, "book": 64}), ({"book": 1.0, None: 1.0}, {"book": 128, None: 128})):
+        places = packed_places(packing.pack(docs, targets=targets, length=64, window=256), 64)
+        total, left, at = Counter(places), Counter(places), 0
+        while all(left[s] >= n for s, n in first.items()):  # until the first queue is empty
+            part = Counter(places[at : at + 256])
+            assert all(abs(part[s] - n) <= 1 for s, n in first.items()) and not part.keys() - first.keys()
+            left.subtract(part)
+            at += 256
+        assert at >= 0.9 * 256 * min(total[s] // n for s, n in first.items())
+        last = ({"web", "book", None} - first.keys()).pop()
+        assert set(places[-total[last] :]) == {last}
+    for wrong in ({"webb": 1.0}, {"web": 1.0, "+web": 2.0}, {"web": -1.0}, {"web": float("nan")}):
+        with pytest.raises(ValueError):
+            packing.pack(docs, targets=wrong, length=64, window=256)
+
+
+def test_packing_keeps_sources_beyond_the_queues(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MAX_QUEUES", 4)
+    rows = [(i, prose(i, 30), "", None if i % 9 == 8 else f"s{i % 9}", 0) for i in range(270)]
+    pieces = packing.pack(frame(spark, rows), targets={"s1": 3.0, "s2": 1.0}, length=64, window=256)
+    assert {(r.doc_id, r.source) for r in pieces.collect()} == {(r[0], r[3]) for r in rows}
+    places = packed_places(pieces, 64)
+    assert all(abs(Counter(places[at : at + 256])["s1"] - 192) <= 1 for at in range(0, 768, 256))
+    assert set(places[: Counter(places)["s1"]]) == {"s1", "s2"}
+
+
 def test_packing_nothing(spark):
     assert packing.pack(frame(spark, [])).count() == 0
 
