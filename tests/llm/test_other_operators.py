@@ -323,6 +323,27 @@ def test_site_style_tree(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("holder", ["article", "div"])
+def test_copies_with_other_adverts_are_no_template(spark, holder):
+    def page(k, advert):
+        body = "".join(f"<p>{prose(50 * k + j, 9)}</p>" for j in range(3))
+        return f"<body><div class=ad><b>Buy {advert}</b></div><nav>Go {advert}</nav><{holder}><h1>{prose(50 * k + 9, 4)}</h1>{body}</{holder}><div>Call us</div></body>"
+
+    copies, others = 400, 8
+    rows = [(i, "https://one.example/", page(0, i)) for i in range(copies)]
+    rows += [(copies + k, "https://one.example/", page(k, k)) for k in range(1, others + 1)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for r in pages.extract(df).collect():
+        k = max(0, r.page_id - copies)
+        assert r.text.split("\n") == [prose(50 * k + 9, 4), *(prose(50 * k + j, 9) for j in range(3))]
+
+
+def test_one_headline_for_all_articles(spark):
+    rows = [(i, "https://one.example/", f"<article><h1>The weather</h1><p>{prose(i, 9)}</p></article>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.text for r in pages.extract(df).collect()} == {f"The weather\n{prose(i, 9)}" for i in range(6)}
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "https://a.example/x", PAGE), (2, None, None), (None, "https://a.example/y", "é"), (1, "https://a.example/x", PAGE)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("block", F.lit("z"))
