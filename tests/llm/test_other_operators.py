@@ -323,6 +323,29 @@ def test_site_style_tree(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_role_words_on_wrappers():
+    side, body = "<div class=ad>Buy</div><nav>Go</nav>", "<h1>Head</h1><p>one two three</p><p>four five six seven</p>"
+    text = "Head\none two three\nfour five six seven"
+    for wrapper in ('div class="sidebar-layout"', 'div id="form-wrapper"', 'form id="aspnetForm"', "div class=comments-page"):
+        for inner in ("article", "main"):
+            end = wrapper.split()[0]
+            assert pages.main_text(f"<{wrapper}>{side}<{inner}>{body}</{inner}></{end}>") == text
+    assert pages.main_text(f"<form id=aspnetForm><div class=search-page>{body}</div></form>") == text
+    assert pages.main_text(f"<article><div class=form-body>{body}</div></article>") == text
+    # what is beside the article, or in it without being most of it, keeps its role
+    others = "<div class=related><article><p>teaser</p></article></div><ol class=comment-list><li><article>so long a reply</article></ol>"
+    assert pages.main_text(f"<div class=sidebar-layout><article>{body}</article>{others}</div>") == text
+    assert pages.main_text(f"<main><article>{body}</article><div class=comments>{'<p>I think not</p>' * 90}</div></main>") == text
+    assert pages.main_text(f"<div>{body}</div><ol class=comment-list><li><article>first</article></ol>") == text
+
+
+def test_role_words_on_inline_elements():
+    page = '<p>Look up <span class="search-term">spark</span>, <em class="notice">not</em> <label>sparks</label>.</p>'
+    for whole in (f"<article>{page}</article>", page):
+        assert pages.main_text(whole) == "Look up spark, not sparks."
+    assert pages.main_text("<article>text</article><a class=share-button>Share</a>") == "text"
+
+
 @pytest.mark.parametrize("holder", ["article", "div"])
 def test_copies_with_other_adverts_are_no_template(spark, holder):
     def page(k, advert):
