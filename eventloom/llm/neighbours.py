@@ -1,12 +1,14 @@
 """Embedding near-dedup by sorted projection passes.
 
-In every pass each vector gets a string of BITS bits, the signs of as many random projections. The vectors of a
+In every pass each vector gets a string of bits, the signs of as many random projections. The vectors of a
 label are ordered lexicographically by these strings, and each is compared with the WINDOW that follow it.
 Pairs whose cosine is the threshold or more are links; the passes' links are united to components.
 
 Vectors at an angle of x agree in a bit with chance 1 - x/180, so a pair at cosine 0.93 (21.6 degrees) meets in
-a pass with chance of about 0.88 to the power log2(n / WINDOW), n being the vectors of the label, and
-misses all PASSES with the rest's power. Components need fewer: one chain of found links suffices.
+a pass with chance of about 0.88 to the power of the bits that a vector shares with the WINDOW-th after it, and
+misses all passes with the rest's power. These bits grow with the label and with how much its vectors lean one way, so
+they are measured in an order of all vectors first; passes and bits follow from them, for a recall of RECALL
+in labels of every size. Components need fewer passes: one chain of found links suffices.
 
 A dense group has more links than its windows show. The links of a component's members among each
 other are therefore counted in blocks of the component against blocks, as sums, never as pairs.
@@ -14,6 +16,7 @@ other are therefore counted in blocks of the component against blocks, as sums,
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,22 +29,27 @@ from eventloom.llm.components import components
 from eventloom.llm.shared import given_id, known_id, prepare, written
 
 COSINE = 0.93
+#: Passes and bits at least; bits that a long holds, and passes at most (beyond these a warning gives the recall).
 PASSES = 20
 BITS = 32
+MOST_PASSES = 512
+MOST_BITS = 62
+#: Share of the pairs at the threshold that meet, in the mean.
+RECALL = 0.99
 WINDOW = 32
 #: Consecutive places of an order, and members of a component, that one task handles at a time.
 BLOCK = 2048
 PART = 1024
 SEED = 93
 
-_planes: dict[int, np.ndarray] = {}
+_planes: dict[tuple[int, int, int], np.ndarray] = {}
 
 
-def planes(size: int) -> np.ndarray:
+def planes(size: int, passes: int, bits: int) -> np.ndarray:
     """Random directions for vectors of a size, the same everywhere."""
-    if size not in _planes:
-        _planes[size] = np.random.default_rng([SEED, size]).standard_normal((size, PASSES * BITS))
-    return _planes[size]
+    if (size, passes, bits) not in _planes:
+        _planes[size, passes, bits] = np.random.default_rng([SEED, size]).standard_normal((size, passes * bits))
+    return _planes[size, passes, bits]
 
 
 def _vectors(column: pa.Array, single: bool) -> list[np.ndarray | None]:
@@ -75,25 +83,25 @@ def unit(data: list[bytes], single: bool) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _strings(single: bool):
+def _strings(single: bool, passes: int, bits: int):
     """A row for each pass: the string as a long whose order is the string's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
+        weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             vectors = batch.column("vector").to_pylist()
-            codes = np.zeros((len(vectors), PASSES), np.int64)
+            codes = np.zeros((len(vectors), passes), np.int64)
             sizes = np.array([len(v) for v in vectors])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
                 rows = unit([vectors[i] for i in at], single)
-                signs = (rows @ planes(rows.shape[1]) > 0).reshape(len(at), PASSES, BITS)
+                signs = (rows @ planes(rows.shape[1], passes, bits) > 0).reshape(len(at), passes, bits)
                 codes[at] = signs @ weights
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
                     batch.column("group"),
-                    pa.FixedSizeListArray.from_arrays(pa.array(codes.reshape(-1)), PASSES).cast(pa.list_(pa.int64())),
+                    pa.FixedSizeListArray.from_arrays(pa.array(codes.reshape(-1)), passes).cast(pa.list_(pa.int64())),
                 ],
                 ["node", "group", "codes"],
             )
@@ -144,6 +152,61 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
+def _shared_bits(single: bool, cosine: float):
+    """How many vectors of each group share how many bits with the WINDOW-th after them, unless these are linked.
+
+    Vectors with so many links around them are found by any pass.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            held = rows.slice(max(0, rows.num_rows - WINDOW)).to_batches()[0] if rows.num_rows else None
+            group, code = rows["group"].to_numpy(), rows["code"].to_numpy()
+            low = np.flatnonzero(group[WINDOW:] == group[:-WINDOW])
+            vectors = rows["vector"].to_pylist()
+            if not len(low):
+                continue
+            far = np.zeros(len(low), bool)
+            sizes = np.array([len(vectors[i]) for i in low])
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                one, two = (unit([vectors[i] for i in low[at] + k], single) for k in (0, WINDOW))
+                far[at] = np.einsum("ij,ij->i", one, two) < cosine
+            low = low[far]
+            differ = code[low] ^ code[low + WINDOW]
+            same = [MOST_BITS - int(x).bit_length() for x in differ.tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(group[low], pa.int64()), pa.array(same, pa.int32())], ["group", "same"]
+            )
+
+    return run
+
+
+def plan(shared: list[tuple[int, int, int]], cosine: float) -> tuple[int, int, float]:
+    """Passes and bits from (label's size class, bits shared, vectors), and the least recall over the classes."""
+    agree = 1 - np.arccos(min(1.0, max(-1.0, cosine))) / np.pi
+    passes, bits, recall = PASSES, BITS, 1.0
+    for one in {c for c, _, _ in shared}:
+        same = np.array([s for c, s, _ in shared if c == one])
+        n = np.array([k for c, _, k in shared if c == one], float)
+        chance = agree ** (same + 1.0)
+
+        def found(k: int, chance: np.ndarray = chance, n: np.ndarray = n) -> float:
+            return float(1 - (n @ (1 - chance) ** k) / n.sum())
+
+        low, high = PASSES, MOST_PASSES
+        while low < high:
+            middle = (low + high) // 2
+            low, high = (low, middle) if found(middle) >= RECALL else (middle + 1, high)
+        passes, recall = max(passes, low), min(recall, found(low))
+        order = np.argsort(same)
+        often = np.searchsorted(np.cumsum(n[order]), 0.999 * n.sum())
+        bits = max(bits, min(MOST_BITS, int(same[order][min(often, len(same) - 1)]) + 4))
+    return passes, bits, recall
+
+
 class Union:
     """Union-find over numbers from 0."""
 
@@ -208,6 +271,24 @@ def _counts(single: bool, cosine: float):
     return run
 
 
+def _planned(classes: DataFrame, single: bool, cosine: float) -> tuple[int, int]:
+    """Passes and bits for these vectors, from one order of all of them."""
+    codes = classes.select("node", "group", "vector").mapInArrow(
+        _strings(single, 1, MOST_BITS), "node long, group long, codes array<long>"
+    )
+    codes = codes.select("node", F.col("codes")[0].alias("code")).join(classes.select("node", "group", "vector"), "node")
+    keys = ["group", "code", "node"]
+    order = codes.repartitionByRange(*keys).sortWithinPartitions(*keys).select("group", "code", "vector")
+    same = order.mapInArrow(_shared_bits(single, cosine), "group long, same int")
+    same = same.groupBy("group", "same").agg(F.count("*").alias("n"))
+    sizes = classes.groupBy("group").agg(F.floor(F.log2(F.count("*"))).cast("int").alias("size"))
+    shared = same.join(sizes, "group").groupBy("size", "same").agg(F.sum("n").alias("n")).collect()
+    passes, bits, recall = plan([(r["size"], r["same"], r["n"]) for r in shared], cosine)
+    if recall < RECALL:
+        warnings.warn(f"{passes} passes find about {recall:.2f} of the pairs at cosine {cosine}", stacklevel=3)
+    return passes, bits
+
+
 def link_vectors(embeddings: DataFrame, *, cosine: float = COSINE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every vector.
 
@@ -239,8 +320,9 @@ def link_vectors(embeddings: DataFrame, *, cosine: float = COSINE) -> DataFrame:
     )
     classes = written(classes, "classes")
 
+    passes, bits = _planned(classes, single, cosine)
     strings = classes.select("node", "group", "vector").mapInArrow(
-        _strings(single), "node long, group long, codes array<long>"
+        _strings(single, passes, bits), "node long, group long, codes array<long>"
     )
     strings = strings.select("node", "group", F.posexplode("codes").alias("pass", "code"))
     keys = ["pass", "group", "code", "node"]

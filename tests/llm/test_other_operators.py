@@ -77,6 +77,31 @@ def test_window_blocks_meet_at_their_borders(spark, monkeypatch):
     assert len({r.component_id for r in dense}) == 1 and all(r.n_links >= 100 for r in dense)
 
 
+def test_vectors_that_lean_one_way(spark):
+    """A label of 20,000 with a background cosine of 0.5, and 600 pairs just above the threshold."""
+    rng = np.random.default_rng(12)
+
+    def units(n):
+        x = rng.standard_normal((n, 128))
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    lean = np.sqrt(0.5) * units(1) + np.sqrt(0.5) * units(20_000)
+    lean /= np.linalg.norm(lean, axis=1, keepdims=True)
+    side = units(600)
+    side -= (side * lean[:600]).sum(1, keepdims=True) * lean[:600]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    rows = np.vstack([lean, 0.931 * lean[:600] + np.sqrt(1 - 0.931**2) * side])
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(rows.tolist())], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.component_id for r in neighbours.link_vectors(df).collect()}
+    assert sum(got[20_000 + i] == got[i] for i in range(600)) >= neighbours.RECALL * 600
+
+
+def test_passes_follow_the_shared_bits():
+    few, many = neighbours.plan([(10, 5, 1000)], 0.93), neighbours.plan([(10, 5, 1000), (24, 20, 10**7)], 0.93)
+    assert few[:2] == (neighbours.PASSES, neighbours.BITS) and many[0] > 60 and min(few[2], many[2]) >= neighbours.RECALL
+    assert neighbours.plan([(24, 50, 10**7)], 0.93)[1] == 54 and neighbours.plan([], 0.93)[0] == neighbours.PASSES
+
+
 def labelled(spark, bad, good, n=240):
     rows, marks = [], []
     for i in range(n):
