@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontamination, jaccard, lines, neighbours, packing, pages, quality, substrings, toxicity, warc
+from eventloom.llm import (
+    decontamination,
+    jaccard,
+    licenses,
+    lines,
+    negatives,
+    neighbours,
+    packing,
+    pages,
+    quality,
+    runs,
+    substrings,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,3 +203,125 @@ def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_block_digest",
         "source_payload_digest",
     )
+
+
+def _quoted(words: tuple[bytes, ...]) -> str:
+    return "[" + ", ".join(f"'{w.decode()}'" for w in words) + "]"
+
+
+def _license_sql() -> str:
+    """Every block against every template, without filters."""
+    found = licenses.templates()
+    places, blocks = [], []
+    for t in found:
+        size, c = len(t.words), t.stride
+        if t.phrase:
+            places.append(
+                f"SELECT r, '{t.label}' AS label, i FROM (SELECT r, ws, unnest(range(len(ws) - {size - 1})) AS i FROM w "
+                f"WHERE len(ws) >= {size}) WHERE ws[i + 1:i + {size}] = {_quoted(t.words)}"
+            )
+        else:
+            blocks.append(
+                f"SELECT r, '{t.label}' AS label, len(list_intersect(list_distinct(b), {_quoted(tuple(set(t.words)))})) AS o, "
+                f"{len(set(t.words))} AS m, {t.needed} AS needed FROM b{c}"
+            )
+    cut = [
+        f"b{c} AS (SELECT r, ws[k * {c} + 1:k * {c} + {2 * c}] AS b FROM (SELECT r, ws, unnest(range((len(ws) + {c - 1}) // {c})) AS k "
+        "FROM w))"
+        for c in sorted({t.stride for t in found if not t.phrase})
+    ]
+    union = " UNION ALL "
+    return f"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+  FROM documents
+), places AS ({union.join(places)}), {", ".join(cut)}, blocks AS ({union.join(blocks)}), meets AS (
+  SELECT r, label, o / m AS share FROM blocks WHERE o >= needed
+), base AS (
+  SELECT r, count(*) AS n, min(i) AS first, max(i) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places GROUP BY r
+), every AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM (SELECT r, label, share FROM meets UNION ALL SELECT r, label, 1.0 FROM places) GROUP BY r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, CAST(first AS BIGINT) AS first_word,
+  CAST(last AS BIGINT) AS last_word, coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+  CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM w LEFT JOIN base USING (r) LEFT JOIN every USING (r)
+"""
+
+
+def _joined(labels: Column) -> Column:
+    return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+
+@query("op11_license_scan", _license_sql())
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda f: f["phrase"])
+    places = F.flatten(F.transform(base, lambda f: f["places"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(places).cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        _joined(F.transform(base, lambda f: f["label"])).alias("base_labels"),
+        _joined(F.transform("found", lambda f: f["label"])).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda f: f["containment"])), F.lit(0.0)).alias("score"),
+    )
+
+
+@query("op12_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(docs["doc_id"].cast("long").cast("string").cast("binary"))
+    found = runs.periodic_runs(docs, tail_seed=F.when(h % 10 == 0, F.floor(h / 10)))
+    listed = F.transform(
+        "runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period")))
+    )
+    listed = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    most = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))
+    found = found.withColumn("most", most["run"])
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("most.start").alias("start"),
+        F.col("most.length").alias("length"),
+        F.col("most.period").alias("period"),
+        F.floor(F.lit(1000) * F.col("most.length") / F.col("most.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, coalesce(vec_id, -9223372036854775808) AS id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.r, b.vec_id, b.id,
+    CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.e) = len(b.e)
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, r) AS number FROM s WHERE same
+  QUALIFY number <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor, p.number ORDER BY s.score DESC, s.id, s.r) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor) WHERE NOT s.same AND 100 * s.score BETWEEN 50 * p.score AND 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(vectors["vec_id"] % 7 == 0, (vectors["label"] + 1) % 10).otherwise(vectors["label"])
+    return negatives.hard_negatives(vectors, vectors["vec_id"] % 50 == 0, label=label)
