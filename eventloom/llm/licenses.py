@@ -46,13 +46,11 @@ NOTICES = {
     "the following conditions are met": "bsd",
     "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
     "granted": "isc",
-    "This work is licensed under the GNU General Public License, version 3": "gpl-3",
-    "This work is licensed under the GNU General Public License, version 2": "gpl-2",
+    "This work is licensed under the GNU General Public License, version": "gpl",
     "you can redistribute it and modify it under the terms of the GNU General Public License as published by the "
     "Free Software Foundation": "gpl",
     "This Source Code Form is subject to the terms of the Mozilla Public License": "mpl",
-    "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License": "cc-by-sa",
-    "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+    "This work is licensed under a Creative Commons International License": "creative-commons",
     "To the extent possible under law the author has waived all copyright and related or neighboring rights to this "
     "work": "cc0",
     "All rights reserved. No part of this publication may be reproduced or transmitted in any form": "reserved",
