@@ -16,7 +16,7 @@ at its end is cut into powers of two, which need no padding.
 from __future__ import annotations
 
 import os
-import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +31,9 @@ LENGTH = 2048
 WINDOW = 16 * LENGTH
 END = 1
 MAX_QUEUES = 1024
-#: Words that a Python worker remembers at most, in each of two generations.
-REMEMBERED = 250_000
+#: Words that a Python worker remembers at most: those that came again, and those seen once.
+REMEMBERED = 750_000
+SEEN_ONCE = 500_000
 
 TOKENS = "doc_id long, source string, queue string, part int, start long, n long, ids binary"
 PIECES = (
@@ -56,54 +57,65 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.split = re.compile(r"[^\t\n\x0b\x0c\r ]+").findall
-
-    def _learn(self, words: set[str]) -> None:
-        """Encode words that are not remembered yet."""
+        #: ids of words that came again, and of words that came in one batch so far
+        self.known: dict[bytes, bytes] = {}
+        self.once: dict[bytes, bytes] = {}
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not remembered."""
+        stopped = [w for w in words if w[-1:] in (b".", b",") and w[:-1].decode().isalpha()]
+        words = words.difference(stopped).union(w[:-1] for w in stopped).union(w[-1:] for w in stopped)
         plain, other = [], []
-        for word in words:
-            (plain if word.isalpha() else other).append(word)
+        learnt: dict[bytes, bytes] = {}
+        whole = self.tokenizer.model.tokenize
+        for w in words:
+            if w.isalpha():  # ASCII letters: nothing to normalise, one word of the vocabulary
+                learnt[w] = array("I", [token.id for token in whole(w.decode())]).tobytes()
+            else:
+                (plain if (word := w.decode()).isalpha() else other).append(word)
         # a run of letters gives one word of the vocabulary: its last token, and no other, ends a word
         ids = np.zeros(0, np.uint32)
         if plain:
-            joined = [" ".join(plain[i : i + 64]) for i in range(0, len(plain), 64)]
+            joined = [" ".join(plain[i : i + 32]) for i in range(0, len(plain), 32)]
             found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
             ids = np.fromiter((i for e in found for i in e.ids), np.uint32)
         last = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else ids
         if len(last) == len(plain):
             first, data = 0, ids.astype("<u4").tobytes()
             for word, end in zip(plain, last.tolist(), strict=True):
-                self.young[word] = data[4 * first : 4 * end]
+                learnt[word.encode()] = data[4 * first : 4 * end]
                 first = end
         else:
             other += plain
         if other:
             for word, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-                self.young[word] = np.array(e.ids, "<u4").tobytes()
+                learnt[word.encode()] = np.array(e.ids, "<u4").tobytes()
+        for w in stopped:
+            learnt[w] = learnt[w[:-1]] + learnt[w[-1:]]
+        return learnt
 
     def __call__(self, batch: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        runs = [self.split(text.lower() if text.isascii() else text) for text in batch]
-        young, old = self.young, self.old
-        missing = {w for run in runs for w in run if w not in young}
-        again = [w for w in missing if w in old]
+        # bytes are split at ASCII white space and only A-Z are lower-cased, as the vocabulary's rules allow
+        runs = [text.encode().lower().split() for text in batch]
+        known, once = self.known, self.once
+        missing = set().union(*runs).difference(known)
+        again = [w for w in missing if w in once]
         for w in again:
-            young[w] = old[w]
+            known[w] = once.pop(w)
         missing.difference_update(again)
-        stopped = [w for w in missing if w[-1] in ".," and w[:-1].isalpha()]
-        missing.difference_update(stopped)
-        cores = {w[:-1] for w in stopped}
-        cores.update(w[-1] for w in stopped)
-        missing.update(w for w in cores if w not in young)
-        if missing:
-            self._learn(missing)
-        for w in stopped:
-            young[w] = young[w[:-1]] + young[w[-1]]
-        out = [b"".join([young[w] for w in run]) for run in runs]
-        if len(young) > REMEMBERED:
-            self.old, self.young = young, {}
+        learnt = self._learn(missing) if missing else {}
+        known.update(learnt)
+        get = known.__getitem__
+        out = [b"".join(map(get, run)) for run in runs]
+        # a word stays only when it comes again, so that the many that never do push out no other
+        for w in learnt:
+            del known[w]
+        if len(once) + len(learnt) > SEEN_ONCE:
+            once.clear()
+        once.update(learnt)
+        if len(known) > REMEMBERED:
+            known.clear()
         return out
 
 
