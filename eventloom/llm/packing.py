@@ -330,7 +330,8 @@ def pack(
         F.coalesce(docs["text"], F.lit("")).alias("text"),
     )
     tokens = written(rows.mapInArrow(_tokenise(tokenizer), TOKENS), "tokens")
-    sums = tokens.groupBy("queue", "part").agg(F.sum("n").alias("size"))
+    # a table of known size: Spark broadcasts it while it is small, and the ids stay where they are
+    sums = written(tokens.groupBy("queue", "part").agg(F.sum("n").alias("size")), "sums")
     totals = {r["queue"]: r["size"] for r in sums.groupBy("queue").agg(F.sum("size").alias("size")).collect()}
     if totals and (unknown := rates.keys() - totals.keys()):
         raise ValueError(f"Targets without documents: {sorted(unknown)}")
