@@ -54,16 +54,18 @@ def live_rates(spark, sf):
     records = _table_stream(spark, sf, "counters").select(
         "run", "rec", (C("us") / F.lit(1e6)).alias("time"), C("c0").alias("count")
     )
-    flows.carrying(records, folder, flows.RATE_STATE, flows.live_rates)
-    return spark.read.parquet(f"{folder}/rows").select("run", "rec", "total", r6(C("rate")).alias("rate"))
+    flows.batches_to_folder(flows.live_rates(records), folder, "update")
+    found = flows.settled(spark.read.parquet(folder), ["run", "rec"], "revision")
+    return found.select("run", "rec", "total", r6(C("rate")).alias("rate"))
 
 
 @query("s04_live_error_log", ORACLES.get("e19_run_length_error_log"))
 def live_error_log(spark, sf):
     folder = work_path(spark, "errors")
     log = _table_stream(spark, sf, "error_log").withColumn("code", C("code").cast("int"))
-    flows.carrying(log, folder, flows.ISLAND_STATE, flows.live_error_log)
-    return flows.settled(spark.read.parquet(f"{folder}/rows").drop("batch"), ["file_id", "island"], "n")
+    flows.batches_to_folder(flows.live_error_log(log), folder, "update")
+    found = flows.settled(spark.read.parquet(folder), ["file_id", "island"], "revision")
+    return found.select("file_id", "island", *flows.SAME, "n")
 
 
 ORACLES["s01_stream_flatten"] = ORACLES["a04_flatten_tracks"]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from eventloom.operators.counters import OVERFLOW_DROP, RANGE
 from eventloom.operators.histograms import bin_of
-from eventloom.operators.ordered import stepped
 from eventloom.session import work_path
 from eventloom.sources.nested import RECORD_DDL, TABLES
 
@@ -50,17 +52,18 @@ def append_to_folder(stream: DataFrame, folder: str) -> None:
     query.awaitTermination()
 
 
-def batches_to_folder(stream: DataFrame, folder: str, mode: str) -> None:
+def batches_to_folder(stream: DataFrame, folder: str, mode: str, progress: str | None = None) -> None:
     """Run a stream over all input there is, each batch into its own sub-folder ``batch=n``.
 
-    A batch that is repeated after a failure replaces its folder.
+    A batch that is repeated after a failure replaces its folder. With the folder ``progress`` of an earlier run
+    the stream goes on where that run stopped, with its state.
     """
     def store(df: DataFrame, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
 
     query = (
         stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", work_path(stream.sparkSession, "progress"))
+        .option("checkpointLocation", progress or work_path(stream.sparkSession, "progress"))
         .outputMode(mode)
         .trigger(availableNow=True)
         .start()
@@ -81,87 +84,127 @@ def latest_batch(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(last, "batch").drop("batch")
 
 
-def carrying(stream: DataFrame, folder: str, state: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]) -> None:
-    """Run a stream over all input there is, with a small table carried from batch to batch.
+#: Spark's watermark begins at the epoch; event times are moved this far beyond it, so that none is late at once.
+ORIGIN_MS = 100 * 365 * 86_400_000
+#: Before every time.
+FIRST = -(1 << 62)
 
-    ``step`` takes a batch and the state before it and returns the rows of the batch and the
-    state after it; they go to ``folder/rows/batch=n`` and ``folder/state/batch=n``.  A batch
-    repeated after a failure starts from the same state and replaces both.
-    """
-    def store(df: DataFrame, batch: int) -> None:
-        spark = df.sparkSession
-        before = spark.read.schema(state).parquet(f"{folder}/state/batch={batch - 1}") if batch else spark.createDataFrame([], state)
-        rows, after = step(df, before)
-        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
-        after.write.mode("overwrite").parquet(f"{folder}/state/batch={batch}")
 
-    query = (
-        stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", work_path(stream.sparkSession, "progress"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def _waiting(stream: DataFrame, milliseconds: Column, delay_ms: int) -> DataFrame:
+    """The rows with their event time and its watermark; rows without a time are left out."""
+    rows = stream.withColumn("_at", F.timestamp_millis((milliseconds + ORIGIN_MS).cast("bigint"))).where("_at IS NOT NULL")
+    return rows.withWatermark("_at", f"{delay_ms} milliseconds")
 
 
-RATE_STATE = "run bigint, rec bigint, time double, count bigint, overflows bigint"
-#: Seconds, and messages, of a key that are handled by one task.
-RATE_BLOCK, LOG_BLOCK = 3600, 65536
+def _line(state: GroupState, latest_ms: int, delay_ms: int) -> int:
+    """Rows at or before this many milliseconds are late from now on; ``latest_ms`` is the key's latest.
 
+    Spark itself drops by the watermark one batch behind, so the keys keep their line in the state and drop by it.
+    """
+    return max(state.getCurrentWatermarkMs() - ORIGIN_MS, latest_ms - delay_ms)
+
+
+RATE_STATE = "revision bigint, line bigint, overflows bigint, rec array<bigint>, time array<double>, count array<bigint>"
+RATES = "run bigint, rec bigint, total bigint, rate double, revision bigint"
 
-def live_rates(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Corrected counter and rate of every record (run, rec, time in seconds, count) of a batch.
 
-    The state of a run is its last record and its overflows so far; it enters the batch as the
-    run's first row.  Records of a run have to arrive in order from batch to batch.
+def live_rates(stream: DataFrame, delay: float = 0.0) -> DataFrame:
+    """Corrected counter and rate of every record (run, rec, time in seconds, count), in update mode.
+
+    A record counts as late when it is ``delay`` seconds or more behind the latest of all, as of the batch before;
+    late records are dropped. One that comes out of order, but not late, is put in its place, and it
+    and the run's later records are given again with a higher ``revision``; `settled` takes the last. The state of
+    a run is its records within the delay, the one before them, and the overflows up to that one. Records without a
+    time or a count are left out.
     """
-    rows = batch.select("run", "rec", "time", "count", F.lit(1).alias("_new")).unionByName(
-        state.select("run", "rec", "time", "count", F.lit(0).alias("_new"))
-    )
-    wrapped = (F.col("count") < F.col("_count")) & (F.col("_count") - F.col("count") > OVERFLOW_DROP)
-    found = stepped(
-        rows, ["run"], F.floor(F.col("time") / RATE_BLOCK), ["time", "_new", "rec"],
-        {"_count": F.col("count"), "_time": F.col("time")}, {"_seen": wrapped}, ["count"],
-    )
-    before = state.select("run", F.col("overflows").alias("_before"))
-    overflows = F.col("_seen") + F.coalesce("_before", F.lit(0))
-    found = found.join(before, "run", "left").withColumn("overflows", overflows)
-    here = F.when(wrapped, 1).otherwise(0)
-    total = F.col("count") + F.col("overflows") * RANGE
-    previous = F.col("_count") + (F.col("overflows") - here) * RANGE
-    elapsed = F.col("time") - F.col("_time")
-    rate = F.when(elapsed > 0, (total - previous) / elapsed)
-    after = found.groupBy("run").agg(
-        F.max_by(F.struct("rec", "time", "count", "overflows"), F.struct("time", "_new", "rec")).alias("_last")
-    )
-    out = found.where("_new = 1").select("run", "rec", total.alias("total"), rate.alias("rate"))
-    return out, after.select("run", "_last.*")
+    delay_ms = round(delay * 1000)
+
+    def step(key, frames, state):
+        new = pd.concat(list(frames))
+        revision, line, overflows, rec, time, count = state.get if state.exists else (0, FIRST, 0, [], [], [])
+        new = new[np.floor(new["time"] * 1000) > line]
+        if new.empty:
+            return
+        rec = np.concatenate([np.array(rec, np.int64), new["rec"].fillna(-1).to_numpy(np.int64)])
+        time = np.concatenate([np.array(time, float), new["time"].to_numpy(float)])
+        count = np.concatenate([np.array(count, np.int64), new["count"].to_numpy(np.int64)])
+        order = np.lexsort((rec, time))
+        first = int(np.flatnonzero(order >= len(order) - len(new))[0])
+        rec, time, count = rec[order], time[order], count[order]
+        wrapped = np.zeros(len(rec), bool)
+        wrapped[1:] = (count[1:] < count[:-1]) & (count[:-1] - count[1:] > OVERFLOW_DROP)
+        so_far = overflows + np.cumsum(wrapped)
+        total = count + so_far * RANGE
+        rate = np.full(len(rec), np.nan)
+        elapsed = np.diff(time)
+        np.divide(np.diff(total), elapsed, out=rate[1:], where=elapsed > 0)
+        places = np.floor(time * 1000)
+        line = _line(state, int(places[-1]), delay_ms)
+        base = max(int(np.searchsorted(places, line, "right")) - 1, 0)
+        columns = (rec[base:].tolist(), time[base:].tolist(), count[base:].tolist())
+        state.update((revision + 1, line, int(so_far[base]), *columns))
+        rows = pd.DataFrame({"rec": rec[first:], "total": total[first:], "rate": rate[first:]})
+        rows.insert(0, "run", pd.array([None if pd.isna(key[0]) else key[0]] * len(rows), "Int64"))
+        rows["rec"] = rows["rec"].astype("Int64").mask(rows["rec"] < 0)
+        rows["rate"] = rows["rate"].astype(object).where(rows["rate"].notna(), None)
+        yield rows.assign(revision=revision + 1)
+
+    rows = _waiting(stream, F.floor(F.col("time") * 1000), delay_ms).where("count IS NOT NULL")
+    rows = rows.select("run", "rec", "time", "count", "_at")
+    return rows.groupBy("run").applyInPandasWithState(step, RATES, RATE_STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
-ISLAND_STATE = "file_id bigint, seq bigint, event_number bigint, ddl_id bigint, code int, island bigint, n bigint"
 SAME = ["event_number", "ddl_id", "code"]
+LOG_STATE = "revision bigint, line bigint, island bigint, n bigint, seq array<bigint>, " + ", ".join(f"{c} array<bigint>" for c in SAME)
+LOG = "file_id bigint, island bigint, event_number bigint, ddl_id bigint, code int, n bigint, revision bigint"
 
 
-def live_error_log(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Runs of equal messages (file_id, seq, event_number, ddl_id, code) of a batch, with their counts so far.
+def live_error_log(stream: DataFrame, delay: int = 0) -> DataFrame:
+    """Runs of equal messages (file_id, seq, event_number, ddl_id, code) with their counts so far, in update mode.
 
-    The state of a file is the run still open, which comes again with a higher count if it goes on.
+    A message is late when its ``seq`` is ``delay`` or more behind the greatest, as of the batch before. One that comes
+    out of order, but not late, is put in its place; its run and the file's later ones are given again with a higher
+    ``revision``. The state of a file is its messages within the delay, and the run that the last message before
+    them is part of, with its number and count. Messages without a ``seq`` are left out.
     """
-    columns = ["file_id", "seq", *SAME]
-    rows = batch.select(*columns, F.lit(1).cast("bigint").alias("n"), F.lit(1).alias("_new")).unionByName(
-        state.select(*columns, "n", F.lit(0).alias("_new"))
-    )
-    prev = {f"_prev_{c}": F.col(c) for c in SAME} | {"_prev_row": F.lit(True)}
-    other = F.col("_prev_row").isNotNull() & ~F.struct(*SAME).eqNullSafe(F.struct(*[F.col(f"_prev_{c}").alias(c) for c in SAME]))
-    found = stepped(rows, ["file_id"], F.floor(F.col("seq") / LOG_BLOCK), ["seq", "_new"], prev, {"_step": other}, SAME)
-    before = state.select("file_id", F.col("island").alias("_before"))
-    island = (F.col("_step") + F.coalesce("_before", F.lit(1))).alias("island")
-    found = found.join(before, "file_id", "left").select(*columns, "n", "_new", island)
-    runs = found.groupBy("file_id", "island").agg(
-        *[F.any_value(c).alias(c) for c in SAME], F.sum("n").alias("n"), F.max("seq").alias("seq"), F.max("_new").alias("_new")
-    )
-    last = runs.groupBy("file_id").agg(F.max_by(F.struct("seq", *SAME, "island", "n"), "island").alias("_last"))
-    return runs.where("_new = 1").select("file_id", "island", *SAME, "n"), last.select("file_id", "_last.*")
+
+    def step(key, frames, state):
+        new = pd.concat(list(frames))
+        revision, line, island, settled_n, seq, *same = state.get if state.exists else (0, FIRST, 1, 0, [], [], [], [])
+        new = new[new["seq"] > line]
+        if new.empty:
+            return
+        seq = np.concatenate([np.array(seq, np.int64), new["seq"].to_numpy(np.int64)])
+        kept = [np.array(s, object) for s in same]
+        same = [
+            np.concatenate([k, new[c].astype(object).where(new[c].notna(), None).to_numpy()])
+            for k, c in zip(kept, SAME, strict=True)
+        ]
+        order = np.lexsort((np.arange(len(seq)), seq))
+        first = int(np.flatnonzero(order >= len(order) - len(new))[0])
+        seq, same = seq[order], [s[order] for s in same]
+        starts = np.zeros(len(seq), bool)
+        for s in same:
+            starts[1:] |= s[1:] != s[:-1]
+        number = island + np.cumsum(starts)
+        weight = np.ones(len(seq), np.int64)
+        weight[0] = max(settled_n, 1)  # of messages settled before, the first row stands for all of its run
+        counts = np.bincount(number - island, weight).astype(np.int64)
+        begin = np.searchsorted(number, np.unique(number))
+        shown = np.unique(number)[np.unique(number) >= number[first]]
+        at = begin[shown - island]
+        line = _line(state, int(seq[-1]), delay)
+        base = int(np.searchsorted(seq, line, "right")) - 1
+        n = int(weight[: base + 1][number[: base + 1] == number[base]].sum()) if base >= 0 else 0
+        base = max(base, 0)
+        columns = [[None if x is None else int(x) for x in s[base:]] for s in same]
+        state.update((revision + 1, line, int(number[base]), n, seq[base:].tolist(), *columns))
+        rows = pd.DataFrame({"island": shown, **{c: pd.array(s[at], "Int64") for c, s in zip(SAME, same, strict=True)}})
+        rows.insert(0, "file_id", pd.array([None if pd.isna(key[0]) else key[0]] * len(rows), "Int64"))
+        yield rows.assign(code=rows["code"].astype("Int32"), n=counts[shown - island], revision=revision + 1)
+
+    rows = _waiting(stream, F.col("seq"), delay).select("file_id", "seq", *SAME, "_at")
+    return rows.groupBy("file_id").applyInPandasWithState(step, LOG, LOG_STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def settled(updates: DataFrame, keys: Sequence[str], grows: str) -> DataFrame:

@@ -412,8 +412,8 @@ def test_rates_over_several_batches(spark):
         spark.createDataFrame(part, "run bigint, rec bigint, time double, count bigint").coalesce(1).write.mode("append").parquet(folder)
     stream = flows.file_stream(spark, folder, "*.parquet", files_per_trigger=1)
     out = work_path(spark, "out")
-    flows.carrying(stream, out, flows.RATE_STATE, flows.live_rates)
-    got = rows(spark.read.parquet(f"{out}/rows"), "rec", "total", "rate")
+    flows.batches_to_folder(flows.live_rates(stream, 3600), out, "update")
+    got = rows(flows.settled(spark.read.parquet(out), ["run", "rec"], "revision"), "rec", "total", "rate")
     assert got == [(0, 10, None), (1, top - 5, top - 15.0), (2, top + 20, 25.0), (3, top + 40, 20.0)]
 
 
@@ -424,6 +424,6 @@ def test_error_runs_go_on_across_batches(spark):
         spark.createDataFrame(part, "file_id bigint, seq bigint, event_number bigint, ddl_id bigint, code int").coalesce(1).write.mode("append").parquet(folder)
     out = work_path(spark, "out")
     stream = flows.file_stream(spark, folder, "*.parquet", files_per_trigger=1)
-    flows.carrying(stream, out, flows.ISLAND_STATE, flows.live_error_log)
-    got = flows.settled(spark.read.parquet(f"{out}/rows").drop("batch"), ["file_id", "island"], "n")
+    flows.batches_to_folder(flows.live_error_log(stream, 3600), out, "update")
+    got = flows.settled(spark.read.parquet(out), ["file_id", "island"], "revision")
     assert rows(got, "island", "event_number", "code", "n") == [(1, 5, 1, 3), (2, 5, 2, 1), (3, 6, 2, 2)]

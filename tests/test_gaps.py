@@ -161,9 +161,10 @@ def test_rates_carry_over_batches(spark, tmp_path):
     top = 2**32
     batches = [[(1, 1, 0.0, top - 50), (1, 2, 10.0, 50), (2, 1, 0.0, 7)], [(1, 3, 20.0, 150)], [(1, 4, 7220.0, 100), (2, 2, 5.0, 17)]]
     stream = arriving(spark, str(tmp_path / "in"), batches, "run long, rec long, time double, count long")
-    flows.carrying(stream, str(tmp_path / "out"), flows.RATE_STATE, flows.live_rates)
-    got = spark.read.parquet(str(tmp_path / "out" / "rows"))
-    assert got.select("batch").distinct().count() == 3
+    flows.batches_to_folder(flows.live_rates(stream, 3600), str(tmp_path / "out"), "update")
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.select("batch").where("rec IS NOT NULL").distinct().count() == 3
+    got = flows.settled(got, ["run", "rec"], "revision")
     assert rows(got, "run", "rec", "total", "rate") == [
         (1, 1, top - 50, None), (1, 2, top + 50, 10.0), (1, 3, top + 150, 10.0), (1, 4, top + 100, -50 / 7200), (2, 1, 7, None), (2, 2, 17, 2.0),
     ]
@@ -174,8 +175,8 @@ def test_error_log_carries_over_batches(spark, tmp_path):
 
     batches = [[(0, 1, 5, 0, 1), (0, 2, 5, 0, 1), (1, 1, 5, 0, 1)], [(0, 3, 5, 0, 1)], [(0, 4, 5, 0, 1), (0, 5, 6, 0, 1), (1, 2, 9, 0, 2)]]
     stream = arriving(spark, str(tmp_path / "in"), batches, "file_id long, seq long, event_number long, ddl_id long, code int")
-    flows.carrying(stream, str(tmp_path / "out"), flows.ISLAND_STATE, flows.live_error_log)
-    got = flows.settled(spark.read.parquet(str(tmp_path / "out" / "rows")).drop("batch"), ["file_id", "island"], "n")
+    flows.batches_to_folder(flows.live_error_log(stream, 3600), str(tmp_path / "out"), "update")
+    got = flows.settled(spark.read.parquet(str(tmp_path / "out")), ["file_id", "island"], "revision")
     assert rows(got, "file_id", "island", "event_number", "code", "n") == [
         (0, 1, 5, 1, 4), (0, 2, 6, 1, 1), (1, 1, 5, 1, 1), (1, 2, 9, 2, 1),
     ]
