@@ -317,7 +317,7 @@ def counter_files(spark, sf):
         )
     )
     path = work_path(spark, "counters")
-    files.write.partitionBy("file").text(path)
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
     found = texts.read_counters(spark, path)
     return found.select(
         "run", "version", "rec", "orbit", "period", "seconds", "microsecs", "class_idx", "l0b", "l2a", "lmb", "time_group"

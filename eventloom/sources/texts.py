@@ -1,13 +1,13 @@
-"""Text sources: counter files, slow-control files, resource logs and disk usage."""
+"""Text sources: slow-control files, resource logs and disk usage."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Counters of a line in their order, up to version 2 and after it.
-COUNTERS = ("l0b", "l0a", "l1b", "l1a", "l2b", "l2a", "lmb", "lma")
-EARLY_COUNTERS, LATE_VERSION = 6, 3
+from eventloom.sources.counterfiles import read_counters  # noqa: F401  (one of the text sources)
+
+# Fixed values
 SLOW_CONTROL_FIXED = 4
 SLOW_CONTROL_TYPES = ("i", "b", "f", "s")
 BLOCK_END = "END_OF_BLOCK"
@@ -22,65 +22,6 @@ def _words(line: Column) -> Column:
     return F.split(F.trim(line), r"[ \t]+")
 
 
-def read_counters(spark: SparkSession, path: str) -> DataFrame:
-    """Counter files (``.cnt``), one row per (run, record, class).
-
-    Line 1 is the version; line 2 run, number of classes and their numbers; then per
-    record a time stamp (orbit, period, seconds, microseconds, perhaps a time group) and
-    one line of counters per class.  Lines starting with ``#`` do not count.  A line's meaning
-    follows from its place, so a file is one record; a run's file has a few thousand
-    lines.  A malformed line or a cut-off record fails the job; a file without records has no rows.
-    """
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    lines = F.filter(F.split("value", "\n"), lambda s: ~s.startswith("#") & (F.trim(s) != ""))
-    df = files.select(lines.alias("lines"))
-    head = _words(F.col("lines")[1])
-    df = df.select(
-        F.col("lines")[0].cast("int").alias("version"),
-        head[0].cast("bigint").alias("run"),
-        head[1].cast("int").alias("n_classes"),
-        F.slice(head, F.lit(3), F.size(head)).cast("array<int>").alias("classes"),
-        F.slice("lines", F.lit(3), F.size("lines")).alias("body"),
-    )
-    df = df.withColumn("n_classes", _checked(F.size("classes") == F.col("n_classes"), F.col("n_classes"), "number of classes"))
-    per_record = F.col("n_classes") + 1
-    whole = F.size("body") % per_record == 0
-    df = df.withColumn("n_records", _checked(whole, F.floor(F.size("body") / per_record).cast("int"), "last record"))
-    records = df.select(
-        "version",
-        "run",
-        "classes",
-        F.posexplode(
-            F.transform(
-                F.slice(F.sequence(F.lit(0), F.col("n_records")), F.lit(1), F.col("n_records")),
-                lambda i: F.slice(F.col("body"), i * per_record + 1, per_record),
-            )
-        ).alias("rec", "record"),
-    )
-    stamp = _words(F.col("record")[0])
-    records = records.withColumn("stamp", _checked(F.size(stamp).isin(4, 5), stamp, "time stamp"))
-    rows = records.select(
-        "version", "run", "rec", "stamp", F.posexplode("classes").alias("_at", "class_idx"), "record"
-    )
-    values = _words(F.get("record", F.col("_at") + 1))
-    wanted = F.when(F.col("version") >= LATE_VERSION, len(COUNTERS)).otherwise(EARLY_COUNTERS)
-    rows = rows.withColumn("counts", _checked(F.size(values) == wanted, values, "counters"))
-    time = {"orbit": 0, "period": 1, "seconds": 2, "microsecs": 3}
-    return rows.select(
-        "run",
-        "version",
-        "rec",
-        *[F.col("stamp")[i].cast("bigint").alias(n) for n, i in time.items()],
-        F.get("stamp", F.lit(4)).cast("bigint").alias("time_group"),
-        "class_idx",
-        *[F.get("counts", F.lit(i)).cast("bigint").alias(n) for i, n in enumerate(COUNTERS)],
-    )
-
-
-def _checked(good: Column, value: Column, what: str) -> Column:
-    return F.when(good, value).otherwise(F.raise_error(F.lit(f"malformed {what} in a counter file")))
-
-
 def read_slow_control(
     spark: SparkSession, path: str, start: float = 0.0, end: float = 0.0, alias: str | None = None
 ) -> DataFrame:
