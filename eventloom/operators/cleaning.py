@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import decays
 from eventloom.operators.ordered import islands, numbered
-from eventloom.session import cut_lineage
+from eventloom.operators.ranges import range_join
+from eventloom.session import cut_lineage, stored
 
 # Defaults of the pile-up test, cut without a usable beam-spot variance.
 MIN_CONTRIBUTORS, MIN_Z, SIGMA_Z, SIGMA_XY, SIGMA_SPOT_Z = 5, 0.8, 3.0, 2.0, 5.0
@@ -20,6 +21,8 @@ SMALLEST_Z_VARIANCE = 1e-9
 # Weighted distance below which vertices are one, unknown bunch number.
 SPLIT_DISTANCE = 10.0
 UNKNOWN_BUNCH = -100
+#: Vertices of a stretch that one task decides; longer stretches are decided in rounds.
+STRETCH = 1000
 
 
 def is_pile_up(
@@ -144,10 +147,11 @@ def merge_split_vertices(
     From the largest down, a vertex claims each smaller one whose weighted distance times
     its size is below ``cut``, unless both have different known bunch numbers.  Vertices
     farther apart in z than the cut allows for any size cannot meet, so an event first
-    falls apart into stretches along z, and only stretches of several vertices are decided
-    in Python, in Arrow batches.  A covariance that cannot be inverted, or a negative square,
-    makes the distance -1, which is below any cut, so an event with such a covariance is one
-    stretch.  Needs obj_id, x, y, z, cov_xx, cov_xy, cov_yy, cov_zz,
+    falls apart into stretches along z.  Stretches of up to STRETCH vertices are decided in
+    Python, in Arrow batches, longer ones in rounds: a vertex decides as soon as no larger
+    one within reach of it, or of what it may claim, is undecided.  A covariance that cannot
+    be inverted, or a negative square, makes the distance -1, which is below any cut, so an
+    event with such a covariance is one stretch.  Needs obj_id, x, y, z, cov_xx, cov_xy, cov_yy, cov_zz,
     n_indices (at least 1) and bunch.
     """
     keys = list(keys)
@@ -164,6 +168,15 @@ def merge_split_vertices(
         lambda: F.col("z") - F.col("_prev_z") > F.col("_reach"), uses=["z", "_reach"], name="_stretch",
     )
     row = F.struct((-F.col("n_indices")).alias("_rank"), F.col("obj_id").alias("_id"), *others, "bunch")
+    def longer(of: DataFrame, *by: str) -> DataFrame:
+        return of.groupBy(*by).agg(F.count("*").alias("_vertices")).where(F.col("_vertices") > STRETCH).drop("_vertices")
+
+    crowded = None
+    if not longer(vertices, *keys).isEmpty():  # no stretch is longer than its event
+        df = stored(df, "stretches")
+        long = longer(df, *keys, "_stretch")
+        crowded = df.join(long, [*keys, "_stretch"])
+        df = df.join(long, [*keys, "_stretch"], "left_anti")
     stretches = df.groupBy(*keys, "_stretch").agg(F.sort_array(F.collect_list(row)).alias("v"))
 
     @F.pandas_udf("array<struct<bunch:int,discarded:boolean>>")
@@ -178,7 +191,85 @@ def merge_split_vertices(
         "d", F.transform("v", lambda r: F.struct(r["bunch"].cast("int").alias("bunch"), F.lit(False).alias("discarded")))
     )
     rows = several.unionByName(alone).select(*keys, F.explode(F.arrays_zip("v", "d")).alias("r"))
-    return rows.select(*keys, *[F.col(f"r.v.{c}").alias(c) for c in others], "r.d.bunch", "r.d.discarded")
+    decided = rows.select(*keys, *[F.col(f"r.v.{c}").alias(c) for c in others], "r.d.bunch", "r.d.discarded")
+    if crowded is None:
+        return decided
+    return decided.unionByName(_claims_in_rounds(crowded, [*keys, "_stretch"], cut).select(decided.columns))
+
+
+def _links(vertices: DataFrame, on: Sequence[str], cut: float) -> DataFrame:
+    """Larger and smaller vertex (``a, b``), their weighted distance and bunch numbers, where below the cut."""
+    geometry = ("x", "y", "cov_xx", "cov_xy", "cov_yy", "cov_zz", "n_indices", "bunch", "_broken")
+    place = F.struct((-F.col("n_indices")).alias("rank"), "obj_id")
+    size = F.least(F.col("cov_xx") * F.col("cov_yy") - F.col("cov_xy") * F.col("cov_xy"), "cov_zz")
+    rows = vertices.withColumns({"_place": place, "_broken": ~F.coalesce(size > 0, F.lit(False))})
+
+    def side(tag: str, *more: Column) -> DataFrame:
+        columns = [F.col(c).alias(f"{tag}_{c}") for c in geometry]
+        return rows.select(*on, F.col("_place").alias(tag), (F.col("z") * 1000).alias(f"{tag}_z"), *columns, *more)
+
+    reach = F.when(F.col("_broken"), float("inf")).otherwise(
+        1000 * cut / F.col("n_indices") * F.sqrt(F.col("cov_zz") + F.col("_widest"))
+    )
+    z = F.col("z") * 1000
+    small = side("b", (z - reach).alias("_from"), (z + reach).alias("_to"))
+    near = range_join(side("a"), small, "a_z", "_from", "_to", on=on).drop("_from", "_to")
+    # a broken larger vertex reaches every smaller one
+    far = F.lit(float("inf"))
+    broken = side("a", (-far).alias("_from"), far.alias("_to")).where("a__broken")
+    sound = side("b").where("NOT b__broken")
+    near = near.where("NOT a__broken OR b__broken").unionByName(
+        range_join(sound, broken, "b_z", "_from", "_to", on=on).drop("_from", "_to")
+    )
+    d = {c: F.col(f"a_{c}") - F.col(f"b_{c}") for c in ("x", "y")}
+    dz = (F.col("a_z") - F.col("b_z")) / 1000
+    xx, xy, yy, zz = (F.col(f"a_cov_{c}") + F.col(f"b_cov_{c}") for c in ("xx", "xy", "yy", "zz"))
+    plane = F.try_divide(yy * d["x"] * d["x"] + xx * d["y"] * d["y"] - 2 * xy * d["x"] * d["y"], xx * yy - xy * xy)
+    square = plane + F.try_divide(dz * dz, zz)
+    distance = F.when(square > 0, F.sqrt(square)).otherwise(-1.0) * F.col("b_n_indices")
+    below = near.where(F.col("a") < F.col("b")).withColumn("distance", distance).where(F.col("distance") < cut)
+    return below.select(*on, "a", "b", "distance", F.col("a_bunch").cast("int"), F.col("b_bunch").cast("int"))
+
+
+def _claims_in_rounds(vertices: DataFrame, on: list[str], cut: float) -> DataFrame:
+    """The same decisions for stretches of any length: every round, all vertices that wait for no other.
+
+    A vertex waits for the larger ones linked to it, and to those that it is linked to. Decided and claimed ones
+    leave the links; the largest of those left never waits, so the rounds end.
+    """
+    known = F.col("b_bunch") != UNKNOWN_BUNCH
+    links = stored(_links(vertices, on, cut), "links")
+    rounds = []
+    while not links.isEmpty():
+        first = links.groupBy(*on, "b").agg(F.min("a").alias("_first"))
+        claimed = first.select(*on, F.col("b").alias("a"), F.lit(True).alias("_claimed"))
+        seen = links.join(first, [*on, "b"]).join(claimed, [*on, "a"], "left")
+        ready = seen.groupBy(*on, "a").agg(
+            F.bool_and((F.col("_first") == F.col("a")) & F.col("_claimed").isNull()).alias("_ready"),
+            F.min_by("b_bunch", F.when(known, F.struct("distance", "b"))).alias("_near"),
+            F.first("a_bunch").alias("_own"),
+        )
+        taken = F.when(F.col("_own") != UNKNOWN_BUNCH, F.col("_own")).otherwise(F.coalesce("_near", F.lit(UNKNOWN_BUNCH)))
+        ready = ready.where("_ready").select(*on, "a", taken.alias("taken"))
+        lost = (F.col("b_bunch") == F.col("taken")) | ~known
+        decided = links.join(ready, [*on, "a"]).select(*on, "a", "b", "taken", lost.alias("lost"))
+        rounds.append(stored(decided, "decided"))
+        gone = rounds[-1].where("lost").select(*on, "b")
+        links = links.join(rounds[-1].select(*on, "a").distinct(), [*on, "a"], "left_anti")
+        links = links.join(gone, [*on, "b"], "left_anti")
+        links = stored(links.join(gone.withColumnRenamed("b", "a"), [*on, "a"], "left_anti"), "links")
+    place = F.struct((-F.col("n_indices")).alias("rank"), "obj_id")
+    out = vertices.withColumn("_place", place)
+    found = None
+    for part in rounds:
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return out.withColumns({"bunch": F.col("bunch").cast("int"), "discarded": F.lit(False)})
+    gone = found.where("lost").select(*on, F.col("b").alias("_place"), F.lit(True).alias("_gone"))
+    given = found.groupBy(*on, F.col("a").alias("_place")).agg(F.first("taken").alias("_taken"))
+    out = out.join(gone, [*on, "_place"], "left").join(given, [*on, "_place"], "left")
+    bunch = F.coalesce("_taken", F.col("bunch").cast("int"))
+    return out.withColumns({"bunch": bunch, "discarded": F.coalesce("_gone", F.lit(False))})
 
 
 _GEOMETRY = ("x", "y", "z", "cov_xx", "cov_xy", "cov_yy", "cov_zz", "n_indices")

@@ -205,7 +205,35 @@ def found_vertices(spark, sf):
     )
 
 
-@query("k06_split_vertex_merge")
+_VERTICES = """v AS (SELECT event_idx, obj_id, vx AS x, vy AS y, vz / 10 AS z, v_xx * 10 AS xx, v_xy * 10 AS xy, v_yy * 10 AS yy,
+         v_zz * 10 AS zz, v_contrib AS n, CASE WHEN v_bc < 0 THEN -100 ELSE v_bc END AS bunch,
+         row_number() OVER (PARTITION BY event_idx ORDER BY v_contrib DESC, obj_id) AS i FROM vertices),
+       p AS (SELECT a.event_idx, a.i, b.i AS j, b.bunch, b.n * (CASE WHEN s > 0 THEN sqrt(s) ELSE -1 END) AS d FROM v a JOIN v b
+         ON a.event_idx = b.event_idx AND a.i < b.i, LATERAL (SELECT
+           ((a.yy + b.yy) * (a.x - b.x) ** 2 + (a.xx + b.xx) * (a.y - b.y) ** 2 - 2 * (a.xy + b.xy) * (a.x - b.x) * (a.y - b.y))
+           / ((a.xx + b.xx) * (a.yy + b.yy) - (a.xy + b.xy) ** 2) + (a.z - b.z) ** 2 / (a.zz + b.zz) AS s)),
+       c AS (SELECT event_idx, i, list({'j': j, 'b': bunch} ORDER BY d, j) FILTER (WHERE d < 10) AS near FROM p GROUP BY ALL),
+       e AS (SELECT event_idx, list(bunch ORDER BY i) AS bunches, list(coalesce(near, []) ORDER BY i) AS near, max(i) AS n
+         FROM v LEFT JOIN c USING (event_idx, i) GROUP BY event_idx),
+       s AS (SELECT event_idx, bunches, near, n, 0 AS i, CAST([] AS BIGINT[]) AS gone, CAST([] AS INTEGER[]) AS taken FROM e
+         UNION ALL
+         SELECT event_idx, bunches, near, n, i + 1, CASE WHEN dead THEN gone ELSE list_concat(gone,
+             list_transform(list_filter(rest, lambda r: r.b = own OR r.b = -100), lambda r: r.j)) END, list_append(taken, own)
+         FROM (SELECT *, CASE WHEN dead OR bunches[i + 1] <> -100 THEN bunches[i + 1]
+             ELSE coalesce(list_filter(rest, lambda r: r.b <> -100)[1].b, -100) END AS own
+           FROM (SELECT *, list_contains(gone, i + 1) AS dead, list_filter(near[i + 1], lambda r: NOT list_contains(gone, r.j)) AS rest
+             FROM s WHERE i < n))),
+       m AS (SELECT v.*, taken[v.i] AS got FROM v JOIN s USING (event_idx) WHERE s.i = s.n AND NOT list_contains(gone, v.i)),
+       b AS (SELECT event_idx, arg_max(obj_id, (got = 0, n, -obj_id)) AS best FROM m WHERE got IN (0, -100) GROUP BY event_idx)"""
+
+
+@query(
+    "k06_split_vertex_merge",
+    f"""WITH RECURSIVE {_VERTICES}
+       SELECT event_idx, obj_id, n AS n_indices, CAST(got AS INT) AS bunch, coalesce(obj_id = best, false) AS is_primary
+       FROM m LEFT JOIN b USING (event_idx)""",
+    ("vertices",),
+)
 def split_vertex_merge(spark, sf):
     merged = cleaning.merge_split_vertices(found_vertices(spark, sf), EVENT)
     return cleaning.primary_vertex(merged, EVENT).select("event_idx", "obj_id", "n_indices", "bunch", "is_primary")

@@ -64,3 +64,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a Parquet table in the shared folder: computed once, safe from lost executors."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -427,3 +427,30 @@ def test_error_runs_go_on_across_batches(spark):
     flows.batches_to_folder(flows.live_error_log(stream, 3600), out, "update")
     got = flows.settled(spark.read.parquet(out), ["file_id", "island"], "revision")
     assert rows(got, "island", "event_number", "code", "n") == [(1, 5, 1, 3), (2, 5, 2, 1), (3, 6, 2, 2)]
+
+
+def crowd(n, seed, broken=False):
+    """One event whose vertices all lie in one stretch along z."""
+    rng = random.Random(seed)
+    return [
+        {
+            "file_id": 0, "event_idx": 5, "obj_id": i, "x": rng.gauss(0, 0.05), "y": rng.gauss(0, 0.05), "z": rng.uniform(0, n / 400),
+            "cov_xx": 0.0 if broken and i % 97 == 0 else 0.002, "cov_xy": 0.0, "cov_yy": 0.001, "cov_zz": 1e-4,
+            "n_indices": rng.randrange(1, 30), "bunch": rng.choice([-100, 0, 1, 2]),
+        }
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_crowded_stretches_are_decided_in_rounds(spark, monkeypatch, broken):
+    data = crowd(600, 3, broken)
+    alone = [{**v, "event_idx": 6} for v in crowd(8, 4)]
+    frame = spark.createDataFrame([dict(v) for v in data + alone]).repartition(5)
+    small = rows(cleaning.merge_split_vertices(frame, KEYS), "event_idx", "obj_id", "bunch", "discarded")
+    monkeypatch.setattr(cleaning, "STRETCH", 10)
+    large = rows(cleaning.merge_split_vertices(frame, KEYS), "event_idx", "obj_id", "bunch", "discarded")
+    assert large == small and {r[3] for r in large} == {True, False}
+    if not broken:
+        want = merge_reference(data, cleaning.SPLIT_DISTANCE) + merge_reference(alone, cleaning.SPLIT_DISTANCE)
+        assert large == sorted(want, key=repr)
