@@ -82,8 +82,8 @@ def local_fit(
 
 
 def local_statistics(
-    points: DataFrame, grid: Sequence[Axis], kernels: Sequence[Column], value: str, tie: str, block_width: float,
-    weight_cut: float = 1e-5, fraction: float = 0.6,
+    points: DataFrame, grid: Sequence[Axis], kernels: Sequence[Column], value: str, weight_cut: float = 1e-5,
+    fraction: float = 0.6,
 ) -> DataFrame:
     """Median, and robust mean and sigma (of the given fraction), of the points near each bin.
 
@@ -92,10 +92,10 @@ def local_statistics(
     near = _near(points, grid, kernels, weight_cut)
     bins = bin_columns(grid)
     fraction = min(fraction, 1.0)
-    middle = near.groupBy(*bins).agg(F.percentile(value, 0.5).alias("median"), F.count("*").alias("_near"))
     subset = F.floor(F.col("_n") * fraction - 1)
-    spread = robust.location_and_scale(near.select(*bins, value, tie), bins, value, [tie], block_width, h=subset)
-    joined = middle.join(spread, bins, "left")
+    near = near.where(F.col(value).isNotNull()).select(*bins, value)
+    spread = robust.location_and_scale(near, bins, value, h=subset, median=True)
+    joined = near.groupBy(*bins).agg(F.count("*").alias("_near")).join(spread, bins, "left")
     enough = F.col("_near") * fraction - 1 > SMALLEST_SUBSET
     numbers = [F.when(enough, F.col(c)).otherwise(0.0).alias(c) for c in ("median", "mean", "sigma")]
     return joined.select(*bins, *numbers)

@@ -7,61 +7,72 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.operators.ordered import blocked
+from eventloom.operators.ordered import blocked, joined_on
 from eventloom.operators.ranges import range_join
+from eventloom.session import stored
 
 # Scale factors for window fractions 0.5, 0.525, ... 0.75.
 FACTORS = (2.6477, 2.5092, 2.3826, 2.2662, 2.1587, 2.0589, 1.9660, 1.879, 1.7973, 1.7203, 1.6473)
 
-
 def scale_factor(h: Column, n: Column) -> Column:
     step = ((h / n - 0.5) * 40).cast("int")
     at = F.greatest(F.least(step, F.lit(len(FACTORS) - 1)), F.lit(0))
     return F.element_at(F.array(*[F.lit(f) for f in FACTORS]), at + 1)
 
 
+def ranked_values(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """Per key ``_n, _low, _avg, _std`` of its values, and every value ``_x`` with its position ``_rank`` (from 1) among the sorted values of its key.
+
+    Also the values of the key ``_n``, its lowest ``_low``, the distance from it ``_d``, and sums ``_s1, _s2`` of the
+    distances and their squares up to and including the row.
+
+    The rows are dealt into ranges of equal size of (key, value, row), whatever the values' distribution and the keys'
+    sizes; a value that many rows hold is split like any other stretch. What a range adds up to, the ranges after it
+    start from.
+    """
+    keys = list(keys)
+    plain = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_x"))
+    rows = plain.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*keys, "_x", "_row")
+    rows = stored(rows.withColumn("_range", F.spark_partition_id()), "ranges")
+    stats = rows.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.min("_x").alias("_low"), F.avg("_x").alias("_avg"), F.stddev_samp("_x").alias("_std")
+    )
+    # measured from the lowest value, so that the sums of squares stay small
+    rows = joined_on(rows, stats, keys).withColumn("_d", F.col("_x") - F.col("_low")).drop("_avg", "_std")
+    sums = {"_rank": F.lit(1).cast("bigint"), "_s1": F.col("_d"), "_s2": F.col("_d") * F.col("_d")}
+    return stats, blocked(rows, keys, F.col("_range"), ["_d", "_row"], running=sums).drop("_range", "_row")
+
+
 def location_and_scale(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    tie: Sequence[str],
-    block_width: float,
+    *,
     h: Column | None = None,
     external: float | None = None,
+    median: bool = False,
 ) -> DataFrame:
-    """``mean`` and ``sigma`` of the h neighbouring values with the least variance, per key.
+    """``mean`` and ``sigma`` (and all values' ``median``, if asked for) of the h neighbouring values with the least variance, per key.
 
     ``h`` defaults to (n+2)/2, which also stands in for an ``h`` below two; of equal variances the lowest values win and the window
     at the very top is not tried.  With h >= n plain mean and standard deviation are
     returned, with fewer than two values nothing.  ``external`` is the external-error
     factor f: the squared mean then enters with 2f - f^2.
 
-    Values are ranked block by block (``block_width`` in units of the value); prefix
-    sums and one join from a window's start to its end replace any per-key loop.
+    Prefix sums over the ranked values and one join from a window's start to its end replace any per-key loop.
     """
-    keys, tie = list(keys), list(tie)
-    plain = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_x"), *tie)
-    stats = plain.groupBy(*keys).agg(
-        F.count("*").alias("_n"),
-        F.min("_x").alias("_low"),
-        F.avg("_x").alias("_avg"),
-        F.stddev_samp("_x").alias("_std"),
-    )
+    keys = list(keys)
     half = F.floor((F.col("_n") + 2) / 2)
     wanted = half if h is None else F.when(h < 2, half).otherwise(h)
+    stats, ranked = ranked_values(df, keys, value)
     stats = stats.where("_n >= 2").withColumn("_h", wanted.cast("bigint"))
-    # measured from the lowest value, so that the sums of squares stay small
-    rows = plain.join(stats.select(*keys, "_n", "_h", "_low"), keys).withColumn("_d", F.col("_x") - F.col("_low"))
-    ranked = blocked(
-        rows,
-        keys,
-        F.floor(F.col("_d") / F.lit(block_width)),
-        ["_d", *tie],
-        running={"_rank": F.lit(1).cast("bigint"), "_s1": F.col("_d"), "_s2": F.col("_d") * F.col("_d")},
-    )
+    ranked = ranked.where("_n >= 2").withColumn("_h", wanted.cast("bigint"))
+    if median:
+        middle = [F.max(F.when(F.col("_rank") == F.floor((F.col("_n") + k) / 2), F.col("_x"))) for k in (1, 2)]
+        middle = ranked.groupBy(*keys).agg(((middle[0] + middle[1]) / 2).alias("median"))
+        stats = joined_on(stats, middle, keys)
     starts = ranked.where(F.col("_rank") <= F.col("_n") - F.col("_h")).select(
         *keys,
-        "_n",
         "_h",
         "_low",
         F.col("_rank").alias("_start"),
@@ -69,18 +80,19 @@ def location_and_scale(
         (F.col("_s1") - F.col("_d")).alias("_b1"),
         (F.col("_s2") - F.col("_d") * F.col("_d")).alias("_b2"),
     )
-    windows = starts.join(ranked.select(*keys, "_rank", "_s1", "_s2"), [*keys, "_rank"])
+    windows = joined_on(starts, ranked.select(*keys, "_rank", "_s1", "_s2"), [*keys, "_rank"])
     mean, variance = _moments(
         F.col("_s1") - F.col("_b1"), F.col("_s2") - F.col("_b2"), F.col("_h"), F.col("_low"), external
     )
     best = windows.groupBy(*keys).agg(
         F.min_by(F.struct(mean.alias("mean"), variance.alias("variance")), F.struct(variance.alias("v"), "_start")).alias("_best")
     )
-    joined = stats.join(best, keys, "left")
+    joined = joined_on(stats, best, keys)
     whole = F.col("_h") >= F.col("_n")
     sigma = scale_factor(F.col("_h"), F.col("_n")) * F.sqrt(F.abs("_best.variance"))
     return joined.select(
         *keys,
+        *(["median"] if median else []),
         F.when(whole, F.col("_avg")).otherwise(F.col("_best.mean")).alias("mean"),
         F.when(whole, F.col("_std")).otherwise(sigma).alias("sigma"),
     )

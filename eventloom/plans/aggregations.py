@@ -153,9 +153,7 @@ def _robust_sql(variance: str) -> str:
 
 @query("e08_robust_location", _robust_sql("(t2 - h * (t1 / h) * (t1 / h)) / (h - 1)"), ("tracks_extra",))
 def robust_location(spark, sf):
-    found = robust.location_and_scale(
-        table(spark, sf, "tracks_extra"), ["its_ncls"], "tpc_signal", ["obj_id", "event_idx"], 0.25
-    )
+    found = robust.location_and_scale(table(spark, sf, "tracks_extra"), ["its_ncls"], "tpc_signal")
     return found.select("its_ncls", r6(C("mean")).alias("mean"), r6(C("sigma")).alias("sigma"))
 
 
@@ -165,9 +163,7 @@ def robust_location(spark, sf):
     ("tracks_extra",),
 )
 def robust_location_external(spark, sf):
-    found = robust.location_and_scale(
-        table(spark, sf, "tracks_extra"), ["its_ncls"], "tpc_signal", ["obj_id", "event_idx"], 0.25, external=0.8
-    )
+    found = robust.location_and_scale(table(spark, sf, "tracks_extra"), ["its_ncls"], "tpc_signal", external=0.8)
     return found.select("its_ncls", r6(C("mean")).alias("mean"), r6(C("sigma")).alias("sigma"))
 
 

@@ -119,8 +119,7 @@ STATISTICS_SQL = f"""{POINTS_SQL},
 
 
 def _statistics(spark, sf):
-    df = points(spark, sf).withColumn("tie", F.struct("obj_id", "event_idx"))
-    return regression.local_statistics(df, GRID, [C("kernel")], "tpc_signal", "tie", 1.0, WEIGHT_CUT)
+    return regression.local_statistics(points(spark, sf), GRID, [C("kernel")], "tpc_signal", WEIGHT_CUT)
 
 
 @query(

@@ -105,9 +105,9 @@ def test_positional_join_fails_whatever_is_used(spark):
 def test_robust_location_of_few_values(spark):
     df = spark.createDataFrame([(k, i, float(i)) for k in range(1, 5) for i in range(k)], "k long, i long, x double")
     h = F.floor(F.col("_n") * 0.6 - 1)
-    found = robust.location_and_scale(df, ["k"], "x", ["i"], 1.0, h=h)
+    found = robust.location_and_scale(df, ["k"], "x", h=h)
     assert [r[0] for r in rows(found, "k", "mean")] == [2, 3, 4]
-    usual = robust.location_and_scale(df, ["k"], "x", ["i"], 1.0)
+    usual = robust.location_and_scale(df, ["k"], "x")
     assert rows(found, "k", "mean", "sigma") == rows(usual, "k", "mean", "sigma")
 
 

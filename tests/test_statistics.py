@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom import session
 from eventloom.operators import histograms, quality, regression, robust, splines
 from tests.conftest import rows
 
@@ -28,15 +29,65 @@ def test_robust_location(spark):
     rng = random.Random(1)
     values = [rng.gauss(5, 1) for _ in range(300)] + [rng.uniform(-50, 50) for _ in range(80)]
     df = spark.createDataFrame([(0, v, i) for i, v in enumerate(values)], "k int, x double, id int")
-    got = robust.location_and_scale(df, ["k"], "x", ["id"], 0.5).first()
+    got = robust.location_and_scale(df, ["k"], "x").first()
     h = (len(values) + 2) // 2
     mean, sigma = scan(values, h, factor(h, len(values)))
     assert got.mean == pytest.approx(mean) and got.sigma == pytest.approx(sigma)
 
 
+@pytest.mark.parametrize("external", [None, 0.8])
+def test_robust_location_with_heavy_values(spark, external):
+    """A key with most of the rows, a value with a tenth of it, and keys of few kinds of values."""
+    rng = random.Random(6)
+    data = {
+        0: [7.0] * 90 + [rng.gauss(5, 3) for _ in range(700)],
+        1: [float(rng.randrange(5)) for _ in range(200)],
+        2: [1.0] * 50 + [rng.uniform(0, 1) for _ in range(20)],
+        3: [float(i) for i in range(40)],
+        None: [2.0] * 30 + [3.0] * 3,
+    }
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs] + [(0, None)], "k int, x double").repartition(5)
+    for h in (None, 2, 17):
+        found = robust.location_and_scale(df, ["k"], "x", h=None if h is None else F.lit(h), external=external, median=True).collect()
+        assert len(found) == len(data)
+        for row in found:
+            x = np.sort(data[row.k])
+            size = h or (len(x) + 2) // 2
+            best = None
+            for i in range(len(x) - size):
+                part = x[i : i + size]
+                f = 0.96
+                v = part.var(ddof=1) if external is None else (part**2).mean() - part.mean() ** 2 * f
+                if best is None or v < best[0] - 1e-9:
+                    best = (v, part.mean())
+            assert row.sigma == pytest.approx(factor(size, len(x)) * math.sqrt(abs(best[0])), abs=1e-5)
+            if external is not None or best[0] > 1e-9:
+                assert row.mean == pytest.approx(best[1], rel=1e-6)
+            assert row.median == pytest.approx(np.median(x))
+
+
+def test_values_are_dealt_evenly(spark, monkeypatch):
+    """No range holds over twice the median, with a value of a tenth of all rows and a key with most of them."""
+    given = spark.range(60000).select(
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 50).alias("k"),
+        F.when(F.col("id") % 10 == 0, 1.5).otherwise(F.exp(F.randn(3))).alias("x"),
+    )
+    ranges = []
+    monkeypatch.setattr(robust, "stored", lambda df, name: ranges.append(session.stored(df, name)) or ranges[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _, ranked = robust.ranked_values(given, ["k"], "x")
+        sizes = sorted(r["count"] for r in ranges[0].groupBy("_range").count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    last = ranked.groupBy("k").agg(F.max("_rank"), F.countDistinct("_rank"), F.first("_n")).collect()
+    assert len(last) == 50 and all(r[1] == r[2] == r[3] for r in last)
+
+
 def test_robust_location_of_few_values(spark):
     df = spark.createDataFrame([(0, 1.0, 0), (0, 3.0, 1), (1, 4.0, 2)], "k int, x double, id int")
-    got = robust.location_and_scale(df, ["k"], "x", ["id"], 1.0).collect()
+    got = robust.location_and_scale(df, ["k"], "x").collect()
     assert [(r.k, r.mean) for r in got] == [(0, 2.0)]
 
 
@@ -130,7 +181,7 @@ def test_local_fit_cut_removes_an_outlier(spark):
     data = [(i / 100, 2.0 + 0.001 * (i % 7), 1.0, i) for i in range(100)] + [(0.5, 500.0, 1.0, 1000)]
     df = spark.createDataFrame(data, "x double, v double, e double, id int")
     grid = [("x", 1, 0.0, 1.0)]
-    stats = regression.local_statistics(df, grid, [F.lit(1.0)], "v", "id", 0.5, 0.01)
+    stats = regression.local_statistics(df, grid, [F.lit(1.0)], "v", 0.01)
     fits = regression.local_fit(df, grid, [F.lit(1.0)], "v", "e", 0.01, statistics=stats, cut=5.0)
     assert fits.first().coefficients[0] == pytest.approx(2.0, abs=0.02)
 
