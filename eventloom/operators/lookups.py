@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.operators.asof import asof
-from eventloom.operators.ordered import blocked
-from eventloom.operators.ranges import range_join
+from eventloom.operators.ordered import blocked, numbered
 
 
 def valid_record(
@@ -90,11 +89,33 @@ def window_counts(
     return both.select(*left.columns, *counts)
 
 
-def rows_in_window(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], lo: str, hi: str, right_time: str, width: int
+def positions(records: DataFrame, keys: Sequence[str], time: Column, order: Sequence[str], block_width: float) -> DataFrame:
+    """Records with their ``position`` (from 1) in time within the key, and their time as ``_rt``."""
+    timed = records.withColumn("_rt", time)
+    return numbered(timed, keys, F.floor(F.col("_rt") / F.lit(block_width)), ["_rt", *order], name="position")
+
+
+def window_positions(
+    left: DataFrame, placed: DataFrame, keys: Sequence[str], lo: Column, hi: Column, block_width: float
 ) -> DataFrame:
-    """The right rows themselves, one output row per (left row, right row in its window)."""
-    return range_join(right, left, right_time, lo, hi, on=keys, width=width)
+    """Each left row with the ``first`` and ``last`` position of the records in ``lo <= time <= hi``; no pair is formed.
+
+    ``placed`` comes from `positions`. Without records in the window ``last`` is ``first`` - 1.
+    """
+    marks = placed.select(*keys, "_rt", "position")
+    upto = asof(left.withColumn("_hi", hi), marks, keys, F.col("_hi"), F.col("_rt"), block_width,
+                right_order=["position"], match="_upto")
+    both = asof(upto.withColumn("_lo", lo), marks, keys, F.col("_lo"), F.col("_rt"), block_width,
+                strict=True, right_order=["position"], match="_before")
+    zero = F.lit(0).cast("bigint")
+    before, last = F.coalesce("_before.position", zero), F.coalesce("_upto.position", zero)
+    return both.select(*left.columns, (before + 1).alias("first"), F.greatest(last, before).alias("last"))
+
+
+def at_positions(found: DataFrame, placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The records themselves, one row per (row of `window_positions`, position between its first and last)."""
+    some = found.where("last >= first").withColumn("position", F.explode(F.sequence("first", "last")))
+    return some.drop("first", "last").join(placed.drop("_rt"), [*keys, "position"])
 
 
 def interaction_wanted(int1: Column, int2: Column, want1: int, want2: int) -> Column:

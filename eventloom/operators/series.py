@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,23 +46,35 @@ def resampled(
     return found.withColumn("value", F.col("match.reading")).drop("match")
 
 
-def closest_interaction(
-    events: DataFrame, interactions: DataFrame, keys: Sequence[str], at: str, block_width: int, gap: int = 0,
+def closest_interactions(
+    events: DataFrame, interactions: DataFrame, keys: Sequence[str], at: str, block_width: int, gaps: Mapping[str, int],
     reach: int = REACH,
 ) -> DataFrame:
-    """Distance ``closest`` to the nearest interaction other than the event's own crossing.
+    """For each name and gap, the distance to the nearest interaction other than the event's own crossing.
 
-    Looks up to ``reach`` crossings back, and ahead from ``gap`` + 1 on; 0 if there is none.
-    Two as-of joins, so a crowded key forms no pairs.
+    Looks up to ``reach`` crossings back, and ahead from the gap + 1 on; 0 if there is none. One as-of join back for
+    all gaps and one ahead for each, so a crowded key forms no pairs.
     """
     marks = interactions.select(*keys, F.col(at).alias("_mark"))
-    behind = asof(events, marks, keys, F.col(at) - 1, F.col("_mark"), block_width, match="_behind")
-    both = asof(
-        behind, marks, keys, F.col(at) + 1 + gap, F.col("_mark"), block_width, direction="forward", match="_ahead"
-    )
-    back, ahead = F.col(at) - F.col("_behind._mark"), F.col("_ahead._mark") - F.col(at)
-    nearest = F.least(F.when(back <= reach, back), F.when(ahead <= reach, ahead))
-    return both.withColumn("closest", F.coalesce(nearest, F.lit(0).cast("bigint"))).drop("_behind", "_ahead")
+    found = asof(events, marks, keys, F.col(at) - 1, F.col("_mark"), block_width, match="_behind")
+    back = F.col(at) - F.col("_behind._mark")
+    nearest = {}
+    for i, (name, gap) in enumerate(gaps.items()):
+        found = asof(
+            found, marks, keys, F.col(at) + 1 + gap, F.col("_mark"), block_width, direction="forward", match=f"_ahead{i}"
+        )
+        ahead = F.col(f"_ahead{i}._mark") - F.col(at)
+        closest = F.least(F.when(back <= reach, back), F.when(ahead <= reach, ahead))
+        nearest[name] = F.coalesce(closest, F.lit(0).cast("bigint"))
+    return found.withColumns(nearest).drop("_behind", *[f"_ahead{i}" for i in range(len(gaps))])
+
+
+def closest_interaction(
+    events: DataFrame, interactions: DataFrame, keys: Sequence[str], at: str, block_width: int, gap: int = 0,
+    reach: int = REACH,
+) -> DataFrame:
+    """The distance ``closest`` for one gap."""
+    return closest_interactions(events, interactions, keys, at, block_width, {"closest": gap}, reach)
 
 
 def farthest_interaction(

@@ -299,6 +299,8 @@ def ring_sums(spark, sf):
     return df.select("vec_id", *[(c if n.startswith("fired") else r6(c)).alias(n) for n, c in sums.items()])
 
 
+CHANNELS = 64
+
 # one factor per channel and run; the run is the label
 _FACTOR_SQL = f"""a AS (SELECT vec_id, label, {_AMP} AS amp FROM embeddings),
   u AS (SELECT vec_id, label, unnest(range(64)) AS ch, unnest(amp) AS m FROM a),
@@ -309,9 +311,8 @@ _FACTOR_SQL = f"""a AS (SELECT vec_id, label, {_AMP} AS amp FROM embeddings),
 def equalised(spark, sf):
     """Amplitudes with the equalised channel multiplicities of their run."""
     amps = amplitudes(spark, sf)
-    channels = amps.select("label", F.posexplode("amp").alias("ch", "m"))
-    means = channels.groupBy("label", "ch").agg(F.avg("m").alias("f"))
-    factors = tables.columns_to_lists(means, ["label"], "ch", "f", "factors")
+    means = [F.avg(F.get("amp", F.lit(i))) for i in range(CHANNELS)]
+    factors = amps.groupBy("label").agg(F.array(*means).alias("factors"))
     return amps.join(factors, "label").withColumn("eq", eventwise.equalised(C("amp"), C("factors")))
 
 

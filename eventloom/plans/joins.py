@@ -428,12 +428,14 @@ def interactions_in_window(spark, sf):
 )
 def interaction_records(spark, sf):
     rows = table(spark, sf, "crossings").select("run", "rec", "kind", "orbit_abs", "int1", "int2")
-    events = rows.where("kind = 'signup'").select(
-        "run", "rec", (C("orbit_abs") - _WINDOW * 8).alias("lo"), C("orbit_abs").alias("hi")
-    )
+    events = rows.where("kind = 'signup'").select("run", "rec", "orbit_abs")
     wanted = lookups.interaction_wanted(C("int1"), C("int2"), 1, 0)
     records = rows.where(wanted & (C("kind") != "signup")).select("run", C("rec").alias("ir"), "orbit_abs")
-    return lookups.rows_in_window(events, records, ["run"], "lo", "hi", "orbit_abs", PERIOD).select("rec", "ir")
+    placed = lookups.positions(records.withColumnRenamed("orbit_abs", "at"), ["run"], C("at"), ["ir"], PERIOD)
+    found = lookups.window_positions(
+        events, placed, ["run"], C("orbit_abs") - _WINDOW * 8, C("orbit_abs"), PERIOD
+    )
+    return lookups.at_positions(found, placed, ["run"]).select("rec", "ir")
 
 
 @query(

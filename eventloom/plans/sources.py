@@ -233,8 +233,8 @@ _PROFILE = " UNION ALL ".join(
 )
 
 
-def _written_tables(spark, sf):
-    """Records written once, flattened from there into a folder of tables; a table without rows stays out."""
+def _written_tables(spark, sf, only=None):
+    """Records written once, flattened from there into a folder of tables (of those asked for); one without rows stays out."""
     flat = nested.flatten(events_of(spark, sf))
     flat["ZDC"] = tables.typed(
         flat["VZERO"].where("file_id < 0").select(
@@ -243,7 +243,7 @@ def _written_tables(spark, sf):
         schemas.stored("ZDC"),
     )
     folder = work_path(spark, "tables")
-    return folder, sinks.write_tables(flat, folder)
+    return folder, sinks.write_tables({n: df for n, df in flat.items() if only is None or n in only}, folder)
 
 
 @query("a09_multi_table_sink", _PROFILE)
@@ -273,7 +273,7 @@ def schema_dump(spark, sf):
     ("cells",),
 )
 def table_dictionary(spark, sf):
-    folder, names = _written_tables(spark, sf)
+    folder, names = _written_tables(spark, sf, only=("CALO",))
     cells = sinks.read_tables(spark, folder, names)["CALO"]
     return cells.groupBy("event_idx").agg(
         F.count("*").alias("n_cells"), r6(F.sum(C("fAmplitude").cast("double"))).alias("energy")

@@ -390,11 +390,8 @@ def _coarse(spark, sf):
 def closest_interaction(spark, sf):
     rows = _coarse(spark, sf)
     events, marks = rows.where("kind = 0").drop("kind"), rows.where("kind = 1")
-    plain = series.closest_interaction(events, marks, ["grp"], "crossing", 1440)
-    found = series.closest_interaction(
-        plain.withColumnRenamed("closest", "plain"), marks, ["grp"], "crossing", 1440, gap=10
-    )
-    return found.select("grp", "rec", C("plain").alias("closest"), C("closest").alias("closest_with_gap"))
+    gaps = {"closest": 0, "closest_with_gap": 10}
+    return series.closest_interactions(events, marks, ["grp"], "crossing", 1440, gaps).select("grp", "rec", *gaps)
 
 
 @query(

@@ -190,3 +190,37 @@ def test_vertices_without_a_usable_covariance(spark):
     fine = [(0, 2, 1, 0.0, 0.0, 0.0, 1e-4, 0.0, 1e-4, 1e-4, 9, 0), (0, 2, 2, 0.0, 0.0, 50.0, 1e-4, 0.0, 1e-4, 1e-4, 3, 0)]
     found = cleaning.merge_split_vertices(spark.createDataFrame(far + fine, names), ["file_id", "event_idx"])
     assert rows(found, "event_idx", "obj_id", "discarded") == [(1, 1, False), (1, 2, True), (2, 1, False), (2, 2, False)]
+
+
+def test_window_positions_equal_all_pairs(spark):
+    import random
+
+    from eventloom.operators import lookups
+
+    rng = random.Random(3)
+    records = [(rng.choice([1, 1, 1, 2]), rng.randrange(60), i) for i in range(80)]
+    events = [(rng.choice([1, 2, 3]), rng.randrange(-5, 70), 1000 + i) for i in range(40)]
+    left = spark.createDataFrame(events, "k long, t long, e long")
+    placed = lookups.positions(spark.createDataFrame(records, "k long, at long, i long"), ["k"], F.col("at"), ["i"], 7)
+    found = lookups.window_positions(left, placed, ["k"], F.col("t") - 9, F.col("t"), 7)
+    inside = {e: [i for q, at, i in records if q == k and t - 9 <= at <= t] for k, t, e in events}
+    assert {r.e: r["last"] - r["first"] + 1 for r in found.collect()} == {e: len(v) for e, v in inside.items()}
+    pairs = lookups.at_positions(found, placed, ["k"])
+    assert rows(pairs, "e", "i") == sorted((e, i) for e, v in inside.items() for i in v)
+    assert lookups.at_positions(found, placed.where("k > 9"), ["k"]).count() == 0
+
+
+def test_tables_are_computed_once_when_written(spark, tmp_path):
+    from eventloom.sources import sinks
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            calls.add(len(frame))
+            yield frame
+
+    some = spark.range(10).coalesce(1).mapInPandas(counted, "id long")
+    assert sinks.write_tables({"some": some, "none": some.where("id < 0")}, str(tmp_path / "t")) == ["some"]
+    assert calls.value == 20  # both tables, each read through once
+    assert sinks.read_tables(spark, str(tmp_path / "t"), ["some"])["some"].count() == 10
