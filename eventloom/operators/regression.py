@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import robust
 from eventloom.operators.asof import asof
-from eventloom.operators.ordered import numbered
+from eventloom.operators.ordered import blocked
 from eventloom.operators.ranges import range_join
 from eventloom.operators.solve import solved
-from eventloom.session import cut_lineage
 
 Axis = tuple[str, int, float, float]
 
@@ -142,9 +141,14 @@ def smoothed(
     """
     keys = list(keys)
     names = list(requests.columns)
-    ranked = numbered(series, keys, F.floor(F.col("t") / block_width), ["t", "id"], name="_rank")
-    ranked = ranked.select(*keys, F.col("t").alias("_t"), F.col("y").alias("_y"), (F.col("_rank") - 1).alias("_place"))
-    sizes = ranked.groupBy(*keys).agg(F.count("*").alias("_size"))
+    ranked = blocked(
+        series, keys, F.floor(F.col("t") / block_width), ["t", "id"],
+        running={"_rank": F.lit(1).cast("bigint")}, lead={"_ahead": F.struct(F.col("t"))},
+    )
+    ranked = ranked.select(
+        *keys, F.col("t").alias("_t"), F.col("y").alias("_y"), (F.col("_rank") - 1).alias("_place"), F.col("_ahead.t").alias("_next")
+    )
+    sizes = ranked.groupBy(*keys).agg(F.count("*").alias("_size"), F.min("_t").alias("_begin"))
     reach = sigmas * width
     # one stream of three questions per request: the places before the window, in its middle and at its end
     asked = requests.select(
@@ -157,7 +161,8 @@ def smoothed(
     answers = asof(asked, ranked, keys, F.col("_ask"), F.col("_t"), block_width, right_order=["_place"], match="_m")
     place = F.coalesce(F.col("_m._place"), F.lit(-1).cast("bigint"))
     df = answers.groupBy(*names).agg(
-        *[F.max(F.when(F.col("_which") == n, place)).alias(n) for n in ("_i0", "_im", "_i1")]
+        *[F.max(F.when(F.col("_which") == n, place)).alias(n) for n in ("_i0", "_im", "_i1")],
+        *[F.max(F.when(F.col("_which") == "_im", F.col(f"_m.{n}"))).alias(n) for n in ("_t", "_next")],
     )
     df = df.join(sizes, keys, "left")
     half = SMOOTH_LEAST // 2
@@ -183,27 +188,25 @@ def smoothed(
         }
     )
     steps = F.greatest(F.col("_hi") - F.col("_lo") - 2, F.lit(0).cast("bigint"))
-    # stored, as every degree below looks these ranges up again
-    asked = cut_lineage(df.select(*names, "_lo", "_hi", F.least(F.lit(degree), steps).cast("int").alias("_degree")))
+    # powers are taken of the distance from the nearest point: from elsewhere it would drown all the others
+    later = F.col("_next") - F.col("t") < F.col("t") - F.col("_t")
+    centre = F.when(F.col("_t").isNull(), F.col("_begin")).when(later, F.col("_next")).otherwise(F.col("_t"))
+    number = (F.least(F.lit(degree), steps) + 1).cast("int")
+    asked = df.select(*names, "_lo", "_hi", number.alias("_number"), centre.alias("_centre"))
     near = range_join(ranked, asked, "_place", "_lo", "_hi", on=keys, width=16)
     if logarithm:
         near = near.where("_y > 0").withColumn("_y", F.log("_y"))
     u = (F.col("_t") - F.col("t")) / width
     near = near.withColumn("_u", u).withColumn("_w", F.exp(-2 * F.least(F.col("_u") * F.col("_u"), F.lit(SMOOTH_LIMIT))))
-    # measured from the weighted mean, or one near point would drown all the others
-    middle = near.groupBy(*names).agg((F.sum(F.col("_w") * F.col("_u")) / F.sum("_w")).alias("_mid"))
-    near = near.join(middle, names).withColumn("_v", F.col("_u") - F.col("_mid"))
-    found = None
-    for k in range(degree + 1):
-        part = near.where(F.col("_degree") == k)
-        basis = [F.pow("_v", F.lit(p)) for p in range(k + 1)]
-        fit = solved(part, [*names, "_mid"], basis, F.col("_y"), F.col("_w"))
-        at_request = sum(
-            (F.element_at("coefficients", p + 1) * F.pow(-F.col("_mid"), F.lit(p)) for p in range(1, k + 1)),
-            F.element_at("coefficients", 1),
-        )
-        one = fit.where(F.col("n_points") > SMOOTH_LEAST).select(*names, at_request.alias("smooth"))
-        found = one if found is None else found.unionByName(one)
+    near = near.withColumn("_v", (F.col("_t") - F.col("_centre")) / width)
+    # one set of sums per request; a lower degree is solved from the first of them
+    basis = [F.pow("_v", F.lit(p)) for p in range(degree + 1)]
+    fit = solved(near, [*names, "_number", "_centre"], basis, F.col("_y"), F.col("_w"), leading=F.col("_number"))
+    here = (F.col("t") - F.col("_centre")) / width
+    value = F.element_at("coefficients", 1)
+    for p in range(1, degree + 1):
+        value = value + F.element_at("coefficients", p + 1) * F.pow(here, F.lit(p))
+    found = fit.where(F.col("n_points") > SMOOTH_LEAST).select(*names, value.alias("smooth"))
     joined = requests.join(found, names, "left")
     value = F.exp("smooth") if logarithm else F.col("smooth")
     return joined.withColumn("smooth", F.coalesce(value, F.lit(0.0)))

@@ -13,14 +13,15 @@ _SOLUTION = "struct<coefficients:array<double>,variances:array<double>>"
 
 
 def solved(
-    df: DataFrame, keys: Sequence[str], basis: Sequence[Column], y: Column, weight: Column
+    df: DataFrame, keys: Sequence[str], basis: Sequence[Column], y: Column, weight: Column, leading: Column | None = None
 ) -> DataFrame:
     """Weighted fit of ``y`` by the basis functions, one row per group.
 
     ``coefficients`` and ``variances`` (of unit-weight errors) are null if the normal
     equations are singular; ``residual2`` is chi2 per degree of freedom.  A group is
     reduced to its sums by partial aggregation, and Python sees only one small matrix per
-    group, in Arrow batches.
+    group, in Arrow batches.  With ``leading`` (a column of the keys) a group is fitted by its
+    first basis functions only, from the same sums; the other coefficients are 0.
     """
     k = len(basis)
     df = df.withColumns({f"_b{i}": b for i, b in enumerate(basis)} | {"_y": y, "_weight": weight})
@@ -38,31 +39,33 @@ def solved(
     right = F.array(*[F.col(f"_r{i}") for i in range(k)])
 
     @F.pandas_udf(_SOLUTION)
-    def solve(matrices: pd.Series, rights: pd.Series) -> pd.DataFrame:
+    def solve(matrices: pd.Series, rights: pd.Series, numbers: pd.Series) -> pd.DataFrame:
         a = np.stack(matrices.to_numpy()).reshape(-1, k, k).astype(float)
         r = np.stack(rights.to_numpy()).astype(float)
         coefficients, variances = [], []
-        for one, side in zip(a, r):
+        for one, side, n in zip(a, r, numbers.tolist()):
+            one, side = one[:n, :n], side[:n]
             # scaled to a unit diagonal, so that the rank test does not depend on units
             size = np.sqrt(np.abs(np.diag(one)))
             usable = np.isfinite(one).all() and (size > 0).all()
             scaled = one / np.outer(size, size) if usable else None
-            if not usable or np.linalg.matrix_rank(scaled, hermitian=True) < k:
+            if not usable or np.linalg.matrix_rank(scaled, hermitian=True) < n:
                 coefficients.append(None)
                 variances.append(None)
                 continue
             inverse = np.linalg.inv(scaled) / np.outer(size, size)
-            coefficients.append((inverse @ side).tolist())
-            variances.append(np.diag(inverse).tolist())
+            coefficients.append((inverse @ side).tolist() + [0.0] * (k - n))
+            variances.append(np.diag(inverse).tolist() + [0.0] * (k - n))
         return pd.DataFrame({"coefficients": coefficients, "variances": variances})
 
     # marked so that a filter on the result does not solve a second time
     solve = solve.asNondeterministic()
-    found = sums.withColumn("_s", solve(matrix, right)).select(
+    number = F.lit(k) if leading is None else leading
+    found = sums.withColumn("_s", solve(matrix, right, number)).select(
         *keys, "n_points", "_vv", right.alias("_right"), "_s.coefficients", "_s.variances"
     )
     explained = F.aggregate(
         F.zip_with("coefficients", "_right", lambda c, s: c * s), F.lit(0.0), lambda acc, p: acc + p
     )
     chi2 = F.greatest(F.col("_vv") - explained, F.lit(0.0))
-    return found.withColumn("residual2", F.try_divide(chi2, F.col("n_points") - F.lit(k))).drop("_vv", "_right")
+    return found.withColumn("residual2", F.try_divide(chi2, F.col("n_points") - number)).drop("_vv", "_right")

@@ -206,7 +206,7 @@ def test_window_positions_equal_all_pairs(spark):
     inside = {e: [i for q, at, i in records if q == k and t - 9 <= at <= t] for k, t, e in events}
     assert {r.e: r["last"] - r["first"] + 1 for r in found.collect()} == {e: len(v) for e, v in inside.items()}
     pairs = lookups.at_positions(found, placed, ["k"])
-    assert rows(pairs, "e", "i") == sorted((e, i) for e, v in inside.items() for i in v)
+    assert rows(pairs, "e", "i") == sorted(((e, i) for e, v in inside.items() for i in v), key=repr)
     assert lookups.at_positions(found, placed.where("k > 9"), ["k"]).count() == 0
 
 

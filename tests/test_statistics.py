@@ -209,3 +209,30 @@ def test_smoothing_needs_five_points(spark):
     ask = spark.createDataFrame([(0, 2.5)], "k int, t double")
     assert regression.smoothed(ask, few, ["k"], 1.0, 3.0, 2, 10.0).first().smooth == 0
     assert regression.smoothed(ask, many, ["k"], 2.0, 3.0, 1, 10.0).first().smooth == pytest.approx(6.0)
+
+
+@pytest.mark.parametrize("degree", [0, 1, 2])
+def test_smoothing_equals_weighted_polynomials(spark, degree):
+    """Every request's own least-squares polynomial, with a request that one near point would dominate."""
+    rng = random.Random(degree)
+    t = sorted(rng.uniform(0, 100) for _ in range(150)) + [130.0, 131.0, 132.0, 133.0, 134.0, 135.0]
+    points = [(0, x, math.sin(x / 9) + rng.gauss(0, 0.1), i) for i, x in enumerate(t)]
+    series = spark.createDataFrame(points, "k int, t double, y double, id int")
+    asks = [-1.0, 0.5, 33.3, 77.7, 99.0, 117.0, 129.99, 133.2, 140.0]
+    requests = spark.createDataFrame([(0, x) for x in asks], "k int, t double")
+    found = {r.t: r.smooth for r in regression.smoothed(requests, series, ["k"], 4.0, 3.0, degree, 25.0).collect()}
+    place = lambda x: sum(v <= x for v in t) - 1
+    for x in asks:
+        lo, middle, hi = place(x - 12), place(x), place(x + 12)
+        if hi - lo < 4:
+            lo, hi = middle - 2, middle + 2
+        if lo < 0:
+            lo, hi = 0, hi - lo
+        if hi >= len(t):
+            lo, hi = max(lo - (hi - len(t)), 0), len(t) - 1
+        near = np.array(points)[lo : hi + 1]
+        u = (near[:, 1] - x) / 4
+        w = np.exp(-np.minimum(u * u, 100))  # of the root of the weight
+        fitted = np.polynomial.Polynomial.fit(u, near[:, 2], min(degree, max(hi - lo - 2, 0)), w=w)
+        want = fitted(0.0) if len(near) > 4 else 0.0
+        assert found[x] == pytest.approx(want, rel=1e-5, abs=1e-6), (x, lo, hi)
