@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.ordered import blocked, numbered
 from eventloom.operators.ranges import range_join
-from eventloom.session import cut_lineage
+from eventloom.session import cut_lineage, stored
 
 # Particles that do not decay within the apparatus; decay and pair-production
 # process codes; ids from here on are nuclei; strange digit of a nucleus.
@@ -166,17 +166,27 @@ def generators_of(
 
 
 def with_family(particles: DataFrame, flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of the flagged particles and all their ancestors."""
+    """Keys of the flagged particles and all their ancestors, as far as they are in the table.
+
+    By doubling: a round adds what the marked particles point to and lets every pointer jump to
+    its target's pointer, so that a line of n generations takes log2(n) rounds.  A mother that is not in the
+    table ends the line.  A line that runs in a circle is an error.
+    """
     keys = list(keys)
-    mothers = particles.select(*keys, "idx", "mother")
-    kept = cut_lineage(flagged.select(*keys, "idx").distinct())
-    front = kept
-    while True:
-        above = front.join(mothers, [*keys, "idx"]).where("mother >= 0").select(*keys, F.col("mother").alias("idx")).distinct()
-        front = cut_lineage(above.join(kept, [*keys, "idx"], "left_anti"))
-        if front.isEmpty():
-            return kept
-        kept = cut_lineage(kept.unionByName(front))
+    seeds = flagged.select(*keys, "idx").distinct().withColumn("_in", F.lit(True))
+    lines = particles.select(*keys, "idx", F.when(F.col("mother") >= 0, F.col("mother")).alias("_to"))
+    lines = stored(lines.join(seeds, [*keys, "idx"], "left").withColumn("_in", F.coalesce("_in", F.lit(False))), "lines")
+    rounds = lines.count().bit_length() + 1
+    while not lines.where("_in AND _to IS NOT NULL").isEmpty():
+        if not rounds:
+            raise ValueError("a mother line runs in a circle")
+        rounds -= 1
+        reached = lines.where("_in").select(*keys, F.col("_to").alias("idx"), F.lit(True).alias("_reached")).distinct()
+        jump = lines.where("_to IS NOT NULL").select(*keys, F.col("idx").alias("_to"), F.col("_to").alias("_next"))
+        lines = lines.join(jump, [*keys, "_to"], "left").join(reached, [*keys, "idx"], "left")
+        marked = F.col("_in") | F.coalesce("_reached", F.lit(False))
+        lines = stored(lines.select(*keys, "idx", F.col("_next").alias("_to"), marked.alias("_in")), "lines")
+    return lines.where("_in").select(*keys, "idx")
 
 
 def pruned(

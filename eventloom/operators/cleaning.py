@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions import decays
+from eventloom.operators.components import components
 from eventloom.operators.ordered import islands, numbered
 from eventloom.operators.ranges import range_join
-from eventloom.session import cut_lineage, stored
+from eventloom.session import stored
 
 # Defaults of the pile-up test, cut without a usable beam-spot variance.
 MIN_CONTRIBUTORS, MIN_Z, SIGMA_Z, SIGMA_XY, SIGMA_SPOT_Z = 5, 0.8, 3.0, 2.0, 5.0
@@ -107,24 +108,26 @@ def spare_kinks(candidates: DataFrame, kinks: DataFrame, keys: Sequence[str]) ->
     """Candidates left once both legs of every kink are either kept or removed together.
 
     A kink with one leg kept spares the other, which may spare a further kink's leg, and
-    so on until nothing changes.  (Going through the kinks only once, from the last, the
-    outcome would depend on their order.)
+    so on until nothing changes: a group of candidates linked by kinks stays whole, spared
+    if any of them has a kink with a leg that is no candidate.  (Going through the kinks only
+    once, from the last, the outcome would depend on their order.)  Groups take about log2 of
+    their longest chain in rounds.  A missing leg (null) is no candidate, so it spares the other.
     """
     keys = list(keys)
-    legs = kinks.select(
-        *keys, F.explode(F.array(F.struct(F.col("mother_id").alias("obj_id"), F.col("daughter_id").alias("other")),
-                                 F.struct(F.col("daughter_id").alias("obj_id"), F.col("mother_id").alias("other")))).alias("l")
-    ).select(*keys, "l.obj_id", "l.other")
-    left = cut_lineage(candidates)
-    while True:
-        partners = left.select(*keys, F.col("obj_id").alias("other"), F.lit(True).alias("_both"))
-        spared = (
-            legs.join(partners, [*keys, "other"], "left").where(F.col("_both").isNull()).select(*keys, "obj_id").distinct()
-        )
-        rest = cut_lineage(left.join(spared, [*keys, "obj_id"], "left_anti"))
-        if rest.count() == left.count():
-            return rest
-        left = rest
+    ids = stored(candidates.select(*keys, "obj_id").distinct(), "candidates")
+    mothers = ids.select(*keys, F.col("obj_id").alias("mother_id"), F.lit(True).alias("_mother"))
+    daughters = ids.select(*keys, F.col("obj_id").alias("daughter_id"), F.lit(True).alias("_daughter"))
+    legs = kinks.select(*keys, "mother_id", "daughter_id").distinct()
+    known = legs.join(mothers, [*keys, "mother_id"], "left").join(daughters, [*keys, "daughter_id"], "left")
+    known = stored(known.where("_mother OR _daughter"), "kinks")
+    half = known.where("_mother IS NULL OR _daughter IS NULL")
+    seeds = half.select(*keys, F.when(F.col("_mother"), F.col("mother_id")).otherwise(F.col("daughter_id")).alias("obj_id"))
+    whole = known.where("_mother AND _daughter")
+    group = components(whole.select(*keys, F.col("mother_id").alias("a"), F.col("daughter_id").alias("b")), keys)
+    touched = group.join(seeds.distinct(), [*keys, "obj_id"], "left_semi").select(*keys, "root").distinct()
+    spared = group.join(touched, [*keys, "root"], "left_semi").select(*keys, "obj_id")
+    spared = spared.unionByName(seeds).distinct()
+    return candidates.join(spared, [*keys, "obj_id"], "left_anti")
 
 
 def reindexed(objects: DataFrame, keys: Sequence[str], order: str, block: Column) -> DataFrame:

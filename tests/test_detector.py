@@ -2,14 +2,16 @@
 
 import math
 import random
+from itertools import pairwise
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from eventloom.functions import bunchmask, calibration, padrows, tracks, triggers
-from eventloom.operators import ancestry, cleaning, conditions, counters, eventwise, machine, tables
-from eventloom.session import work_path
+from eventloom.operators import ancestry, cleaning, conditions, counters, eventwise, machine, ranges, tables
+from eventloom.operators import components as groups
+from eventloom.session import stored, work_path
 from eventloom.sources import nested, sinks, texts
 from eventloom.streaming import flows
 from tests.conftest import rows
@@ -219,6 +221,43 @@ def test_kinks_spare_each_other_in_chains(spark):
     assert rows(cleaning.spare_kinks(left, kinks, KEYS), "obj_id") == [(5,), (6,)]
 
 
+def kink_reference(candidates, kinks):
+    left = set(candidates)
+    while True:
+        spared = {x for a, b in kinks for x, other in ((a, b), (b, a)) if other not in left} & left
+        if not spared:
+            return left
+        left -= spared
+
+
+def test_kinks_of_any_shape_equal_the_fixed_point(spark):
+    draw = random.Random(5)
+    ids, links = range(300), [(draw.randrange(300), draw.randrange(300)) for _ in range(130)]
+    links += [(7, 7), (8, None), (None, 9), (10, 11), (10, 11)]
+    candidates = [i for i in ids if draw.random() < 0.9]
+    left = spark.createDataFrame([(e, 0, i) for e in (0, 1) for i in candidates], "file_id int, event_idx int, obj_id bigint")
+    kinks = spark.createDataFrame([(1, 0, a, b) for a, b in links], "file_id int, event_idx int, mother_id bigint, daughter_id bigint")
+    want = kink_reference(candidates, links)
+    got = cleaning.spare_kinks(left, kinks, KEYS)
+    assert 100 < len(want) < len(candidates)
+    assert rows(got, "file_id", "obj_id") == sorted([(0, i) for i in candidates] + [(1, i) for i in want])
+    assert rows(cleaning.spare_kinks(left, kinks.where("false"), KEYS), "file_id", "obj_id") == [(e, i) for e in (0, 1) for i in candidates]
+    assert not cleaning.spare_kinks(left.where("false"), kinks, KEYS).collect()
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_long_chains_take_few_rounds(spark, shuffled, monkeypatch):
+    names = list(range(1000))
+    if shuffled:
+        random.Random(3).shuffle(names)
+    links = spark.createDataFrame([(0, 0, a, b) for a, b in pairwise(names)], "file_id int, event_idx int, a bigint, b bigint")
+    writes = []
+    monkeypatch.setattr(groups, "stored", lambda df, name: writes.append(name) or stored(df, name))
+    got = groups.components(links, KEYS)
+    assert rows(got, "obj_id", "root") == [(i, 0) for i in range(1000)]
+    assert len(writes) - 1 <= 12
+
+
 def merge_reference(vertices, cut):
     """Every pair of an event, from the largest vertex down."""
     order = sorted(vertices, key=lambda v: (-v["n_indices"], v["obj_id"]))
@@ -283,6 +322,24 @@ def test_long_chain_has_one_root(spark):
     assert rows(ancestry.roots(df, KEYS).select("root").distinct()) == [(0,)]
 
 
+def test_family_of_a_long_chain_in_few_rounds(spark, monkeypatch):
+    df = forest(spark, [(i - 1 if i % 1000 else -1, 211, 1, 0) for i in range(2000)])
+    writes = []
+    monkeypatch.setattr(ancestry, "stored", lambda df, name: writes.append(name) or stored(df, name))
+    got = ancestry.with_family(df, df.where("idx IN (998, 400, 1003)"), KEYS)
+    assert rows(got, "idx") == [(i,) for i in [*range(999), 1000, 1001, 1002, 1003]]
+    assert len(writes) - 1 <= 12
+
+
+def test_family_ends_at_missing_mothers_and_refuses_circles(spark):
+    df = forest(spark, [(-1, 211, 1, 0), (77, 211, 1, 0), (1, 211, 1, 0)])
+    assert rows(ancestry.with_family(df, df.where("idx = 2"), KEYS), "idx") == [(1,), (2,)]
+    assert not ancestry.with_family(df, df.where("false"), KEYS).collect()
+    ring = forest(spark, [(2, 211, 1, 0), (0, 211, 1, 0), (1, 211, 1, 0)])
+    with pytest.raises(ValueError, match="circle"):
+        ancestry.with_family(ring, ring.where("idx = 1"), KEYS)
+
+
 def test_pruning_renumbers_and_checks_mothers(spark):
     #           0 and 1 generated; 2 from 0 far out; 3 from 1 by decay; 4 from 3 by decay; 5 from 2
     df = forest(spark, [(-1, 211, 1, 0), (-1, 421, 1, 0), (0, 11, 1, 0), (1, 321, 1, 4), (3, 211, 1, 4), (2, 22, 1, 0)])
