@@ -421,6 +421,28 @@ def test_long_events_come_in_fragments(spark):
     assert flat["TRACKPAR"].select("event_idx", "obj_id").distinct().count() == 103
 
 
+def test_nesting_shuffles_every_table_once(spark, capsys):
+    keys = "file_id bigint, event_idx bigint"
+    headers = spark.createDataFrame([(0, 1), (0, 1), (0, 2), (0, 3), (None, 4)], keys).withColumn("header", F.struct("event_idx"))
+    ids = [(0, 1, 5), (0, 1, 5), (0, 1, 6), (0, 1, None), (0, 2, 7), (0, 9, 8), (None, 4, 9)] + [(0, 3, i) for i in range(40)]
+    base = spark.createDataFrame(ids, f"{keys}, obj_id bigint")
+    first, second = base.withColumn("a", C("obj_id") * 2), base.where("obj_id <> 6").withColumn("b", C("obj_id") + 1)
+    records = nested.nest(headers, {"pairs": [first, second], "single": base.withColumn("c", F.lit(1))}, size=10)
+    capsys.readouterr()
+    records.explain()
+    lines = capsys.readouterr().out.splitlines()
+    wide = [line for line in lines if "Exchange hashpartitioning" in line and "fragment" in line]
+    assert len(wide) == 4  # the headers and three tables
+    found = records.select("event_idx", "fragment", F.explode_outer("pairs.a").alias("a")).groupBy("event_idx").agg(
+        F.count("a").alias("n"), F.count_distinct("fragment").alias("f")
+    )
+    # of a repeated object all pairs, of a repeated header all pairs of fragment 0, as in joins
+    assert rows(found) == [(1, 4 * 4, 1), (2, 1, 1), (3, 39, 4)]
+    assert rows(records.where("event_idx = 2"), "header", "pairs", "single") == [((2,), [(7, 14, 8)], [(7, 1)])]
+    single = records.where("event_idx = 1").select(F.size("single").alias("n"))
+    assert rows(single) == [(4,)] * 4
+
+
 def test_collision_values_go_by_name(spark):
     row = nested.collisions(small_events(spark, [1])).first()
     at = [f.split()[0] for f in nested.HEADER.split(", ")]
