@@ -206,6 +206,100 @@ def test_enclosing_range_overlaps(spark):
     assert rows(conditions.overlapping(new, old, ["k"], ["n"]), "n", "entry") == [(0, 1), (1, 1), (3, 1)]
 
 
+def test_best_entries_are_found_without_pairs(spark, monkeypatch):
+    draw = random.Random(11)
+
+    def span(low=-20, high=40):
+        a = draw.randrange(low, high)
+        return draw.choice([(-1, -1), (a, a + draw.randrange(-2, 30)), (a, None), (a, a), (5, 2**40)])
+
+    entries = [(i if i % 9 else None, draw.choice("ab"), *span(), draw.choice([0, 1, 2, None]), draw.randrange(3)) for i in range(150)]
+    asked = [(i, draw.choice("abc"), draw.choice([None, draw.randrange(-25, 70)]), draw.randrange(4)) for i in range(80)]
+    asked += [(0, "a", 7, 1), *asked[:3]]
+    catalogue = spark.createDataFrame(entries, "entry int, path string, first_run bigint, last_run bigint, version int, sub_version int")
+    requests = spark.createDataFrame(asked, "request int, path string, run bigint, wanted int")
+
+    def valid(r):
+        for e in entries:
+            lo, hi = (0, 2**31 - 1) if e[2] is not None and e[3] is not None and e[2] < 0 and e[3] < 0 else e[2:4]
+            if e[1] == r[1] and None not in (lo, hi, r[2]) and lo <= r[2] <= hi:
+                yield e
+
+    def order(e):
+        return tuple(-1 if v is None else v for v in e[4:6])
+
+    def best(chosen):
+        out = {}
+        for r in asked:
+            out.setdefault(r[0], []).extend(e for e in valid(r) if chosen(r, e))
+        found = []
+        for request, hits in out.items():
+            if hits:
+                top = max(map(order, hits))
+                firsts = [e for e in hits if order(e) == top]
+                least = min((e[0] for e in firsts if e[0] is not None), default=None)
+                # entries without a number give no fields
+                found.append((request, *(firsts[0][4:6] if least is not None else (None, None)), least, len(firsts)))
+        return sorted(found, key=repr)
+
+    def no_pairs(*_, **__):
+        raise AssertionError("pairs are formed")
+
+    monkeypatch.setattr(conditions, "range_join", no_pairs)
+    columns = ("request", "version", "sub_version", "entry", "n_top")
+    got = conditions.best_version(requests, catalogue, ["path"], ["request"])
+    assert rows(got, *columns) == best(lambda r, e: True)
+    got = conditions.best_version(requests, catalogue, ["path"], ["request"], version=C("wanted"))
+    assert rows(got, *columns) == best(lambda r, e: e[4] is not None and e[4] == r[3])
+    rules = catalogue.select("path", "first_run", "last_run", C("entry").alias("rule_pos"), C("sub_version").alias("rule_version"))
+    want = {r[0]: [] for r in asked}
+    for r in asked:
+        want[r[0]] += [(e[0], e[5]) for e in valid(r) if e[0] is not None]
+    got = conditions.apply_rules(requests, rules, ["path"], ["request"]).select("request", "rule_version").distinct()
+    assert rows(got) == sorted(((k, min(v)[1] if v else None) for k, v in want.items()), key=repr)
+    layers = [("x", catalogue.where("entry % 5 = 0")), ("y", catalogue.where("entry % 2 = 0 AND version IS NOT NULL"))]
+    ranked = {}
+    for r in asked:
+        ranked.setdefault(r[0], [(-9,)])
+        for e in valid(r):
+            if e[0] is not None:
+                ranked[r[0]] += [(0, *order(e), -e[0], "x", e[0])] * (e[0] % 5 == 0)
+                ranked[r[0]] += [(-1, *order(e), -e[0], "y", e[0])] * (e[0] % 2 == 0 and e[4] is not None)
+    got = conditions.layered(requests, layers, ["path"], ["request"]).select("request", "layer", "entry").distinct()
+    assert rows(got) == sorted(((k, *(max(v)[4:] or (None, None))) for k, v in ranked.items()), key=repr)
+
+
+def test_best_overlap_is_found_without_pairs(spark, monkeypatch):
+    draw = random.Random(12)
+
+    def some(n):
+        starts = [draw.choice([None, *range(-9, 30)]) for _ in range(n)]
+        return [(i, draw.choice("ab"), a, draw.choice([None, a and a + draw.randrange(-3, 12), 2**35])) for i, a in enumerate(starts)]
+
+    new = spark.createDataFrame(some(60), "n int, k string, new_lo bigint, new_hi bigint")
+    old = spark.createDataFrame(some(90), "entry int, k string, lo bigint, hi bigint").withColumns({"version": C("entry") % 3, "sub_version": C("entry") % 5})
+    pairs = conditions.overlapping(new, old, ["k"], ["n"])
+    least = rows(pairs.groupBy("n").agg(F.min("entry")))
+    most = rows(pairs.groupBy("n").agg(F.max(F.struct("version", "sub_version")).alias("top")).select("n", "top.*"))
+    monkeypatch.setattr(conditions, "range_join", None)
+    assert rows(conditions.overlapping(new, old, ["k"], ["n"], best=(C("entry"), -C("entry"))), "n", "best") == least
+    got = conditions.next_version(new, old, ["k"], ["n"]).where("next_sub_version > 0")
+    assert rows(got.select("n", "next_version", C("next_sub_version") - 1)) == most and len(most) > 20
+
+
+def test_object_of_a_run_and_pass_without_pairs(spark, monkeypatch):
+    monkeypatch.setattr(conditions, "range_join", None)
+    objects = spark.createDataFrame(
+        [("a", 1, 0, 9, ""), ("a", 2, 5, 20, "p1"), ("a", 3, 5, 20, "p2"), ("a", 4, 8, 8, ""), ("b", 5, 9, 1, "")],
+        "name string, entry_idx int, lower bigint, upper bigint, pass string",
+    )
+    asked = [("a", 1, 0, "p1"), ("a", 2, 6, "p1"), ("a", 3, 8, "p1"), ("a", 4, 15, ""), ("b", 5, 5, "p1"), ("a", 6, 6, None), ("c", 7, 6, "p1"), ("a", 8, 12, "p2")]
+    requests = spark.createDataFrame(asked, "name string, request int, run bigint, wanted_pass string")
+    defaults = spark.createDataFrame([("a", 70), ("b", 71)], "name string, default_idx int")
+    got = conditions.object_for_run(requests, objects, defaults, ["name"], ["request"])
+    assert rows(got, "request", "entry_idx") == [(1, 1), (2, 2), (3, 4), (4, 70), (5, 71), (6, 1), (7, None), (8, 3)]
+
+
 def test_entry_names(spark):
     df = spark.createDataFrame([("Run0_99_v2_s1.root",), ("Run0_99_v2.root",), ("run0_9_v1_s1.root",)], "n string")
     got = [r.e and tuple(r.e) for r in df.select(conditions.parse_entry_name(C("n")).alias("e")).collect()]
