@@ -180,6 +180,8 @@ def bunch_mask(spark, sf):
     used = C("p_size") + 1 + 4 * ((C("p_size") % 9 + 1) * 4 + 1)
     tail = F.concat(F.lit(" "), (3564 - used).cast("string"), F.when(C("p_partkey") % 50 == 49, "X").otherwise("L"))
     masks = base(spark, sf, "part").select(C("p_partkey").alias("mask_id"), F.concat(lead, group, tail).alias("mask"))
+    # decoding costs far more than reading, so a small file is no single task
+    masks = masks.repartition(4 * spark.sparkContext.defaultParallelism)
     decoded = masks.select("mask_id", bunchmask.unmasked(C("mask")).alias("open")).where("open IS NOT NULL")
     return decoded.select(
         "mask_id", F.size("open").cast("int").alias("n_unmasked"), (F.get("open", F.lit(0)) == 0).alias("first_open")

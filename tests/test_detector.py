@@ -100,6 +100,20 @@ def test_malformed_bunch_mask(spark, text):
     assert one(spark, v=bunchmask.unmasked(F.lit(text))).v is None
 
 
+def test_masks_are_decoded_in_several_tasks(spark):
+    from eventloom.plans import QUERIES
+
+    folder = work_path(spark, "masks")
+    spark.range(200).select(C("id").alias("p_partkey"), (C("id") % 50 + 1).alias("p_size")).coalesce(1).write.parquet(f"{folder}/part.parquet")
+    got = QUERIES["i04_bunch_mask"](spark, folder)
+    assert got.rdd.getNumPartitions() > 4
+    assert rows(got.where("mask_id % 50 < 2")) == sorted(
+        ((i, 3564 - (i % 50 + 1 + 12 * ((i % 50 + 1) % 9 + 1)), i % 2 == 1) for i in (*range(0, 200, 50), *range(1, 200, 50))), key=repr
+    )
+    texts = spark.createDataFrame([(0, "3564L"), (1, None), (2, "x"), (3, "3564H"), (4, "3560H4L")], "i int, t string").coalesce(1)
+    assert rows(texts.select("i", bunchmask.unmasked(C("t")).alias("open")).where("i > 0")) == [(1, None), (2, None), (3, []), (4, [3560, 3561, 3562, 3563])]
+
+
 def test_centroid_without_energy_is_null(spark):
     got = one(spark, x=calibration.neutron_centroid(F.array(*[F.lit(0.0)] * 4), F.lit(1.0))[0])
     assert got.x is None
