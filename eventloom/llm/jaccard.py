@@ -35,6 +35,8 @@ PERCENT = 80
 COMMON = 0.001
 _COMMON_LEAST = 32
 _CHUNK = 4_000_000
+#: Bits that tell which documents are asked for: 8 MB.
+_PLACES = 1 << 26
 #: Sets compared with one set by one task, about.
 SALT = 1000
 
@@ -167,6 +169,24 @@ def _beyond(n: Column) -> Column:
     return F.floor((PERCENT * n + 99) / 100) - 1
 
 
+def _of_asked(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The documents but for most of those that are not in ``asked`` (``_doc``), told by one bit per hashed id.
+
+    The bits have a fixed size, so a join must follow; it then shuffles hardly any text that nobody asks for.
+    """
+
+    def place(doc_id: Column) -> Column:
+        return F.pmod(F.xxhash64(doc_id), F.lit(_PLACES))
+
+    bits = asked.select(place(F.col("_doc")).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_bucket"))
+    bits = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits"))
+    at = docs.withColumn("_place", place(F.col("doc_id")))
+    at = at.withColumns({"_bucket": F.bitmap_bucket_number("_place"), "_bit": F.bitmap_bit_position("_place")})
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    there = F.call_function("shiftright", byte, (F.col("_bit") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return at.join(F.broadcast(bits), "_bucket").where(there).select(*docs.columns)
+
+
 def _compared(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Exact overlaps of the pairs (``hub, class``)."""
     sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / SALT).cast("int").alias("salts"))
@@ -177,6 +197,7 @@ def _compared(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFram
     asked = others.unionByName(hubs).join(classes.select("class", "doc_id"), "class")
     asked = written(asked.withColumnRenamed("doc_id", "_doc"), "asked")
     # the same plan at every size: texts go to those who ask
+    docs = _of_asked(docs, asked)
     sets = docs.join(asked.hint("merge"), docs["doc_id"] == asked["_doc"]).select("hub", "salt", "class", "text")
     sets = sets.mapInArrow(_sets, "hub long, salt int, class long, own binary")
     # rows of a repeated id and text come twice

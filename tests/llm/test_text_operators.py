@@ -247,3 +247,15 @@ def test_empty_tables(spark):
     assert substrings.repeated_spans(none).count() == 0
     assert decontamination.contaminated(none, bench).count() == 0
     assert decontamination.without_benchmark(frame(spark), bench).count() == frame(spark).count()
+
+
+def test_texts_nobody_asks_for_are_not_shuffled(spark):
+    from pyspark.sql import functions as F
+
+    from eventloom.llm import jaccard
+
+    docs = spark.range(-500, 1500).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    asked = docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("_doc"))
+    found = {r.doc_id for r in jaccard._of_asked(docs, asked.union(asked)).collect()}
+    assert {r._doc for r in asked.collect()} <= found and len(found) < 60
+    assert not jaccard._of_asked(docs, asked.where("false")).collect()
