@@ -27,12 +27,25 @@ def sensor_value(
 ) -> DataFrame:
     """Last reading at the (clamped) time ``t`` of each request, null before the first.
 
-    ``ranges`` has ``start`` and ``end`` per sensor; ``inside`` tells if t was within.
+    ``ranges`` has ``start`` and ``end`` per sensor; ``inside`` tells if t was within. However many requests are
+    moved to an end of the range, each end is looked up once.
     """
+    edges = ranges.select(*keys, F.explode(F.array("start", "end")).alias("_edge")).where("_edge IS NOT NULL").distinct()
+    looked_up = latest_reading(edges, readings, keys, F.col("_edge"), F.col("t"), block_width)
+    values = looked_up.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("_edge", F.col("match.reading").alias("value")))).alias("_values")
+    )
     at, inside = clamped_time(F.col("t"), F.col("start"), F.col("end"))
-    df = requests.join(ranges, list(keys)).withColumns({"_at": at, "inside": inside})
-    found = latest_reading(df, readings, keys, F.col("_at"), F.col("t"), block_width)
-    return found.withColumn("value", F.col("match.reading")).drop("match", "_at", "start", "end")
+    # one row per sensor: broadcast, so that the requests of a sensor stay spread over all tasks
+    ends = F.broadcast(ranges.join(values, list(keys), "left"))
+    df = requests.join(ends, list(keys)).withColumns({"_at": at, "inside": inside})
+    helpers = ["_at", "start", "end", "_values"]
+    moved = (F.col("_at") == F.col("start")) | (F.col("_at") == F.col("end"))
+    at_edge = df.where(moved).withColumn("value", F.element_at("_values", F.col("_at"))).drop(*helpers)
+    within = df.where(~F.coalesce(moved, F.lit(False))).drop("_values")
+    found = latest_reading(within, readings, keys, F.col("_at"), F.col("t"), block_width)
+    found = found.withColumn("value", F.col("match.reading")).drop("match", *helpers)
+    return at_edge.unionByName(found)
 
 
 def resampled(
