@@ -10,7 +10,7 @@ from eventloom.operators.ordered import numbered
 from eventloom.plans.derived import decays as decay_table
 from eventloom.plans.domain import base, table
 from eventloom.plans.registry import query, r6
-from eventloom.plans.sources import nested_events
+from eventloom.plans.sources import nested_cells
 
 C = F.col
 
@@ -29,7 +29,7 @@ def cells_by_number(spark, sf):
 
     An event has any number of cells, spread over any number of records, so the sorted cells are rows.
     """
-    cells = nested_events(spark, sf).select(*tables.EVENT, F.explode("cells").alias("c"))
+    cells = nested_cells(spark, sf, "cell_number").select(*tables.EVENT, F.explode("cells").alias("c"))
     cells = cells.select(*tables.EVENT, "c.obj_id", "c.cell_number")
     return numbered(cells, tables.EVENT, F.floor(C("cell_number") / 4096), ["cell_number", "obj_id"], "place")
 

@@ -34,6 +34,12 @@ def _headers(spark, sf):
     return df.select(*EVENT, F.struct(*fields, "n_tracks", *FLAGS).alias("header"))
 
 
+def nested_cells(spark, sf, *fields):
+    """Event records with the chosen fields of their cells only, for readers that use no others."""
+    headers = _headers(spark, sf).select(*EVENT, F.struct("header.run").alias("header"))
+    return nested.nest(headers, {"cells": table(spark, sf, "cells").select(*OBJECT, *fields)})
+
+
 def nested_events(spark, sf):
     """Event records from the flat tables; some events have no objects at all."""
     extra = (

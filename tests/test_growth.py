@@ -26,3 +26,23 @@ def test_requests_beyond_the_range_are_not_looked_up_one_by_one(spark, monkeypat
     )
     assert got.where("sensor = 'b'").count() == 55 and got.where("sensor = 'c'").count() == 0
     assert sum(df.where("sensor = 'a'").count() for df in asked) == 3  # two ends and the one request between them
+
+
+def test_cells_are_nested_alone(spark, tmp_path):
+    """Readers of the cells' numbers read no other object's columns."""
+    spark.range(40).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "CAST(id AS double) AS o_totalprice",
+        "CAST('1995-01-01' AS timestamp_ntz) AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1000).selectExpr(
+        "id % 30 AS l_orderkey", "id * 37 % 101 AS l_partkey", "id AS l_suppkey", "CAST(id % 7 AS int) AS l_linenumber",
+        *[f"CAST(id % 50 AS double) AS l_{c}" for c in ("quantity", "extendedprice", "discount", "tax")],
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = scalars.cells_by_number(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "l_linenumber" in plan and "l_tax" not in plan and "l_extendedprice" not in plan
+    cells = {}
+    for r in sources.table(spark, str(tmp_path), "cells").collect():
+        cells.setdefault(r.event_idx, []).append((r.cell_number, r.obj_id))
+    expected = [(e, *cell, i) for e, of in cells.items() for i, cell in enumerate(sorted(of), 1)]
+    assert rows(got, "event_idx", "cell_number", "obj_id", "place") == sorted(expected, key=repr)
