@@ -337,7 +337,9 @@ def counter_files(spark, sf):
         )
     )
     path = work_path(spark, "counters")
-    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    # the path is new: tasks put their many files there themselves, not the driver one after the other
+    out = files.select("value").write.option("maxRecordsPerFile", 1)
+    out.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     found = texts.read_counters(spark, path)
     return found.select(
         "run", "version", "rec", "orbit", "period", "seconds", "microsecs", "class_idx", "l0b", "l2a", "lmb", "time_group"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pyarrow as pa
 from pyarrow import fs
@@ -74,12 +75,10 @@ class Lines:
                 yield at, words
 
 
-def header(path: str) -> tuple[int, int, list[int], int]:
-    """Version, run, class numbers, and the byte after the two lines."""
-    with Lines(path) as lines:
-        found = iter(lines)
-        first, second = next(found, None), next(found, None)
-        after = lines.at
+def header_of(lines: Lines, path: str) -> tuple[int, int, list[int], int]:
+    """Version, run, class numbers, and the byte after the two lines, of a file read from its beginning."""
+    found = iter(lines)
+    first, second = next(found, None), next(found, None)
     if first is None or second is None:
         raise MalformedFile("header", path)
     try:
@@ -88,18 +87,27 @@ def header(path: str) -> tuple[int, int, list[int], int]:
         raise MalformedFile("header", path) from None
     if len(numbers) < 2 or numbers[1] != len(numbers) - 2 or len(first[1]) > 1:
         raise MalformedFile("number of classes", path)
-    return version, numbers[0], numbers[2:], after
+    return version, numbers[0], numbers[2:], lines.at
+
+
+def header(path: str) -> tuple[int, int, list[int], int]:
+    with Lines(path) as lines:
+        return header_of(lines, path)
 
 
-def records(path: str, begin: int, end: int) -> Iterator[tuple[list[int], list[list[int]]]]:
-    """Time stamp and counters per class of the records that begin in a piece, each read to its end.
+def records(path: str, begin: int, end: int) -> Iterator[tuple[int, int, list[int], list[int], list[list[int]]]]:
+    """Version, run, classes, time stamp and counters per class of the records that begin in a piece, each read to its end.
 
     The piece before reads on to the next time stamp, so a line is checked by exactly one piece.
     """
-    version, _, classes, after = header(path)
-    width = len(COUNTERS) if version >= LATE_VERSION else EARLY_COUNTERS
-    whole = begin > after
-    with Lines(path, max(begin, after)) as lines:
+    with ExitStack() as opened_files:
+        # a piece that starts with the file is read on from its header: most files are small, and opened once
+        lines = opened_files.enter_context(Lines(path))
+        version, run, classes, after = header_of(lines, path)
+        width = len(COUNTERS) if version >= LATE_VERSION else EARLY_COUNTERS
+        whole = begin > after
+        if whole:
+            lines = opened_files.enter_context(Lines(path, begin))
         rows = iter(lines)
         row = next(rows, None)
         while whole and row is not None and len(row[1]) not in STAMP_WORDS:
@@ -117,7 +125,7 @@ def records(path: str, begin: int, end: int) -> Iterator[tuple[list[int], list[l
                     raise MalformedFile("counters", path)
                 counts.append(row[1])
             try:
-                yield [int(w) for w in stamp], [[int(w) for w in line] for line in counts]
+                yield version, run, classes, [int(w) for w in stamp], [[int(w) for w in line] for line in counts]
             except ValueError:
                 raise MalformedFile("number", path) from None
             row = next(rows, None)
@@ -189,8 +197,7 @@ class CounterReader(DataSourceReader):
             return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         for path, begin, end, split in partition.pieces:
-            version, run, classes, _ = header(path)
-            for rec, (stamp, counts) in enumerate(records(path, begin, end)):
+            for rec, (version, run, classes, stamp, counts) in enumerate(records(path, begin, end)):
                 time = (*stamp, None)[: len(_TIMES)]
                 for number, values in zip(classes, counts, strict=True):
                     values = (*values, None, None)[: len(COUNTERS)]

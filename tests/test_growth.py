@@ -46,3 +46,16 @@ def test_cells_are_nested_alone(spark, tmp_path):
         cells.setdefault(r.event_idx, []).append((r.cell_number, r.obj_id))
     expected = [(e, *cell, i) for e, of in cells.items() for i, cell in enumerate(sorted(of), 1)]
     assert rows(got, "event_idx", "cell_number", "obj_id", "place") == sorted(expected, key=repr)
+
+
+def test_small_counter_files_are_opened_once(tmp_path, monkeypatch):
+    for run in range(3):
+        (tmp_path / f"{run}.cnt").write_text(f"# counters\n2\n{run} 1 3\n" + "5 0 10 20\n1 2 3 4 5 6\n" * 4)
+    opened, of = [], counterfiles.opened
+    monkeypatch.setattr(counterfiles, "opened", lambda path: opened.append(path) or of(path))
+    reader = counterfiles.CounterReader({"path": str(tmp_path)})
+    shares = reader.partitions()
+    opened.clear()
+    found = pa.Table.from_batches([b for share in shares for b in reader.read(share)]).to_pydict()
+    assert sorted(zip(found["run"], found["rec"], strict=True)) == [(run, rec) for run in range(3) for rec in range(4)]
+    assert len(opened) == 3
