@@ -159,6 +159,16 @@ LOG_STATE = "revision bigint, line bigint, island bigint, n bigint, seq array<bi
 LOG = "file_id bigint, island bigint, event_number bigint, ddl_id bigint, code int, n bigint, revision bigint"
 
 
+#: Rows of a frame that a step gives out.
+_ROWS = 100_000
+
+
+def _numbers(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers (0 where missing), and which are missing."""
+    null = values.isna().to_numpy()
+    return (values.fillna(0) if null.any() else values).to_numpy(np.int64), null
+
+
 def live_error_log(stream: DataFrame, delay: int = 0) -> DataFrame:
     """Runs of equal messages (file_id, seq, event_number, ddl_id, code) with their counts so far, in update mode.
 
@@ -169,39 +179,50 @@ def live_error_log(stream: DataFrame, delay: int = 0) -> DataFrame:
     """
 
     def step(key, frames, state):
-        new = pd.concat(list(frames))
-        revision, line, island, settled_n, seq, *same = state.get if state.exists else (0, FIRST, 1, 0, [], [], [], [])
-        new = new[new["seq"] > line]
-        if new.empty:
+        revision, line, island, settled_n, *kept = state.get if state.exists else (0, FIRST, 1, 0, [], [], [], [])
+        # frame by frame into plain numbers: a file's messages of one batch may be many
+        held = [[_numbers(pd.Series(k, dtype="Int64"))] for k in kept]
+        old = len(kept[0])
+        for frame in frames:
+            frame = frame[frame["seq"] > line]
+            for part, c in zip(held, ("seq", *SAME), strict=True):
+                part.append(_numbers(frame[c]))
+        seq = np.concatenate([v for v, _ in held[0]])
+        n = len(seq)
+        if n == old:
             return
-        seq = np.concatenate([np.array(seq, np.int64), new["seq"].to_numpy(np.int64)])
-        kept = [np.array(s, object) for s in same]
-        same = [
-            np.concatenate([k, new[c].astype(object).where(new[c].notna(), None).to_numpy()])
-            for k, c in zip(kept, SAME, strict=True)
-        ]
-        order = np.lexsort((np.arange(len(seq)), seq))
-        first = int(np.flatnonzero(order >= len(order) - len(new))[0])
-        seq, same = seq[order], [s[order] for s in same]
-        starts = np.zeros(len(seq), bool)
-        for s in same:
-            starts[1:] |= s[1:] != s[:-1]
-        number = island + np.cumsum(starts)
-        weight = np.ones(len(seq), np.int64)
-        weight[0] = max(settled_n, 1)  # of messages settled before, the first row stands for all of its run
-        counts = np.bincount(number - island, weight).astype(np.int64)
-        begin = np.searchsorted(number, np.unique(number))
-        shown = np.unique(number)[np.unique(number) >= number[first]]
-        at = begin[shown - island]
+        order = np.argsort(seq, kind="stable")
+        first = int(np.flatnonzero(order >= old)[0])
+        seq = seq[order]
+        same = []
+        starts = np.zeros(n, bool)
+        for part in held[1:]:
+            value = np.concatenate([v for v, _ in part])[order]
+            null = np.concatenate([m for _, m in part])[order]
+            part.clear()
+            starts[1:] |= (value[1:] != value[:-1]) | (null[1:] != null[:-1])
+            same.append((value, null))
+        begin = np.append(0, np.flatnonzero(starts))
+
+        def run_of(row: int) -> int:
+            return int(np.searchsorted(begin, row, "right")) - 1
+
+        earlier = max(settled_n, 1) - 1  # of messages settled before, the first row stands for all of its run
+        counts = np.diff(np.append(begin, n))
+        counts[0] += earlier
         line = _line(state, int(seq[-1]), delay)
         base = int(np.searchsorted(seq, line, "right")) - 1
-        n = int(weight[: base + 1][number[: base + 1] == number[base]].sum()) if base >= 0 else 0
+        settled_n = base + 1 - int(begin[run_of(base)]) + (earlier if run_of(base) == 0 else 0) if base >= 0 else 0
         base = max(base, 0)
-        columns = [[None if x is None else int(x) for x in s[base:]] for s in same]
-        state.update((revision + 1, line, int(number[base]), n, seq[base:].tolist(), *columns))
-        rows = pd.DataFrame({"island": shown, **{c: pd.array(s[at], "Int64") for c, s in zip(SAME, same, strict=True)}})
-        rows.insert(0, "file_id", pd.array([None if pd.isna(key[0]) else key[0]] * len(rows), "Int64"))
-        yield rows.assign(code=rows["code"].astype("Int32"), n=counts[shown - island], revision=revision + 1)
+        columns = [[None if m else int(v) for v, m in zip(value[base:], null[base:])] for value, null in same]
+        state.update((revision + 1, line, island + run_of(base), settled_n, seq[base:].tolist(), *columns))
+        for k in range(run_of(first), len(begin), _ROWS):
+            at = begin[k : k + _ROWS]
+            rows = pd.DataFrame({"island": island + np.arange(k, k + len(at))})
+            for c, (value, null) in zip(SAME, same, strict=True):
+                rows[c] = pd.arrays.IntegerArray(value[at], null[at])
+            rows.insert(0, "file_id", pd.array([None if pd.isna(key[0]) else key[0]] * len(rows), "Int64"))
+            yield rows.assign(code=rows["code"].astype("Int32"), n=counts[k : k + len(at)], revision=revision + 1)
 
     rows = _waiting(stream, F.col("seq"), delay).select("file_id", "seq", *SAME, "_at")
     return rows.groupBy("file_id").applyInPandasWithState(step, LOG, LOG_STATE, "update", GroupStateTimeout.EventTimeTimeout)

@@ -59,3 +59,59 @@ def test_small_counter_files_are_opened_once(tmp_path, monkeypatch):
     found = pa.Table.from_batches([b for share in shares for b in reader.read(share)]).to_pydict()
     assert sorted(zip(found["run"], found["rec"], strict=True)) == [(run, rec) for run in range(3) for rec in range(4)]
     assert len(opened) == 3
+
+
+class _State:
+    """What the step of a stream sees of Spark's state."""
+
+    exists, get = False, None
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+    def getCurrentWatermarkMs(self):
+        return 0
+
+
+def _step_of(monkeypatch, delay):
+    """The step that the error log hands to Spark."""
+    taken = []
+
+    class Grouped:
+        def groupBy(self, *_):
+            return self
+
+        def select(self, *_):
+            return self
+
+        def applyInPandasWithState(self, step, *_):
+            taken.append(step)
+
+    monkeypatch.setattr(flows, "_waiting", lambda *_: Grouped())
+    flows.live_error_log(None, delay)
+    return taken[0]
+
+
+def test_error_log_holds_plain_numbers(monkeypatch):
+    """A file's messages of one batch take a few dozen bytes each, and come out in frames of bounded size."""
+    import tracemalloc
+
+    step, n, size = _step_of(monkeypatch, 0), 400_000, 10_000
+
+    def frames():
+        for a in range(0, n, size):
+            seq = np.arange(a, a + size)[::-1]
+            yield pd.DataFrame({"seq": seq, "event_number": seq // 200, "ddl_id": seq % 2, "code": pd.Series(seq % 3, dtype="Int64").mask(seq % 3 == 2)})
+
+    state = _State()
+    tracemalloc.start()
+    shown, rows_out, last = 0, 0, None
+    for frame in step((1,), frames(), state):
+        assert len(frame) <= 100_000
+        rows_out, shown, last = rows_out + len(frame), max(shown, len(frame)), frame
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows_out == n and last["island"].iloc[-1] == n and last["n"].iloc[-1] == 1
+    assert peak < 150 * n
+    *_, seq, event, ddl, code = state.get
+    assert (seq, event, ddl, code) == ([n - 1], [(n - 1) // 200], [(n - 1) % 2], [None if (n - 1) % 3 == 2 else (n - 1) % 3])
