@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +24,8 @@ SPLIT_DISTANCE = 10.0
 UNKNOWN_BUNCH = -100
 #: Vertices of a stretch that one task decides; longer stretches are decided in rounds.
 STRETCH = 1000
+#: Vertices of stretches that are decided together with all others of the same size.
+TOGETHER = 32
 
 
 def is_pile_up(
@@ -182,9 +184,9 @@ def merge_split_vertices(
         df = df.join(long, [*keys, "_stretch"], "left_anti")
     stretches = df.groupBy(*keys, "_stretch").agg(F.sort_array(F.collect_list(row)).alias("v"))
 
-    @F.pandas_udf("array<struct<bunch:int,discarded:boolean>>")
-    def decide(found: pd.Series, bunches: pd.Series) -> pd.Series:
-        return pd.Series([_claims(np.vstack(f), list(b), cut) for f, b in zip(found, bunches)])
+    @F.arrow_udf("array<struct<bunch:int,discarded:boolean>>")
+    def decide(found: pa.Array, bunches: pa.Array) -> pa.Array:
+        return _decided(found, bunches, cut)
 
     numbers = F.transform("v", lambda r: F.array(*[r[c].cast("double") for c in _GEOMETRY]))
     several = stretches.where(F.size("v") > 1).withColumn(
@@ -278,6 +280,51 @@ def _claims_in_rounds(vertices: DataFrame, on: list[str], cut: float) -> DataFra
 _GEOMETRY = ("x", "y", "z", "cov_xx", "cov_xy", "cov_yy", "cov_zz", "n_indices")
 
 
+def _decided(found: pa.Array, bunches: pa.Array, cut: float) -> pa.Array:
+    """Bunch number and fate of the vertices of many stretches (lists of vertices, each a list as _GEOMETRY)."""
+    sizes = np.asarray(bunches.value_lengths())
+    begin = np.append(0, np.cumsum(sizes))
+    geometry = found.flatten().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, len(_GEOMETRY))
+    given = bunches.flatten()
+    known = given.fill_null(UNKNOWN_BUNCH).to_numpy(zero_copy_only=False)
+    bunch, gone = known.astype(np.int32), np.zeros(len(known), dtype=bool)
+    for n in np.unique(sizes).tolist() if not given.null_count else []:
+        if n <= TOGETHER:
+            at = begin[:-1][sizes == n, None] + np.arange(n)
+            bunch[at], gone[at] = _claims_together(geometry[at], bunch[at], cut)
+    for i in range(len(sizes)) if given.null_count else np.flatnonzero(sizes > TOGETHER):
+        a, b = begin[i], begin[i + 1]
+        numbers = known[a:b].tolist() if not given.null_count else given.slice(a, b - a).to_numpy(zero_copy_only=False).tolist()
+        bunch[a:b], gone[a:b] = zip(*_claims(geometry[a:b], numbers, cut), strict=True)
+    rows = pa.StructArray.from_arrays([pa.array(bunch, pa.int32()), pa.array(gone)], ["bunch", "discarded"])
+    return pa.ListArray.from_arrays(pa.array(begin, pa.int32()), rows)
+
+
+def _claims_together(found: np.ndarray, bunch: np.ndarray, cut: float) -> tuple[np.ndarray, np.ndarray]:
+    """What `_claims` decides, for many stretches of the same number of vertices at a time."""
+    position, cov, size = found[:, :, :3], found[:, :, 3:7], found[:, :, 7]
+    gone, row = np.zeros(bunch.shape, dtype=bool), np.arange(len(found))
+    for i in range(found.shape[1] - 1):
+        rest = slice(i + 1, None)
+        d = position[:, i, None] - position[:, rest]
+        xx, xy, yy, zz = np.moveaxis(cov[:, i, None] + cov[:, rest], 2, 0)
+        det = xx * yy - xy**2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = (yy * d[:, :, 0] ** 2 + xx * d[:, :, 1] ** 2 - 2 * xy * d[:, :, 0] * d[:, :, 1]) / det
+            square = plane + d[:, :, 2] ** 2 / zz
+        distance = np.where((det != 0) & (zz != 0) & (square > 0), np.sqrt(np.abs(square)), -1.0) * size[:, rest]
+        near = (distance < cut) & ~gone[:, rest] & ~gone[:, i, None]
+        order = np.argsort(np.where(near, distance, np.inf), axis=1, kind="stable")
+        for k in range(int(near.sum(axis=1).max(initial=0))):
+            j = order[:, k]
+            claims, other = near[row, j], bunch[row, i + 1 + j]
+            own = np.where(claims & (bunch[:, i] == UNKNOWN_BUNCH), other, bunch[:, i])
+            bunch[:, i] = own
+            lost = claims & ((other == own) | (other == UNKNOWN_BUNCH))
+            gone[row[lost], i + 1 + j[lost]] = True
+    return bunch, gone
+
+
 def _claims(found: np.ndarray, bunch: list[int], cut: float) -> list[tuple[int, bool]]:
     """Bunch number and fate of the vertices of one stretch, ordered from the largest."""
     position, cov, size = found[:, :3], found[:, 3:7], found[:, 7]

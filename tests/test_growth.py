@@ -115,3 +115,20 @@ def test_error_log_holds_plain_numbers(monkeypatch):
     assert peak < 150 * n
     *_, seq, event, ddl, code = state.get
     assert (seq, event, ddl, code) == ([n - 1], [(n - 1) // 200], [(n - 1) % 2], [None if (n - 1) % 3 == 2 else (n - 1) % 3])
+
+
+@pytest.mark.parametrize("size", [2, 5, 40])
+def test_stretches_are_decided_together(size, monkeypatch):
+    rng = np.random.default_rng(size)
+    geometry, bunches = [], []
+    for _ in range(200):
+        found = np.c_[rng.normal(0, 0.05, (size, 2)), rng.normal(0, 0.3, size), rng.uniform(0, 1e-2, (size, 4)), -np.sort(-rng.integers(1, 50, size))]
+        found[:, 3:5] *= rng.random() > 0.1
+        geometry.append(found)
+        bunches.append(rng.choice([cleaning.UNKNOWN_BUNCH, 0, 1], size).tolist())
+    one_by_one, alone = cleaning._claims, []
+    monkeypatch.setattr(cleaning, "_claims", lambda *given: alone.append(1) or one_by_one(*given))
+    lists = pa.array([g.tolist() for g in geometry], pa.list_(pa.list_(pa.float64())))
+    got = cleaning._decided(lists, pa.array(bunches, pa.list_(pa.int32())), 10.0).to_pylist()
+    assert [[(r["bunch"], r["discarded"]) for r in of] for of in got] == [one_by_one(g, list(b), 10.0) for g, b in zip(geometry, bunches, strict=True)]
+    assert len(alone) == (200 if size > cleaning.TOGETHER else 0)
