@@ -32,8 +32,8 @@ WINDOW = 16 * LENGTH
 END = 1
 MAX_QUEUES = 1024
 #: Words that a Python worker remembers at most: those that came again, and those seen once.
-REMEMBERED = 750_000
-SEEN_ONCE = 500_000
+REMEMBERED = 300_000
+SEEN_ONCE = 200_000
 
 TOKENS = "doc_id long, source string, queue string, part int, start long, n long, ids binary"
 PIECES = (
