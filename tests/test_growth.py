@@ -92,7 +92,7 @@ def _step_of(monkeypatch, delay):
     return taken[0]
 
 
-def test_error_log_holds_plain_numbers(monkeypatch):
+def test_error_log_holds_plain_numbers(spark, monkeypatch):
     """A file's messages of one batch take a few dozen bytes each, and come out in frames of bounded size."""
     import tracemalloc
 
