@@ -11,11 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.operators import robust
+from eventloom.operators import moments, robust
 from eventloom.operators.asof import asof
 from eventloom.operators.ordered import blocked
 from eventloom.operators.ranges import range_join
-from eventloom.operators.solve import solved
+from eventloom.operators.solve import solved, solved_sums, summed
+from eventloom.session import stored
 
 Axis = tuple[str, int, float, float]
 
@@ -23,6 +24,8 @@ Axis = tuple[str, int, float, float]
 SMALLEST_SUBSET = 3
 SMOOTH_LIMIT = 100.0
 SMOOTH_LEAST = 4
+#: The sums over a window of more points come from the moments of cells.
+SMOOTH_PAIRS = 128
 
 
 def _width(axis: Axis) -> float:
@@ -137,7 +140,9 @@ def smoothed(
     last one inside count with weight exp(-2 x^2 / w^2); with fewer than five the two
     points on either side of the time are taken.  The degree is lowered to the number of
     steps less 2; 0 with four points or fewer.  Points are numbered along time, so a
-    request asks for a range of numbers, and its points are reduced to sums right away.
+    request asks for a range of numbers, and its points are reduced to sums right away. A window of more than
+    SMOOTH_PAIRS points is not joined to them but added up from the moments of cells, so the work per request does
+    not follow the density of the points.
     """
     keys = list(keys)
     names = list(requests.columns)
@@ -192,16 +197,28 @@ def smoothed(
     later = F.col("_next") - F.col("t") < F.col("t") - F.col("_t")
     centre = F.when(F.col("_t").isNull(), F.col("_begin")).when(later, F.col("_next")).otherwise(F.col("_t"))
     number = (F.least(F.lit(degree), steps) + 1).cast("int")
-    asked = df.select(*names, "_lo", "_hi", number.alias("_number"), centre.alias("_centre"))
-    near = range_join(ranked, asked, "_place", "_lo", "_hi", on=keys, width=16)
+    # beyond the largest exponent the weights are no Gaussian
+    dense = (F.col("_hi") - F.col("_lo") > SMOOTH_PAIRS) & ~few & F.col("_size").isNotNull() & (sigmas * sigmas <= SMOOTH_LIMIT)
+    dense = F.coalesce(dense, F.lit(False)).alias("_dense")
+    asked = df.select(*names, "_lo", "_hi", "_i0", "_i1", number.alias("_number"), centre.alias("_centre"), dense)
+    asked = stored(asked, "asked")
+    # the one point of a dense window that is not in reach: the last before it, or the one behind it if there is none before
+    beside = F.when(F.col("_i0") >= 0, F.col("_lo")).when(F.col("_hi") > F.col("_i1"), F.col("_hi"))
+    single = {n: F.when(F.col("_dense"), beside).otherwise(F.col(n)) for n in ("_lo", "_hi")}
+    group = [*names, "_number", "_centre"]
+    near = range_join(ranked, asked.select(*group, *[c.alias(n) for n, c in single.items()]), "_place", "_lo", "_hi", on=keys, width=16)
     if logarithm:
         near = near.where("_y > 0").withColumn("_y", F.log("_y"))
+        series = series.where("y > 0").withColumn("y", F.log("y"))
     u = (F.col("_t") - F.col("t")) / width
     near = near.withColumn("_u", u).withColumn("_w", F.exp(-2 * F.least(F.col("_u") * F.col("_u"), F.lit(SMOOTH_LIMIT))))
     near = near.withColumn("_v", (F.col("_t") - F.col("_centre")) / width)
     # one set of sums per request; a lower degree is solved from the first of them
     basis = [F.pow("_v", F.lit(p)) for p in range(degree + 1)]
-    fit = solved(near, [*names, "_number", "_centre"], basis, F.col("_y"), F.col("_w"), leading=F.col("_number"))
+    sums = summed(near, group, basis, F.col("_y"), F.col("_w")).drop("_vv")
+    sums = sums.unionByName(moments.window_sums(asked.where("_dense").select(*group), series, keys, width, sigmas, degree))
+    sums = sums.groupBy(*group).agg(*[F.sum(c).alias(c) for c in sums.columns if c not in group])
+    fit = solved_sums(sums.withColumn("_vv", F.lit(None).cast("double")), group, degree + 1, F.col("_number"))
     here = (F.col("t") - F.col("_centre")) / width
     value = F.element_at("coefficients", 1)
     for p in range(1, degree + 1):

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators import cleaning, series
+from eventloom.operators import cleaning, moments, regression, series
 from eventloom.plans import scalars, sources
 from eventloom.sources import counterfiles
 from eventloom.streaming import flows
@@ -132,3 +132,47 @@ def test_stretches_are_decided_together(size, monkeypatch):
     got = cleaning._decided(lists, pa.array(bunches, pa.list_(pa.int32())), 10.0).to_pylist()
     assert [[(r["bunch"], r["discarded"]) for r in of] for of in got] == [one_by_one(g, list(b), 10.0) for g, b in zip(geometry, bunches, strict=True)]
     assert len(alone) == (200 if size > cleaning.TOGETHER else 0)
+
+
+@pytest.mark.parametrize("degree", [0, 1, 2])
+def test_dense_windows_are_smoothed_without_pairs(spark, monkeypatch, degree):
+    """Points that the requests of a dense series are joined to, and each one's own least-squares polynomial."""
+    rng = np.random.default_rng(degree)
+    t = np.sort(np.concatenate([rng.uniform(0, 100, 4000).round(2), rng.uniform(115, 116, 300), [160.0]]))
+    y = np.sin(t / 9) + rng.normal(0, 0.1, len(t))
+    frame = pd.DataFrame({"k": 0, "t": t, "y": y, "id": range(len(t))})
+    asks = [-1.0, 0.5, 12.0, 33.33, 77.7, 99.0, 103.9, 108.0, 117.0, 127.5, 160.0]
+    requests = spark.createDataFrame([(k, x) for x in asks for k in (0, 1, None)], "k int, t double")
+    paired, join = [], regression.range_join
+    monkeypatch.setattr(regression, "range_join", lambda *a, **b: paired.append(join(*a, **b)) or paired[-1])
+    found = regression.smoothed(requests, spark.createDataFrame(frame).withColumn("k", F.col("k").cast("int")), ["k"], 4.0, 3.0, degree, 25.0)
+    got = {(r.k, r.t): r.smooth for r in found.collect()}
+    assert paired[0].count() <= len(asks) * regression.SMOOTH_PAIRS
+    place = lambda x: int((t <= x).sum()) - 1
+    for x in asks:
+        lo, middle, hi = place(x - 12), place(x), place(x + 12)
+        if hi - lo < 4:
+            lo, hi = middle - 2, middle + 2
+        if lo < 0:
+            lo, hi = 0, hi - lo
+        if hi >= len(t):
+            lo, hi = max(lo - (hi - len(t)), 0), len(t) - 1
+        u = (t[lo : hi + 1] - x) / 4
+        w = np.exp(-np.minimum(u * u, 100))  # of the root of the weight
+        want = np.polynomial.Polynomial.fit(u, y[lo : hi + 1], min(degree, max(hi - lo - 2, 0)), w=w)(0.0)
+        want = want if hi - lo >= 4 else 0.0
+        assert got[0, x] == pytest.approx(want, rel=1e-6, abs=1e-7), (x, lo, hi)
+        assert got[1, x] == got[None, x] == 0
+
+
+def test_moments_give_the_sums_of_pairs():
+    rng = np.random.default_rng(1)
+    cells = moments.Cells(4.0, 3.0, 2)
+    at, y = rng.uniform(0, 1, 50) * cells.step + 7 * cells.step, rng.normal(size=50)
+    held = cells.of_points(at, np.full(50, 7.0), y, np.ones(50, bool)).sum(axis=0)
+    for t in (7.3 * cells.step, 7 * cells.step - cells.reach, 8 * cells.step + cells.reach):
+        centre = t - 1.0
+        got = cells.at_requests(held[None, None], np.array([[7.0]]), np.array([t]), np.array([centre]))[0]
+        w, v = np.exp(-2 * ((at - t) / 4.0) ** 2), (at - centre) / 4.0
+        want = [(w * v ** (i + j)).sum() for i in range(3) for j in range(i, 3)] + [(w * v**i * y).sum() for i in range(3)]
+        assert got == pytest.approx(want, rel=1e-11)
