@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators import cleaning, moments, regression, series
+from eventloom.operators import cleaning, conditions, moments, regression, series
 from eventloom.plans import scalars, sources
 from eventloom.sources import counterfiles
 from eventloom.streaming import flows
@@ -176,3 +176,21 @@ def test_moments_give_the_sums_of_pairs():
         w, v = np.exp(-2 * ((at - t) / 4.0) ** 2), (at - centre) / 4.0
         want = [(w * v ** (i + j)).sum() for i in range(3) for j in range(i, 3)] + [(w * v**i * y).sum() for i in range(3)]
         assert got == pytest.approx(want, rel=1e-11)
+
+
+def test_pairs_of_one_path_are_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(conditions, "PAIRS", 20_000, raising=False)
+    requests = spark.range(600).selectExpr("id AS request", "290000 + id * 7 % 64 AS run", "IF(id = 5, NULL, IF(id < 590, 'a', 'b')) AS path")
+    entries = spark.range(500).selectExpr(
+        "id AS entry", "IF(id = 6, NULL, IF(id < 490, 'a', 'c')) AS path",
+        "IF(id % 97 = 0, -1, 290000 + id % 50) AS first_run", "IF(id % 97 = 0, -1, 290000 + id % 50 + id % 30) AS last_run",
+    )
+    found = conditions.valid_entries(requests, entries, ["path"])
+    asked, held = requests.where("path IS NOT NULL").collect(), entries.where("path IS NOT NULL").collect()
+    expected = [
+        (q.request, e.entry) for q in asked for e in held
+        if q.path == e.path and (e.first_run == -1 or e.first_run <= q.run <= e.last_run)
+    ]
+    assert rows(found, "request", "entry") == sorted(expected, key=repr)
+    shares = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(shares) < len(expected) / 4
