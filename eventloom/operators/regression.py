@@ -96,7 +96,7 @@ def local_statistics(
     fraction = min(fraction, 1.0)
     subset = F.floor(F.col("_n") * fraction - 1)
     near = near.where(F.col(value).isNotNull()).select(*bins, value)
-    spread = robust.location_and_scale(near, bins, value, h=subset, median=True)
+    spread = robust.location_and_scale(near, bins, value, h=subset, median=True, few_keys=True)
     joined = near.groupBy(*bins).agg(F.count("*").alias("_near")).join(spread, bins, "left")
     enough = F.col("_near") * fraction - 1 > SMALLEST_SUBSET
     numbers = [F.when(enough, F.col(c)).otherwise(0.0).alias(c) for c in ("median", "mean", "sigma")]

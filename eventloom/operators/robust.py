@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,10 @@ from eventloom.session import stored
 # Scale factors for window fractions 0.5, 0.525, ... 0.75.
 FACTORS = (2.6477, 2.5092, 2.3826, 2.2662, 2.1587, 2.0589, 1.9660, 1.879, 1.7973, 1.7203, 1.6473)
 
+#: Cells that a key's range of values is cut into, where only rows that may bound the best window are ranked.
+CELLS = 4096
+
+
 def scale_factor(h: Column, n: Column) -> Column:
     step = ((h / n - 0.5) * 40).cast("int")
     at = F.greatest(F.least(step, F.lit(len(FACTORS) - 1)), F.lit(0))
@@ -43,6 +49,93 @@ def ranked_values(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataF
     return stats, blocked(rows, keys, F.col("_range"), ["_d", "_row"], running=sums).drop("_range", "_row")
 
 
+_PICKED = "_cell long, _before long, _c1 double, _c2 double, _start boolean"
+
+
+def _picked(keys: Sequence[str], median: bool):
+    """Of one key's cells (at most CELLS rows) those whose rows may begin or end the window of least variance, or hold the median.
+
+    A window that begins in a cell holds the same whole cells wherever in it it begins. The squares about their mean, and the least
+    and greatest distance of its other values, bound its squares from both sides; where the lower bound
+    is above another's upper bound, the best window does not begin.
+    """
+
+    def run(cells: pd.DataFrame) -> pd.DataFrame:
+        cells = cells.sort_values("_cell", ignore_index=True)
+        n, low, high = (cells[c].to_numpy() for c in ("_count", "_least", "_most"))
+        upto, to1, to2 = n.cumsum(), cells["_d1"].cumsum().to_numpy(), cells["_d2"].cumsum().to_numpy()
+        before, before1, before2 = (np.append(0, x[:-1]) for x in (upto, to1, to2))
+        total, h = int(upto[-1]), int(cells["_h"].iloc[0])
+        a = np.flatnonzero(before + 1 <= total - h)
+        first = np.searchsorted(upto, before[a] + h)
+        last = np.searchsorted(upto, np.minimum(upto[a], total - h) + h - 1)
+        with np.errstate(all="ignore"):
+            inner = np.maximum(before[first] - upto[a], 0)
+            some = inner > 0
+            sum1, sum2 = (np.where(some, x[first] - y[a], 0.0) for x, y in ((before1, to1), (before2, to2)))
+            mean = np.where(some, sum1 / np.maximum(inner, 1), (low[a] + high[last]) / 2)
+            squares = np.where(some, np.maximum(sum2 - sum1 * mean, 0), 0.0)
+            others = h - inner
+            # where the mean of the whole window may lie, and so how far the others are from it at least
+            least, most = (sum1 + others * low[a]) / h, (sum1 + others * high[last]) / h
+            near = np.maximum(np.minimum(least - high[a], low[first] - most), 0)
+            far = np.maximum(mean - low[a], high[last] - mean)
+            limit = np.min(squares + others * far * far, initial=np.inf) * (1 + 1e-6) + 1e-11 * to2[-1]
+            # what is not a number is never left out
+            kept = ~(squares + others * near * near > limit)
+        start, wanted = np.zeros(len(n), bool), np.zeros(len(n) + 1, np.int64)
+        start[a[kept]] = True
+        np.add.at(wanted, first[kept], 1)
+        np.add.at(wanted, last[kept] + 1, -1)
+        used = start | (wanted.cumsum()[:-1] > 0)
+        if median:
+            used[np.searchsorted(upto, [(total + 1) // 2, (total + 2) // 2])] = True
+        out = cells[[*keys, "_cell"]].assign(_before=before, _c1=before1, _c2=before2, _start=start)
+        return out[used]
+
+    return run
+
+
+def ranked_candidates(
+    df: DataFrame, keys: Sequence[str], value: str, wanted: Column, median: bool
+) -> tuple[DataFrame, DataFrame]:
+    """As :func:`ranked_values`, but of the values only those that the best window (or the median) may ask for.
+
+    ``_start`` tells where a window may begin. Every value is counted in its cell, one of CELLS between
+    its key's lowest and highest value; only the rows of few cells are sorted and kept. Values that crowd in
+    few cells are ranked more often than needed, at worst all of them.
+    """
+    keys = list(keys)
+    plain = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_x"))
+    stats = plain.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.min("_x").alias("_low"), F.max("_x").alias("_high"),
+        F.avg("_x").alias("_avg"), F.stddev_samp("_x").alias("_std"),
+    )
+    stats = stored(stats.withColumn("_h", wanted.cast("bigint")), "spread")
+    rows = joined_on(plain, F.broadcast(stats.select(*keys, "_low", "_high", "_h")), keys)
+    span, d = F.col("_high") - F.col("_low"), F.col("_x") - F.col("_low")
+    place = F.least(F.floor(d / span * CELLS), F.lit(CELLS - 1).cast("bigint"))
+    rows = rows.withColumn("_cell", F.when((span > 0) & (span < float("inf")), place).otherwise(F.lit(0).cast("bigint")))
+    d = d.cast("double")
+    cells = rows.groupBy(*keys, "_h", "_cell").agg(
+        F.count("*").alias("_count"), F.min(d).alias("_least"), F.max(d).alias("_most"), F.sum(d).alias("_d1"), F.sum(d * d).alias("_d2")
+    )
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.select(*keys).schema.fields)
+    picked = stored(cells.groupBy(*keys).applyInPandas(_picked(keys, median), f"{types}, {_PICKED}"), "picked")
+    inside = joined_on(rows, F.broadcast(picked.select(*keys, "_cell", "_before")), [*keys, "_cell"]).where("_before IS NOT NULL")
+    _, ranked = ranked_values(inside, [*keys, "_cell"], "_x")
+    # from the cell's lowest value to the key's
+    ranked = ranked.drop("_n").withColumnRenamed("_low", "_from")
+    ranked = joined_on(joined_on(ranked, F.broadcast(picked), [*keys, "_cell"]), F.broadcast(stats.select(*keys, "_n", "_low")), keys)
+    by, rank = F.col("_from") - F.col("_low"), F.col("_rank")
+    ranked = ranked.select(
+        *keys, "_x", "_n", "_low", "_start", (F.col("_d") + by).alias("_d"), (F.col("_before") + rank).alias("_rank"),
+        (F.col("_c1") + F.col("_s1") + rank * by).alias("_s1"),
+        (F.col("_c2") + F.col("_s2") + 2 * by * F.col("_s1") + rank * by * by).alias("_s2"),
+    )
+    return stats.drop("_h", "_high"), ranked
+
+
 def location_and_scale(
     df: DataFrame,
     keys: Sequence[str],
@@ -51,6 +144,7 @@ def location_and_scale(
     h: Column | None = None,
     external: float | None = None,
     median: bool = False,
+    few_keys: bool = False,
 ) -> DataFrame:
     """``mean`` and ``sigma`` (and all values' ``median``, if asked for) of the h neighbouring values with the least variance, per key.
 
@@ -59,19 +153,27 @@ def location_and_scale(
     returned, with fewer than two values nothing.  ``external`` is the external-error
     factor f: the squared mean then enters with 2f - f^2.
 
-    Prefix sums over the ranked values and one join from a window's start to its end replace any per-key loop.
+    Prefix sums over the ranked values and one join from a window's start to its end replace any per-key loop. With ``few_keys``
+    (that fit a broadcast table with their cells) only values that may bound the best window are ranked; the input is then read
+    several times instead of being shuffled whole.
     """
     keys = list(keys)
     half = F.floor((F.col("_n") + 2) / 2)
     wanted = half if h is None else F.when(h < 2, half).otherwise(h)
-    stats, ranked = ranked_values(df, keys, value)
+    if few_keys:
+        if external is not None:
+            raise ValueError("The bounds are those of the plain variance")
+        stats, ranked = ranked_candidates(df, keys, value, wanted, median)
+    else:
+        stats, ranked = ranked_values(df, keys, value)
     stats = stats.where("_n >= 2").withColumn("_h", wanted.cast("bigint"))
     ranked = ranked.where("_n >= 2").withColumn("_h", wanted.cast("bigint"))
     if median:
         middle = [F.max(F.when(F.col("_rank") == F.floor((F.col("_n") + k) / 2), F.col("_x"))) for k in (1, 2)]
         middle = ranked.groupBy(*keys).agg(((middle[0] + middle[1]) / 2).alias("median"))
         stats = joined_on(stats, middle, keys)
-    starts = ranked.where(F.col("_rank") <= F.col("_n") - F.col("_h")).select(
+    starts = ranked.where("_start") if few_keys else ranked
+    starts = starts.where(F.col("_rank") <= F.col("_n") - F.col("_h")).select(
         *keys,
         "_h",
         "_low",

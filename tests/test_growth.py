@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators import cleaning, conditions, moments, regression, series
+from eventloom.operators import cleaning, conditions, moments, regression, robust, series
 from eventloom.plans import scalars, sources
 from eventloom.sources import counterfiles
 from eventloom.streaming import flows
@@ -194,3 +194,26 @@ def test_pairs_of_one_path_are_spread_over_tasks(spark, monkeypatch):
     assert rows(found, "request", "entry") == sorted(expected, key=repr)
     shares = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     assert max(shares) < len(expected) / 4
+
+
+@pytest.mark.parametrize("shape", ["even", "heavy tail", "few values", "one value", "not finite"])
+def test_only_rows_that_may_bound_the_best_window_are_ranked(spark, monkeypatch, shape):
+    rng = np.random.default_rng(3)
+    n = 30_000
+    x = {
+        "even": rng.normal(0, 1, n) + 100, "heavy tail": rng.standard_cauchy(n), "few values": rng.integers(0, 7, n) * 1.5,
+        "one value": np.full(n, 2.5), "not finite": np.append(rng.normal(0, 1, n), [np.inf, np.nan]),
+    }[shape]
+    df = spark.createDataFrame(pd.DataFrame({"k": rng.integers(0, 2, len(x)), "x": x})).withColumn("k", F.nullif("k", F.lit(1)))
+    df = df.unionByName(spark.createDataFrame([(5, 1.0), (6, 1.0), (6, 3.0), (6, None)], "k long, x double"))
+    h = F.floor(F.col("_n") * 0.6 - 1)
+    usual = robust.location_and_scale(df, ["k"], "x", h=h, median=True)
+    writes, stored = [], robust.stored
+    monkeypatch.setattr(robust, "stored", lambda df, name: writes.append((name, stored(df, name))) or writes[-1][1])
+    found = robust.location_and_scale(df, ["k"], "x", h=h, median=True, few_keys=True)
+    got, want = (sorted(map(tuple, d.collect()), key=repr) for d in (found, usual))
+    assert [r[0] for r in got] == [r[0] for r in want]
+    for a, b in zip(got, want):
+        assert a[1:] == pytest.approx(b[1:], rel=1e-9, abs=1e-9, nan_ok=True)
+    ranked = dict(writes)["ranges"].count()
+    assert ranked < n / 50 if shape == "even" else ranked <= df.count()
