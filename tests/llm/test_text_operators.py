@@ -259,3 +259,52 @@ def test_texts_nobody_asks_for_are_not_shuffled(spark):
     found = {r.doc_id for r in jaccard._of_asked(docs, asked.union(asked)).collect()}
     assert {r._doc for r in asked.collect()} <= found and len(found) < 60
     assert not jaccard._of_asked(docs, asked.where("false")).collect()
+
+
+def test_jaccard_components_of_lists_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SHORT", 4)
+    rows = near_copies()
+    got = jaccard.jaccard_components(frame(spark, rows, clash=True)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected_components(rows)
+
+
+def test_sets_that_bitmaps_tell_apart_are_not_compared(spark, monkeypatch):
+    rows = []
+    for f in range(3):
+        base = prose(700 + f, 400).split(" ")
+        for k in range(12):
+            rng = random.Random(100 * f + k)
+            text = " ".join(f"w{f}x{k}x{i}" if rng.random() < 0.035 else w for i, w in enumerate(base))
+            rows.append((len(rows) + 1, text, "", "", 1))
+    compared, names, plain, written = [], {}, jaccard._compared, jaccard.written
+    monkeypatch.setattr(jaccard, "_compared", lambda docs, pairs, classes: compared.append(pairs.count()) or plain(docs, pairs, classes))
+    monkeypatch.setattr(jaccard, "written", lambda df, name: names.setdefault(name, df.columns) and None or written(df, name))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame(spark, rows)).collect())
+    assert got == expected_components(rows)
+    # most pairs of a family share enough of their prefixes, but are not similar
+    assert compared[1] < 30
+    # prefixes are dealt out by shingle only, not with the classes
+    assert "cold" in names["sets"] and "cold" not in names["classes"]
+
+
+def test_bitmaps_never_hide_an_overlap():
+    rng = np.random.default_rng(2)
+    for n, m in ((1, 1), (100, 100), (120, 130), (500, 1100)):
+        pool = rng.integers(0, 1 << 63, n + m).astype(np.uint64)
+        for shared in {0, min(n, m) // 2, min(n, m)}:
+            a, b = np.sort(pool[:n]), np.sort(pool[n - shared : n - shared + m])
+            most = jaccard._most(n, jaccard._bitmap(a), m, jaccard._bitmap(b))
+            assert shared <= most <= shared + 0.5 * (min(n, m) - shared) + 1
+
+
+def test_shared_keys_get_numbers_of_their_own(spark):
+    from pyspark.sql import functions as F
+
+    keys = [k for k in range(3000) for _ in range(1 + k % 3)]
+    df = spark.createDataFrame([(k * 7919 - 5_000_000, i) for i, k in enumerate(keys)], "h long, class long")
+    df = df.repartition(3, "h").sortWithinPartitions("h")
+    got = df.mapInArrow(jaccard._shared, "h long, class long").groupBy("h").agg(F.collect_list("class").alias("c")).collect()
+    held = {}
+    for i, k in enumerate(keys):
+        held.setdefault(k, []).append(i)
+    assert sorted(sorted(r.c) for r in got) == sorted(c for c in held.values() if len(c) > 1)
