@@ -218,3 +218,42 @@ def test_only_rows_that_may_bound_the_best_window_are_ranked(spark, monkeypatch,
         assert a[1:] == pytest.approx(b[1:], rel=1e-6, abs=1e-9, nan_ok=True)
     ranked = dict(writes)["ranges"].count()
     assert ranked < n / 50 if shape == "even" else ranked <= df.count()
+
+
+def test_exploded_requests_are_not_broadcast(spark, tmp_path):
+    """The rows that pieces add are not in Spark's estimates, so small files would be broadcast whatever their requests."""
+    spark.range(300).selectExpr("id AS request", "id % 40 AS run", "CAST(id % 3 AS string) AS l0").write.parquet(f"{tmp_path}/requests")
+    spark.range(90).selectExpr(
+        "id AS entry", "CAST(id % 3 AS string) AS l0", "IF(id % 30 = 7, -1, id % 40) AS first_run",
+        "IF(id % 30 = 7, -1, id % 40 + id % 9) AS last_run", "id % 4 AS version", "id % 5 AS sub_version",
+    ).write.parquet(f"{tmp_path}/entries")
+    requests, entries = spark.read.parquet(f"{tmp_path}/requests"), spark.read.parquet(f"{tmp_path}/entries")
+    rules = entries.selectExpr("entry AS rule_pos", "l0", "first_run", "last_run", "version AS rule_version")
+    passes = entries.selectExpr("entry AS entry_idx", "l0", "first_run AS lower", "last_run AS upper", "IF(entry % 2 = 0, '', 'a') AS pass")
+    defaults = entries.groupBy("l0").agg(F.min("entry").alias("default_idx"))
+    best = conditions.best_version(requests, entries, ["l0"], ["request"]).select("request", "version", "sub_version", "entry", "n_top")
+    exact = conditions.best_version(requests, entries, ["l0"], ["request"], version=F.col("request") % 4).select("request", "sub_version")
+    ruled = conditions.apply_rules(requests, rules, ["l0"], ["request"]).select("request", "rule_version")
+    layers = [("odd", entries.where("entry % 2 = 1")), ("all", entries)]
+    layered = conditions.layered(requests, layers, ["l0"], ["request"]).select("request", "layer", "entry")
+    asked = requests.withColumn("wanted_pass", F.lit("a"))
+    found = conditions.object_for_run(asked, passes, defaults, ["l0"], ["request"]).select("request", "entry_idx")
+    held = entries.collect()
+    wants = [[] for _ in range(5)]
+    for q in requests.collect():
+        valid = [e for e in held if e.l0 == q.l0 and (e.first_run <= q.run <= e.last_run or e.first_run == -1)]
+        numbers = [(e.version, e.sub_version) for e in valid]
+        if valid:
+            top = [e for e in valid if (e.version, e.sub_version) == max(numbers)]
+            wants[0].append((q.request, *max(numbers), min(e.entry for e in top), len(top)))
+        if subs := [s for v, s in numbers if v == q.request % 4]:
+            wants[1].append((q.request, max(subs)))
+        wants[2].append((q.request, min(valid, key=lambda e: e.entry).version if valid else None))
+        odd = [e for e in valid if e.entry % 2]
+        hit = max(odd or valid, key=lambda e: (e.version, e.sub_version, -e.entry), default=None)
+        wants[3].append((q.request, ("odd" if odd else "all") if hit else None, hit and hit.entry))
+        last = [e.entry for e in valid if e.first_run >= 0]
+        wants[4].append((q.request, max(last, default=min(e.entry for e in held if e.l0 == q.l0))))
+    for df, want in zip((best, exact, ruled, layered, found), wants, strict=True):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        assert rows(df) == sorted(want, key=repr)
