@@ -392,6 +392,24 @@ def test_one_headline_for_all_articles(spark):
     assert {r.text for r in pages.extract(df).collect()} == {f"The weather\n{prose(i, 9)}" for i in range(6)}
 
 
+def test_text_inside_and_outside_of_articles_is_judged(spark):
+    def page(i):
+        around = f"<div class=x0>Welcome to our site</div><div class=x1><p>{prose(i, 9)}</p></div>"
+        return f"<body>{around}<article><h1>The weather</h1><p>{prose(100 + i, 9)}</p><div class=x2>More from us</div></article></body>"
+
+    def near_copy(i):
+        return f"<article><h1>Head</h1><p>{prose(7, 30)}</p><p class=y>{prose(200 + i, 9)}</p></article>"
+
+    rows = [(i, "https://one.example/", page(i)) for i in range(6)] + [(10, "https://two.example/", page(0))]
+    rows += [(20 + i, "https://three.example/", near_copy(i)) for i in range(6)]
+    got = dict(pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "text").collect())
+    for i in range(6):
+        assert got[i].split("\n") == [prose(i, 9), "The weather", prose(100 + i, 9)]
+        # what is most of an article is no template, though its path says nothing
+        assert got[20 + i].split("\n") == ["Head", prose(7, 30), prose(200 + i, 9)]
+    assert got[10].split("\n") == ["Welcome to our site", prose(0, 9), "The weather", prose(100, 9), "More from us"]
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "https://a.example/x", PAGE), (2, None, None), (None, "https://a.example/y", "é"), (1, "https://a.example/x", PAGE)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("block", F.lit("z"))
