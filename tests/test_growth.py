@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import cleaning, conditions, moments, regression, robust, series
 from eventloom.plans import scalars, sources
-from eventloom.sources import counterfiles
+from eventloom.sources import counterfiles, nested
 from eventloom.streaming import flows
 from tests.conftest import rows
 
@@ -257,3 +257,46 @@ def test_exploded_requests_are_not_broadcast(spark, tmp_path):
     for df, want in zip((best, exact, ruled, layered, found), wants, strict=True):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
         assert rows(df) == sorted(want, key=repr)
+
+
+def test_tables_of_the_same_rows_are_nested_with_one_shuffle(spark, capsys):
+    keys = {"file_id": "k % 2", "event_idx": "k", "obj_id": "IF(v % 11 = 3, NULL, v % 60)"}
+    base = spark.range(400).selectExpr("IF(id < 200, 1, IF(id % 50 = 9, NULL, id % 7)) AS k", "id AS v", "CAST(id AS string) AS file_id")
+    tables = [nested.Projected(base, keys | fields) for fields in ({"a": "v * 2"}, {"b": "concat(file_id, 'v')"}, {"c": "v % 5"})]
+    other = nested.Projected(base, keys | {"obj_id": "v", "d": "v"})
+    headers = spark.createDataFrame([(k % 2, k) for k in (0, 1, 1, 2, 5, 8)] + [(None, 3)], "file_id long, event_idx long")
+    headers = headers.withColumn("header", F.struct("event_idx"))
+    objects = {"pairs": tables[:2], "single": tables[2]}
+    found = nested.nest(headers, objects, size=10)
+    capsys.readouterr()
+    found.explain()
+    lines = capsys.readouterr().out.splitlines()
+    assert len([x for x in lines if "Exchange hashpartitioning" in x and "fragment" in x]) == 2  # the headers and the rows
+    for kinds in (objects, objects | {"other": [other, tables[0]]}, {"single": [tables[2]]}):
+        frames = {n: [t.table() for t in (ts if isinstance(ts, list) else [ts])] for n, ts in kinds.items()}
+        assert rows(nested.nest(headers, kinds, size=10)) == rows(nested.nest(headers, frames, size=10))
+    alone = nested.nest(headers, {}, size=10)
+    assert rows(alone) == rows(found.where("fragment = 0").select(*alone.columns))
+
+
+def test_records_hold_the_objects_that_their_reader_uses(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.range(40).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "CAST(id AS double) AS o_totalprice",
+        "CAST('1995-01-01' AS timestamp_ntz) AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1000).selectExpr(
+        "id % 30 AS l_orderkey", "id * 37 % 101 AS l_partkey", "id AS l_suppkey", "CAST(id % 7 AS int) AS l_linenumber",
+        *[f"CAST(id % 50 AS double) AS l_{c}" for c in ("quantity", "extendedprice", "discount", "tax")],
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    readers = {"COLLISION": set(), "CALO": {"cells"}, "MUON": {"muons"}, "TRACKEXTRA": {"tracks"}}
+    found = {}
+    for name, kinds in readers.items():
+        path = sources.written_events(spark, folder, nested.kinds_of(name))
+        assert set(spark.read.parquet(path).columns) == {"file_id", "event_idx", "fragment", "header"} | kinds
+        found[name] = rows(nested.TABLES[name](sources.events_of(spark, folder, nested.kinds_of(name))))
+    whole = sources.written_events(spark, folder)
+    for name in readers:
+        assert found[name] == rows(nested.TABLES[name](nested.read_events(spark, whole)))
+    assert sources.written_events(spark, folder, ("cells", "muons")) == whole
+    assert len(found["COLLISION"]) == 40 and len(found["CALO"]) == 1000
