@@ -146,7 +146,7 @@ def events_per_file_limit(spark, sf):
 
 def _flat(name):
     def run(spark, sf):
-        return nested.TABLES[name](events_of(spark, sf))
+        return nested.TABLES[name](events_of(spark, sf, nested.kinds_of(name)))
 
     return run
 
@@ -294,7 +294,7 @@ def table_profile(spark, sf):
          (7, 'fZ', 'float'), (8, 'fBendingCoor', 'float'), (9, 'fNonBendingCoor', 'float'), (10, 'fChi2', 'float'), (11, 'fChi2MatchTrigger', 'float')) v(p, f, t)""",
 )
 def schema_dump(spark, sf):
-    return sinks.schema_of({"MUON": nested.muons(events_of(spark, sf))})
+    return sinks.schema_of({"MUON": nested.muons(events_of(spark, sf, nested.kinds_of("MUON")))})
 
 
 @query(
