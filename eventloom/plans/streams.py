@@ -11,14 +11,15 @@ from eventloom.plans.registry import ORACLES, query, r6
 from eventloom.plans.sources import written_events
 from eventloom.plans.timeseries import CORRECTED_SQL
 from eventloom.session import work_path
+from eventloom.sources import nested
 from eventloom.streaming import flows
 
 C = F.col
 
 
-def _record_stream(spark, sf):
-    """The event records as a stream of files."""
-    return flows.event_stream(spark, written_events(spark, sf))
+def _record_stream(spark, sf, name):
+    """The event records that a flat table is made of, as a stream of files."""
+    return flows.event_stream(spark, written_events(spark, sf, nested.kinds_of(name)))
 
 
 def _table_stream(spark, sf, name):
@@ -30,14 +31,14 @@ def _table_stream(spark, sf, name):
 @query("s01_stream_flatten")
 def stream_flatten(spark, sf):
     folder = work_path(spark, "flat")
-    flows.append_to_folder(flows.flattened(_record_stream(spark, sf), "TRACKPAR"), folder)
+    flows.append_to_folder(flows.flattened(_record_stream(spark, sf, "TRACKPAR"), "TRACKPAR"), folder)
     return spark.read.parquet(folder)
 
 
 @query("s02_live_histogram")
 def live_histogram(spark, sf):
     folder = work_path(spark, "live")
-    cells = flows.flattened(_record_stream(spark, sf), "CALO")
+    cells = flows.flattened(_record_stream(spark, sf, "CALO"), "CALO")
     live = flows.live_histogram(cells, C("fAmplitude").cast("double"), 100, 0.0, 0.7)
     flows.batches_to_folder(live, folder, "complete")
     return histograms.filled(flows.latest_batch(spark, folder), 100)

@@ -45,6 +45,7 @@ def append_to_folder(stream: DataFrame, folder: str) -> None:
         stream.writeStream.format("parquet")
         .option("checkpointLocation", work_path(stream.sparkSession, "progress"))
         .option("path", folder)
+        .option("compression", "zstd")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
