@@ -122,7 +122,7 @@ def events_of(spark, sf, kinds=nested.KINDS):
        FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, count(*) AS m FROM lineitem GROUP BY 1) q ON l_orderkey = o_orderkey""",
 )
 def event_source(spark, sf):
-    return events_of(spark, sf).groupBy("event_idx", "file_id").agg(
+    return events_of(spark, sf, ("muons", "tracks")).groupBy("event_idx", "file_id").agg(
         F.sum(F.size("tracks")).alias("n_tracks"), F.sum(F.size("muons")).alias("n_muons")
     )
 
